@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import share_percent
+from ..functions import count_mean, mean_of_rates, rate_mean, share_percent, ten_thousandths
 from .lookup import with_category_names
 from .ranking import number_rows
 
@@ -25,9 +25,9 @@ def trending_analytics(stats: DataFrame, aggregated_at: Column | None = None) ->
         F.sum("likes").alias("total_likes"),
         F.sum("dislikes").alias("total_dislikes"),
         F.sum("comment_count").alias("total_comments"),
-        F.avg("views").alias("avg_views_per_video"),
-        F.avg("like_ratio").alias("avg_like_ratio"),
-        F.avg("engagement_rate").alias("avg_engagement_rate"),
+        count_mean("views").alias("avg_views_per_video"),
+        rate_mean("like_ratio").alias("avg_like_ratio"),
+        rate_mean("engagement_rate").alias("avg_engagement_rate"),
         F.max("views").alias("max_views"),
         F.count_distinct("channel_title").alias("unique_channels"),
         F.count_distinct("category_id").alias("unique_categories"),
@@ -54,12 +54,15 @@ def channel_totals(stats: DataFrame, reference: DataFrame | None = None) -> Data
     builds without code generation, sees one row per video and category.
     """
     name = ["category_name"] if "category_name" in stats.columns and reference is None else []
+    whole = ten_thousandths("engagement_rate")
     videos = stats.groupBy("channel_title", "region", "video_id", "category_id", *name).agg(
         F.sum("views").alias("_views"),
         F.sum("likes").alias("_likes"),
         F.sum("comment_count").alias("_comments"),
-        F.sum("engagement_rate").alias("_engagement"),
-        F.count("engagement_rate").alias("_engagement_rows"),
+        F.sum("engagement_rate").alias("_rate"),
+        F.count("engagement_rate").alias("_rate_rows"),
+        F.sum(whole).alias("_whole"),
+        F.count(whole).alias("_whole_rows"),
         F.count("views").alias("_view_rows"),
         F.max("views").alias("_peak"),
         F.count("trending_date_parsed").alias("_days"),
@@ -72,7 +75,9 @@ def channel_totals(stats: DataFrame, reference: DataFrame | None = None) -> Data
         F.sum("_likes").alias("total_likes"),
         F.sum("_comments").alias("total_comments"),
         F.try_divide(F.sum("_views"), F.sum("_view_rows")).alias("avg_views_per_video"),
-        F.try_divide(F.sum("_engagement"), F.sum("_engagement_rows")).alias("avg_engagement_rate"),
+        mean_of_rates(
+            F.try_sum("_whole"), F.sum("_whole_rows"), F.sum("_rate"), F.sum("_rate_rows")
+        ).alias("avg_engagement_rate"),
         F.max("_peak").alias("peak_views"),
         F.sum("_days").alias("times_trending"),
         F.min("_first").alias("first_trending"),
@@ -97,7 +102,7 @@ def category_analytics(
         F.sum("views").alias("total_views"),
         F.sum("likes").alias("total_likes"),
         F.sum("comment_count").alias("total_comments"),
-        F.avg("engagement_rate").alias("avg_engagement_rate"),
+        rate_mean("engagement_rate").alias("avg_engagement_rate"),
         F.count_distinct("channel_title").alias("unique_channels"),
     )
     return _stamped(with_view_share(with_category_names(totals, reference)), aggregated_at)

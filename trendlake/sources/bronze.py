@@ -38,11 +38,13 @@ def preview_csv(spark: SparkSession, path: Paths, rows: int | None = 10) -> Data
     return frame if rows is None else frame.limit(rows)
 
 
-def read_csv_tolerant(spark: SparkSession, path: Paths, schema: str, corrupt_column: str = "_corrupt_record") -> DataFrame:
+def read_csv_tolerant(
+    spark: SparkSession, path: Paths, schema: str, corrupt_column: str = "_corrupt_record", header: bool = True
+) -> DataFrame:
     """CSV in which malformed lines are kept, as text, in ``corrupt_column``."""
     return (
         spark.read.schema(f"{schema}, {corrupt_column} string")
-        .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=corrupt_column, quote='"', escape='"')
+        .options(header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=corrupt_column, quote='"', escape='"')
         .csv(path)
     )
 
