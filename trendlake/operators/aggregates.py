@@ -49,40 +49,60 @@ def channel_analytics(
 def channel_totals(stats: DataFrame, reference: DataFrame | None = None) -> DataFrame:
     """The channel table before ranking.
 
-    Days of one video are folded together first. That keeps the row count, the
-    name join and the distinct count small, and the set of names, which Spark
-    builds without code generation, sees one row per video and category.
+    One scan is grouped both by video and by category. A video then counts
+    once, so no distinct count is left, and the set of names, for which Spark
+    has no compiled aggregate, is built from one row per channel and category.
     """
-    name = ["category_name"] if "category_name" in stats.columns and reference is None else []
+    by_name = "category_name" in stats.columns and reference is None
+    category = "category_name" if by_name else "category_id"
     whole = ten_thousandths("engagement_rate")
-    videos = stats.groupBy("channel_title", "region", "video_id", "category_id", *name).agg(
+    place = ("channel_title", "region")
+    folded = stats.groupingSets(
+        [(*place, "video_id"), (*place, category)], *place, "video_id", category
+    ).agg(
+        (F.grouping("video_id") == 1).alias("_of_category"),
         F.sum("views").alias("_views"),
+        F.count("views").alias("_view_rows"),
         F.sum("likes").alias("_likes"),
         F.sum("comment_count").alias("_comments"),
         F.sum("engagement_rate").alias("_rate"),
         F.count("engagement_rate").alias("_rate_rows"),
-        F.sum(whole).alias("_whole"),
+        F.try_sum(whole).alias("_whole"),
         F.count(whole).alias("_whole_rows"),
-        F.count("views").alias("_view_rows"),
         F.max("views").alias("_peak"),
         F.count("trending_date_parsed").alias("_days"),
         F.min("trending_date_parsed").alias("_first"),
         F.max("trending_date_parsed").alias("_last"),
     )
-    return with_category_names(videos, reference).groupBy("channel_title", "region").agg(
-        F.count_distinct("video_id").alias("total_videos"),
+    named = with_category_names(folded, reference).withColumn(
+        "_name", F.when(F.col("_of_category"), F.col("category_name"))
+    )
+
+    def of_videos(name: str) -> Column:
+        return F.when(~F.col("_of_category"), F.col(name))
+
+    sums = ("_views", "_view_rows", "_likes", "_comments", "_rate", "_rate_rows", "_whole", "_whole_rows", "_days")
+    parts = named.groupBy(*place, "_name").agg(
+        F.count(of_videos("video_id")).alias("_videos"),
+        *(F.sum(of_videos(name)).alias(name) for name in sums),
+        F.max(of_videos("_peak")).alias("_peak"),
+        F.min(of_videos("_first")).alias("_first"),
+        F.max(of_videos("_last")).alias("_last"),
+    )
+    return parts.groupBy(*place).agg(
+        F.sum("_videos").alias("total_videos"),
         F.sum("_views").alias("total_views"),
         F.sum("_likes").alias("total_likes"),
         F.sum("_comments").alias("total_comments"),
         F.try_divide(F.sum("_views"), F.sum("_view_rows")).alias("avg_views_per_video"),
         mean_of_rates(
-            F.try_sum("_whole"), F.sum("_whole_rows"), F.sum("_rate"), F.sum("_rate_rows")
+            F.sum("_whole"), F.sum("_whole_rows"), F.sum("_rate"), F.sum("_rate_rows")
         ).alias("avg_engagement_rate"),
         F.max("_peak").alias("peak_views"),
         F.sum("_days").alias("times_trending"),
         F.min("_first").alias("first_trending"),
         F.max("_last").alias("last_trending"),
-        F.array_sort(F.collect_set("category_name")).alias("categories"),
+        F.array_sort(F.collect_set("_name")).alias("categories"),
     )
 
 
