@@ -1,0 +1,169 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from conftest import rows
+from trendlake import (
+    category_analytics, category_momentum, channel_analytics, channel_partners, publish_timing,
+    region_targeting, trending_analytics,
+)
+from trendlake.operators.ranking import number_rows
+
+D1, D2 = date(2024, 1, 1), date(2024, 1, 2)
+SCHEMA = (
+    "video_id string, region string, trending_date_parsed date, channel_title string, category_id bigint, views bigint, "
+    "likes bigint, dislikes bigint, comment_count bigint, like_ratio double, engagement_rate double"
+)
+
+
+@pytest.fixture(scope="module")
+def stats(spark):
+    return spark.createDataFrame([
+        ("v1", "us", D1, "a", 1, 100, 10, 1, 2, 10.0, 13.0),
+        ("v1", "us", D2, "a", 2, 200, 20, 2, 4, 10.0, 13.0),
+        ("v2", "us", D1, "a", 9, 300, 30, 3, 6, 10.0, 13.0),
+        ("v3", "us", D1, "b", 1, 600, 0, 0, 0, 0.0, 0.0),
+        ("v4", "us", None, None, None, 0, 0, 0, 0, 0.0, 0.0),
+        ("v1", "de", D1, "a", 1, 0, 0, 0, 0, 0.0, 0.0),
+    ], SCHEMA).cache()
+
+
+@pytest.fixture(scope="module")
+def reference(spark):
+    return spark.createDataFrame([(1, "Film", "us"), (2, "Autos", "us")], "category_id bigint, category_title string, region string")
+
+
+def test_trending(stats):
+    df = trending_analytics(stats)
+    assert df.columns == [
+        "region", "trending_date_parsed", "total_videos", "total_views", "total_likes", "total_dislikes",
+        "total_comments", "avg_views_per_video", "avg_like_ratio", "avg_engagement_rate", "max_views",
+        "unique_channels", "unique_categories", "_aggregated_at",
+    ]
+    found = {(r["region"], r["trending_date_parsed"]): tuple(r)[2:-1] for r in df.collect()}
+    assert found[("us", D1)] == (3, 1000, 40, 4, 8, pytest.approx(1000 / 3), pytest.approx(20 / 3, abs=1e-9), pytest.approx(26 / 3, abs=1e-9), 600, 2, 2)
+    assert found[("us", None)] == (1, 0, 0, 0, 0, 0.0, 0.0, 0.0, 0, 0, 0)
+    assert set(found) == {("us", D1), ("us", D2), ("us", None), ("de", D1)}
+
+
+def test_channel(stats, reference):
+    df = channel_analytics(stats, reference)
+    assert df.columns == [
+        "channel_title", "region", "total_videos", "total_views", "total_likes", "total_comments",
+        "avg_views_per_video", "avg_engagement_rate", "peak_views", "times_trending", "first_trending",
+        "last_trending", "categories", "rank_in_region", "_aggregated_at",
+    ]
+    assert dict(df.dtypes)["rank_in_region"] == "int"
+    found = {(r["channel_title"], r["region"]): tuple(r)[2:-1] for r in df.collect()}
+    assert found == {
+        ("a", "us"): (2, 600, 60, 12, 200.0, 13.0, 300, 3, D1, D2, ["Autos", "Film", "Unknown"], 1),
+        ("b", "us"): (1, 600, 0, 0, 600.0, 0.0, 600, 1, D1, D1, ["Film"], 2),
+        (None, "us"): (1, 0, 0, 0, 0.0, 0.0, 0, 0, None, None, ["Unknown"], 3),
+        ("a", "de"): (1, 0, 0, 0, 0.0, 0.0, 0, 1, D1, D1, ["Film"], 1),
+    }
+
+
+def test_category(stats, reference):
+    df = category_analytics(stats, reference)
+    assert df.columns == [
+        "category_name", "category_id", "region", "trending_date_parsed", "video_count", "total_views", "total_likes",
+        "total_comments", "avg_engagement_rate", "unique_channels", "view_share_pct", "_aggregated_at",
+    ]
+    us = {(r["category_name"], r["category_id"], r["trending_date_parsed"]): (r["video_count"], r["total_views"], r["unique_channels"], r["view_share_pct"])
+          for r in df.where("region = 'us'").collect()}
+    assert us == {
+        ("Film", 1, D1): (2, 700, 2, 70.0), ("Unknown", 9, D1): (1, 300, 1, 30.0),
+        ("Autos", 2, D2): (1, 200, 1, 100.0), ("Unknown", None, None): (1, 0, 0, None),
+    }
+    assert df.where("region = 'de'").first()["view_share_pct"] is None
+
+
+def test_names_before_or_after_aggregating_agree(stats, reference):
+    from trendlake import with_category_names
+
+    named = with_category_names(stats, reference)
+    assert rows(category_analytics(named).drop("_aggregated_at")) == rows(category_analytics(stats, reference).drop("_aggregated_at"))
+    assert rows(channel_analytics(named).drop("_aggregated_at")) == rows(channel_analytics(stats, reference).drop("_aggregated_at"))
+
+
+def test_no_reference(stats):
+    assert {r["category_name"] for r in category_analytics(stats).collect()} == {"Unknown"}
+
+
+def test_numbering_equals_a_window_for_one_huge_group(spark):
+    """A third of the rows in one group, many ties, NULLs in group and order."""
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 100 == 1, None)
+        .otherwise(F.concat(F.lit("g"), (F.col("id") % 17).cast("string"))).alias("g"),
+        F.when(F.col("id") % 5 == 0, None).otherwise(F.pmod(F.hash("id"), F.lit(40))).alias("v"),
+        F.concat(F.lit("n"), F.col("id").cast("string")).alias("n"),
+    )
+    order = [F.desc_nulls_last("v"), F.asc_nulls_last("n")]
+    numbered = number_rows(df, "g", order, "place")
+    assert numbered.count() == 30_000
+    expected = F.row_number().over(Window.partitionBy("g").orderBy(*order))
+    assert numbered.withColumn("expected", expected).where("place <> expected").isEmpty()
+
+
+def test_numbering_spreads_one_group_over_tasks(spark):
+    df = spark.range(0, 200_000, 1, 8).select(F.lit("hot").alias("g"), F.hash("id").alias("v"), F.col("id").cast("string").alias("n"))
+    keys = [F.asc_nulls_first("g"), F.desc("v"), F.asc("n")]
+    sizes = [r["count"] for r in df.repartitionByRange(8, *keys).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 50_000
+    assert number_rows(df, "g", keys[1:], "place").agg(F.max("place"), F.count_distinct("place")).first()[:] == (200_000, 200_000)
+
+
+def test_numbering_nothing(spark):
+    empty = spark.createDataFrame([], "g string, v bigint, n string")
+    assert number_rows(empty, "g", [F.desc("v"), F.asc("n")], "place").columns == ["g", "v", "n", "place"]
+    assert number_rows(empty, "g", [F.desc("v"), F.asc("n")], "place").isEmpty()
+
+
+@pytest.fixture(scope="module")
+def gold(stats, reference):
+    return trending_analytics(stats).cache(), channel_analytics(stats, reference).cache(), category_analytics(stats, reference).cache()
+
+
+def test_region_targeting(spark, gold):
+    import math
+
+    found = {r["region"]: r for r in region_targeting(gold[0]).collect()}
+    rate = (26 / 3 + 13.0 + 0.0) / 3
+    assert found["us"]["total_views"] == 1200 and found["us"]["unique_channels"] == 3
+    assert found["us"]["avg_engagement_rate"] == round(rate, 4)
+    assert found["us"]["engagement_quality_score"] == pytest.approx(rate * math.log(1201), abs=1e-4)
+    assert found["de"]["engagement_quality_score"] == 0.0
+    negative = spark.sql("SELECT 'x' AS region, -5L AS total_views, 1D AS avg_engagement_rate, 1L AS unique_channels")
+    assert region_targeting(negative).first()["engagement_quality_score"] is None
+    assert [r["region"] for r in region_targeting(gold[0], "US ").collect()] == ["us"]
+
+
+def test_momentum(gold):
+    found = [tuple(r) for r in category_momentum(gold[2], ["US"]).collect()]
+    assert found == [("us", D1, "Film", 70.0), ("us", D1, "Unknown", 30.0), ("us", D2, "Autos", 100.0), ("us", None, "Unknown", None)]
+
+
+def test_partners(gold):
+    df = channel_partners(gold[1])
+    assert df.columns == ["channel_title", "region", "times_trending", "total_views", "avg_engagement_rate", "rank_in_region", "categories"]
+    assert [tuple(r)[:3] for r in df.collect()] == [("a", "us", 3), ("a", "de", 1), ("b", "us", 1), (None, "us", 0)]
+    assert [r["channel_title"] for r in channel_partners(gold[1], "us", limit=2).collect()] == ["a", "b"]
+
+
+def test_timing(gold):
+    found = [tuple(r) for r in publish_timing(gold[0]).collect()]
+    assert [r[:3] for r in found] == [(D1, "de", 0), (D1, "us", 1000), (D2, "us", 200), (None, "us", 0)]
+    assert found[1][3:] == (8.6667, 6.6667)
+
+
+def test_report_sql_runs_on_gold_views(spark, gold):
+    """Plain SQL over the registered tables gives what the functions give."""
+    gold[0].createOrReplaceTempView("trending_analytics")
+    sql = spark.sql("""
+        SELECT region, SUM(total_views) AS total_views, ROUND(AVG(avg_engagement_rate), 4) AS avg_engagement_rate,
+               SUM(unique_channels) AS unique_channels,
+               ROUND(AVG(avg_engagement_rate) * LN(CAST(SUM(total_views) AS DOUBLE) + 1), 4) AS engagement_quality_score
+        FROM trending_analytics GROUP BY region""")
+    assert rows(sql) == rows(region_targeting(gold[0]))
