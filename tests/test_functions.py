@@ -91,3 +91,13 @@ def test_rate_mean_of_huge_and_of_no_values(spark):
     assert huge == pytest.approx(1000000000.5)
     assert spark.createDataFrame([(None,)], "r double").agg(fn.rate_mean("r")).first()[0] is None
     assert spark.createDataFrame([], "v bigint").agg(fn.count_mean("v")).first()[0] is None
+
+
+def test_rate_parts_that_overflow_fall_back_to_doubles(spark):
+    big = (1 << 62) // 10_000 * 1.0
+    parts = spark.createDataFrame(
+        [(True, 1 << 62, 2, big, 2), (True, 1 << 62, 2, big, 2), (True, None, 1, 5.0, 1), (False, 7, 7, 7.0, 7)],
+        "keep boolean, _r_whole bigint, _r_whole_rows bigint, _r_total double, _r_rows bigint",
+    )
+    merged = parts.groupBy("keep").agg(*fn.merged_rate_parts("r", F.col("keep")))
+    assert merged.agg(fn.rate_mean_of_parts("r").alias("m")).first()["m"] == pytest.approx((2 * big + 5) / 5)

@@ -1,16 +1,17 @@
 """Column functions: plain expressions, no state, no I/O."""
 
 from .fields import field, field_or, flatten_struct, has_field
+from .means import count_mean, merged_rate_parts, rate_mean, rate_mean_of_parts, rate_parts
 from .paths import file_kind, file_region, is_data_file, name_prefix_region, path_region
 from .values import (
-    count_mean, mean_of_rates, normal_region, parse_trending_date, rate_mean, region_filter,
-    region_list, share_percent, short_date, ten_thousandths, total_order, try_timestamp,
+    normal_region, parse_trending_date, region_filter, region_list, share_percent,
+    short_date, total_order, try_timestamp,
 )
 
 __all__ = [
     "field", "field_or", "flatten_struct", "has_field",
     "file_kind", "file_region", "is_data_file", "name_prefix_region", "path_region",
-    "count_mean", "mean_of_rates", "normal_region", "parse_trending_date", "rate_mean",
-    "region_filter", "region_list", "share_percent", "short_date", "ten_thousandths",
-    "total_order", "try_timestamp",
+    "count_mean", "merged_rate_parts", "rate_mean", "rate_mean_of_parts", "rate_parts",
+    "normal_region", "parse_trending_date", "region_filter", "region_list",
+    "share_percent", "short_date", "total_order", "try_timestamp",
 ]

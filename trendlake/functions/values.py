@@ -64,35 +64,3 @@ def total_order(columns: Iterable[str]) -> list[Column]:
     makes no difference to the result.
     """
     return [F.desc_nulls_last(F.col(f"`{name}`")) for name in columns]
-
-
-#: Means up to this size are summed exactly.
-_EXACT_LIMIT = 1_000_000
-
-
-def ten_thousandths(rate: Column | str) -> Column:
-    """A rate with 4 decimals as a whole number; NULL when it is too large."""
-    rate = F.col(rate) if isinstance(rate, str) else rate
-    return F.when(F.abs(rate) <= _EXACT_LIMIT, F.rint(rate * 10_000).cast("bigint"))
-
-
-def mean_of_rates(whole: Column, whole_rows: Column, total: Column, rows: Column) -> Column:
-    """Mean of rates from sums over ``ten_thousandths`` and over the rates.
-
-    Sums of whole numbers do not depend on their order, so neither does the
-    mean nor anything rounded from it. Where a value was too large to take
-    part, or the sum overflows, the mean comes from the sum of doubles.
-    """
-    exact = F.when(whole_rows == rows, F.try_divide(whole, rows) / F.lit(10_000))
-    return F.coalesce(exact, F.try_divide(total, rows))
-
-
-def rate_mean(rate: str) -> Column:
-    """Aggregate: order-independent mean of a column of 4-decimal rates."""
-    whole = ten_thousandths(rate)
-    return mean_of_rates(F.try_sum(whole), F.count(whole), F.sum(rate), F.count(rate))
-
-
-def count_mean(counter: str) -> Column:
-    """Aggregate: mean of whole numbers from their exact sum."""
-    return F.try_divide(F.sum(counter), F.count(counter))

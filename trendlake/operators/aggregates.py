@@ -10,21 +10,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import count_mean, mean_of_rates, rate_mean, share_percent, ten_thousandths
+from ..functions import (
+    count_mean, merged_rate_parts, rate_mean, rate_mean_of_parts, rate_parts, share_percent,
+)
 from .lookup import with_category_names
 from .ranking import number_rows
 
 AGGREGATED_AT = "_aggregated_at"
 
+# Gold names of the summed counters.
+_TOTAL_NAMES = {
+    "views": "total_views",
+    "likes": "total_likes",
+    "dislikes": "total_dislikes",
+    "comment_count": "total_comments",
+}
+
 
 def trending_analytics(stats: DataFrame, aggregated_at: Column | None = None) -> DataFrame:
     """Daily figures per region."""
     totals = stats.groupBy("region", "trending_date_parsed").agg(
         F.count("video_id").alias("total_videos"),
-        F.sum("views").alias("total_views"),
-        F.sum("likes").alias("total_likes"),
-        F.sum("dislikes").alias("total_dislikes"),
-        F.sum("comment_count").alias("total_comments"),
+        *_totals("views", "likes", "dislikes", "comment_count"),
         count_mean("views").alias("avg_views_per_video"),
         rate_mean("like_ratio").alias("avg_like_ratio"),
         rate_mean("engagement_rate").alias("avg_engagement_rate"),
@@ -55,20 +62,15 @@ def channel_totals(stats: DataFrame, reference: DataFrame | None = None) -> Data
     """
     by_name = "category_name" in stats.columns and reference is None
     category = "category_name" if by_name else "category_id"
-    whole = ten_thousandths("engagement_rate")
     place = ("channel_title", "region")
+    counters = ("views", "likes", "comment_count")
     folded = stats.groupingSets(
         [(*place, "video_id"), (*place, category)], *place, "video_id", category
     ).agg(
         (F.grouping("video_id") == 1).alias("_of_category"),
-        F.sum("views").alias("_views"),
+        *(F.sum(name).alias(name) for name in counters),
         F.count("views").alias("_view_rows"),
-        F.sum("likes").alias("_likes"),
-        F.sum("comment_count").alias("_comments"),
-        F.sum("engagement_rate").alias("_rate"),
-        F.count("engagement_rate").alias("_rate_rows"),
-        F.try_sum(whole).alias("_whole"),
-        F.count(whole).alias("_whole_rows"),
+        *rate_parts("engagement_rate"),
         F.max("views").alias("_peak"),
         F.count("trending_date_parsed").alias("_days"),
         F.min("trending_date_parsed").alias("_first"),
@@ -77,27 +79,20 @@ def channel_totals(stats: DataFrame, reference: DataFrame | None = None) -> Data
     named = with_category_names(folded, reference).withColumn(
         "_name", F.when(F.col("_of_category"), F.col("category_name"))
     )
-
-    def of_videos(name: str) -> Column:
-        return F.when(~F.col("_of_category"), F.col(name))
-
-    sums = ("_views", "_view_rows", "_likes", "_comments", "_rate", "_rate_rows", "_whole", "_whole_rows", "_days")
+    of_videos = ~F.col("_of_category")
     parts = named.groupBy(*place, "_name").agg(
-        F.count(of_videos("video_id")).alias("_videos"),
-        *(F.sum(of_videos(name)).alias(name) for name in sums),
-        F.max(of_videos("_peak")).alias("_peak"),
-        F.min(of_videos("_first")).alias("_first"),
-        F.max(of_videos("_last")).alias("_last"),
+        F.count("video_id").alias("_videos"),
+        *(F.sum(F.when(of_videos, F.col(name))).alias(name) for name in (*counters, "_view_rows", "_days")),
+        *merged_rate_parts("engagement_rate", of_videos),
+        F.max("_peak").alias("_peak"),
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
     )
     return parts.groupBy(*place).agg(
         F.sum("_videos").alias("total_videos"),
-        F.sum("_views").alias("total_views"),
-        F.sum("_likes").alias("total_likes"),
-        F.sum("_comments").alias("total_comments"),
-        F.try_divide(F.sum("_views"), F.sum("_view_rows")).alias("avg_views_per_video"),
-        mean_of_rates(
-            F.sum("_whole"), F.sum("_whole_rows"), F.sum("_rate"), F.sum("_rate_rows")
-        ).alias("avg_engagement_rate"),
+        *_totals(*counters),
+        F.try_divide(F.sum("views"), F.sum("_view_rows")).alias("avg_views_per_video"),
+        rate_mean_of_parts("engagement_rate").alias("avg_engagement_rate"),
         F.max("_peak").alias("peak_views"),
         F.sum("_days").alias("times_trending"),
         F.min("_first").alias("first_trending"),
@@ -119,9 +114,7 @@ def category_analytics(
     name = ["category_name"] if "category_name" in stats.columns and reference is None else []
     totals = stats.groupBy(*name, "category_id", "region", "trending_date_parsed").agg(
         F.count("video_id").alias("video_count"),
-        F.sum("views").alias("total_views"),
-        F.sum("likes").alias("total_likes"),
-        F.sum("comment_count").alias("total_comments"),
+        *_totals("views", "likes", "comment_count"),
         rate_mean("engagement_rate").alias("avg_engagement_rate"),
         F.count_distinct("channel_title").alias("unique_channels"),
     )
@@ -142,3 +135,7 @@ def with_view_share(categories: DataFrame) -> DataFrame:
 
 def _stamped(df: DataFrame, aggregated_at: Column | None) -> DataFrame:
     return df.withColumn(AGGREGATED_AT, F.current_timestamp() if aggregated_at is None else aggregated_at)
+
+
+def _totals(*counters: str) -> list[Column]:
+    return [F.sum(name).alias(_TOTAL_NAMES[name]) for name in counters]

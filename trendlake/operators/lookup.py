@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..constants import UNKNOWN_CATEGORY
 from ..functions import field
-from ..session import broadcast_if_small
+from ..session import small_side
 
 # Column pairs a reference table may use for id and name.
 _LAYOUTS = (
@@ -56,7 +56,7 @@ def with_category_names(stats: DataFrame, reference: DataFrame | None = None) ->
     lookup = category_lookup(reference)
     if lookup is not None:
         stats = stats.withColumn("category_id", F.col("category_id").try_cast("bigint")).drop("category_name")
-        stats = stats.join(broadcast_if_small(lookup), "category_id", "left")
+        stats = stats.join(small_side(lookup), "category_id", "left")
     if "category_name" not in stats.columns:
         return stats.withColumn("category_name", F.lit(UNKNOWN_CATEGORY))
     return stats.fillna(UNKNOWN_CATEGORY, subset=["category_name"])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..constants import ISO_TIMESTAMP_FORMAT
 from ..functions import field, field_or, flatten_struct, normal_region, total_order, try_timestamp
+from ..session import small_side
 from .dedup import latest_rows
 
 
@@ -111,5 +112,5 @@ def _newest_document(documents: DataFrame) -> DataFrame:
     file = F.struct(F.col("_recency"), F.col("_source_file"))
     newest = documents.groupBy(F.col("region").alias("_region")).agg(F.max(file).alias("_newest"))
     return documents.join(
-        newest, F.col("region").eqNullSafe(F.col("_region")) & file.eqNullSafe(F.col("_newest")), "left_semi"
+        small_side(newest), F.col("region").eqNullSafe(F.col("_region")) & file.eqNullSafe(F.col("_newest")), "left_semi"
     )

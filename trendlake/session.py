@@ -60,6 +60,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_side(df: DataFrame) -> DataFrame:
+    """The small side of a join: computed once, measured, broadcast if it is small."""
+    return broadcast_if_small(cut_lineage(df))
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> DataFrame:
     """Hint a broadcast only when ``df`` is measured to be small.
 

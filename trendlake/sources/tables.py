@@ -6,22 +6,26 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, name: str, merge_schema: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, name: str, merge_schema: bool = False) -> DataFrame:
     """A table from the catalog, or Parquet files when ``name`` is a path.
 
-    Files written before a column was added show NULL in it.
+    ``merge_schema`` unites the columns of files written before and after a
+    column was added. It opens every file footer, so it is for small tables;
+    a table registered in the catalog knows all its columns without it.
     """
     if "/" in name:
         return spark.read.option("mergeSchema", merge_schema).parquet(name)
     return spark.table(name)
 
 
-def read_table_if_present(spark: SparkSession, name: str | None) -> DataFrame | None:
+def read_table_if_present(
+    spark: SparkSession, name: str | None, merge_schema: bool = True
+) -> DataFrame | None:
     """The table, or None when it is not there or cannot be read."""
     if name is None:
         return None
     try:
-        return read_table(spark, name)
+        return read_table(spark, name, merge_schema)
     except AnalysisException:
         return None
 
