@@ -215,6 +215,10 @@ _BODIES = {
         QUALIFY row_number() OVER (PARTITION BY id, region, source_file ORDER BY pos DESC) = 1""",
     "reference_json_scan": f"""SELECT lower(region) AS region, '2024-01-31' AS date, count(*) AS items, count(DISTINCT id) AS ids, max(title) AS last_title
         FROM items WHERE lower(region) IN {TWO} GROUP BY 1""",
+    "reference_files_scan": f"""SELECT region, count(DISTINCT category_id) AS categories, min(category_id) AS first_id, max(category_id) AS last_id
+        FROM categories WHERE region IN {TWO} GROUP BY region""",
+    "table_sample_size": "SELECT least(count(*), 10000) AS rows FROM lineitem",
+    "region_targeting_sql": _REGION_REPORT,
     "category_names": "SELECT * FROM lookup",
     "stats_with_category": "SELECT video_id, region, trending_date_parsed, category_id, category_name FROM named",
     "trending_table": _TRENDING,

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import bronze, rows
+from conftest import CSV_COLUMNS, bronze, rows
 from trendlake import clean_statistics
 from trendlake.operators.statistics import conform_statistics, statistics_format
 from trendlake.sources.bronze import read_statistics_csv, read_trending_documents
@@ -62,6 +62,17 @@ def test_survivor_does_not_depend_on_partitioning(spark, copies):
     assert len(kept[0]) == len({v for v, _, _ in copies})
 
 
+def test_one_key_with_a_third_of_all_rows(spark):
+    df = spark.range(0, 60_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("v"), F.col("id") % 5000)).alias("video_id"),
+        F.col("id").cast("string").alias("views"), F.lit("US").alias("region"), F.lit("17.14.11").alias("trending_date"),
+        *(F.lit(None).cast("string").alias(c) for c in CSV_COLUMNS if c not in ("video_id", "views", "region", "trending_date")),
+    )
+    clean = clean_statistics(df, job_name="j")
+    assert clean.count() == 5001
+    assert rows(clean.where("video_id = 'hot'"), "views") == [(59_997,)]
+
+
 VIDEO = {
     "id": "v1",
     "snippet": {

@@ -54,7 +54,9 @@ def land_payloads(
     landed.hint("rebalance", *folders).write.mode(mode).partitionBy(*folders).json(path)
 
 
-def ingestion_coverage(landed: DataFrame, expected: Iterable[str] | DataFrame) -> DataFrame:
+def ingestion_coverage(
+    landed: DataFrame, expected: str | Iterable[str] | DataFrame = K.LANDED_REGIONS
+) -> DataFrame:
     """Expected regions against landed documents, per ingestion run.
 
     One row per run and expected region: documents and videos that arrived,

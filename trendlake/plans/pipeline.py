@@ -62,7 +62,9 @@ def run_pipeline(
 ) -> dict[str, dict[str, int]]:
     """Bronze frames to gold tables; returns the row counts of every write.
 
-    Raises ``QualityGateError`` before gold is touched when a rule fails.
+    ``regions`` restricts both silver and gold (``constants.CLEANSED_REGIONS``
+    holds the usual four). Raises ``QualityGateError`` before gold is touched
+    when a rule fails.
     Empty bronze input writes nothing and leaves what silver already holds.
     """
     written = {}
