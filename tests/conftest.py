@@ -11,7 +11,7 @@ from trendlake import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+        "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__default__parallelism="2", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__driver__memory="4g",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),

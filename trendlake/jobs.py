@@ -56,6 +56,7 @@ def run(spark, options: argparse.Namespace):
         options.silver, getattr(options, "gold", options.silver),
         silver_database=options.silver_database, gold_database=getattr(options, "gold_database", None),
         statistics_partitions=MERGE_PARTITIONS if getattr(options, "by_day", False) else ("region",),
+        keep_recency=getattr(options, "by_day", False),
     )
     if options.step == "silver":
         rows = _statistics(spark, options)

@@ -35,6 +35,7 @@ class PipelineConfig:
     statistics_job: str = "bronze-to-silver"
     reference_job: str = "bronze-to-silver"
     reference_mode: str = "merge"
+    keep_recency: bool = False  # store the ingestion time, for later merges
     rules: dict[str, quality.QualityRules] = field(default_factory=lambda: {
         "clean_statistics": quality.STATISTICS_RULES,
         "clean_reference_data": quality.REFERENCE_RULES,
@@ -85,7 +86,7 @@ def write_statistics(
     before = Observation()
     rows = prepare_statistics(bronze, recency=recency).observe(before, F.count(F.lit(1)).alias("rows_in"))
     counts = write_partitioned(
-        finish_statistics(latest_statistics(rows), job_name=config.statistics_job),
+        finish_statistics(latest_statistics(rows), job_name=config.statistics_job, keep_recency=config.keep_recency),
         config.silver(config.statistics_table),
         config.statistics_partitions,
         table=config.table(config.silver_database, config.statistics_table),
