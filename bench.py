@@ -21,10 +21,10 @@ from registry.queries import QUERIES  # noqa: E402
 from trendlake import build_session  # noqa: E402
 
 HEADLINE = (
-    "scan_region_pruned", "payload_flatten", "null_fill_and_ratios", "clean_statistics_rows", "dedup_latest",
-    "clean_reference_merge", "stats_with_category", "trending_table", "channel_table", "category_table",
-    "region_targeting_report", "category_momentum_report", "channel_partners_top15", "channel_top10_region",
-    "publish_timing_report", "quality_report_rows", "ingestion_coverage_rows", "file_classification",
+    "scan_region_pruned", "payload_flatten", "null_fill_and_ratios", "clean_statistics", "dedup_latest",
+    "clean_reference", "stats_with_category", "trending_analytics", "channel_analytics", "category_analytics",
+    "region_targeting", "category_momentum", "channel_partners_top15", "channel_top10_region",
+    "publish_timing", "quality_report", "ingestion_coverage", "file_classification",
 )
 
 

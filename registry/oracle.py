@@ -198,14 +198,14 @@ _BODIES = {
         '{"k":' || json_extract_string(props, '$.k') || '}' AS encoded FROM events""",
     "date_parse_two_formats": f"SELECT DISTINCT trending_date, {_DATE} AS parsed FROM bronze",
     "null_fill_and_ratios": f"SELECT video_id, description, views, likes, dislikes, comment_count, {_RATES} FROM filled",
-    "clean_statistics_rows": f"SELECT {_CLEAN} FROM silver",
+    "clean_statistics": f"SELECT {_CLEAN} FROM silver",
     "dedup_latest": """SELECT region, rows_before, rows_after, rows_before - rows_after AS removed
         FROM (SELECT region, count(*) AS rows_before FROM filled GROUP BY region)
         JOIN (SELECT region, count(*) AS rows_after FROM silver GROUP BY region) USING (region)""",
     "statistics_watch": """SELECT CAST(count_if(video_id IS NULL) AS BIGINT) AS null_video_id, CAST(count_if(title IS NULL) AS BIGINT) AS null_title,
         CAST(count_if(channel_title IS NULL) AS BIGINT) AS null_channel_title, CAST(count_if(views IS NULL) AS BIGINT) AS null_views,
         CAST(count_if(views < 0) AS BIGINT) AS negative_views FROM silver""",
-    "clean_reference_merge": "SELECT * FROM reference",
+    "clean_reference": "SELECT * FROM reference",
     "clean_reference_latest_file": """SELECT category_id, category_title, assignable, kind, region FROM categories
         JOIN (SELECT lower(r_name) AS region, max(('2024-01-0' || CAST(p_partkey % 9 + 1 AS STRING)) || 'file' || CAST(p_partkey AS STRING)) AS newest
               FROM part JOIN region ON p_partkey % 5 = r_regionkey GROUP BY 1) USING (region)
@@ -219,25 +219,25 @@ _BODIES = {
         FROM categories WHERE region IN {TWO} GROUP BY region""",
     "table_sample_size": "SELECT least(count(*), 10000) AS rows FROM lineitem",
     "region_targeting_sql": _REGION_REPORT,
-    "category_names": "SELECT * FROM lookup",
+    "category_lookup": "SELECT * FROM lookup",
     "stats_with_category": "SELECT video_id, region, trending_date_parsed, category_id, category_name FROM named",
-    "trending_table": _TRENDING,
-    "channel_table": f"SELECT * REPLACE ({_AVERAGES}) FROM channel",
+    "trending_analytics": _TRENDING,
+    "channel_analytics": f"SELECT * REPLACE ({_AVERAGES}) FROM channel",
     "channel_totals_unranked": f"SELECT * EXCLUDE (rank_in_region) REPLACE ({_AVERAGES}) FROM channel",
-    "category_table": f"SELECT * REPLACE ({_half_up('avg_engagement_rate', 4)} AS avg_engagement_rate) FROM category",
-    "category_table_without_reference": f"SELECT * REPLACE ('Unknown' AS category_name, {_half_up('avg_engagement_rate', 4)} AS avg_engagement_rate) FROM category",
-    "region_targeting_report": _REGION_REPORT,
-    "category_momentum_report": f"SELECT region, trending_date_parsed, category_name, view_share_pct FROM category WHERE region IN {TWO}",
-    "channel_partners_report": _PARTNERS,
+    "category_analytics": f"SELECT * REPLACE ({_half_up('avg_engagement_rate', 4)} AS avg_engagement_rate) FROM category",
+    "category_analytics_without_reference": f"SELECT * REPLACE ('Unknown' AS category_name, {_half_up('avg_engagement_rate', 4)} AS avg_engagement_rate) FROM category",
+    "region_targeting": _REGION_REPORT,
+    "category_momentum": f"SELECT region, trending_date_parsed, category_name, view_share_pct FROM category WHERE region IN {TWO}",
+    "channel_partners": _PARTNERS,
     "channel_partners_top15": f"{_PARTNERS} LIMIT 15",
     "channel_top10_region": """SELECT channel_title, total_views, times_trending FROM channel WHERE region = 'asia'
         ORDER BY times_trending DESC, channel_title ASC NULLS LAST LIMIT 10""",
-    "publish_timing_report": f"""SELECT trending_date_parsed, region, CAST(sum(total_views) AS BIGINT) AS total_views,
+    "publish_timing": f"""SELECT trending_date_parsed, region, CAST(sum(total_views) AS BIGINT) AS total_views,
         {_half_up('avg(avg_engagement_rate)', 4)} AS avg_engagement_rate, {_half_up('avg(avg_like_ratio)', 4)} AS avg_like_ratio
         FROM trending WHERE region IN {TWO} GROUP BY trending_date_parsed, region""",
-    "quality_report_rows": _REPORT,
-    "quality_failing_rows": f"SELECT * FROM ({_REPORT}) WHERE NOT passed",
-    "quality_gate_verdict": f"""SELECT bool_and(passed) AS quality_passed, CAST(count_if(passed) AS BIGINT) AS checks_passed,
+    "quality_report": _REPORT,
+    "quality_failures": f"SELECT * FROM ({_REPORT}) WHERE NOT passed",
+    "quality_verdict": f"""SELECT bool_and(passed) AS quality_passed, CAST(count_if(passed) AS BIGINT) AS checks_passed,
         count(*) AS checks_total FROM ({_REPORT})""",
     "quality_freshness": " UNION ALL ".join([
         _FRESH.format("stamped", "ts", "events"),
@@ -255,11 +255,11 @@ _BODIES = {
         FROM names""",
     "landing_metadata": """SELECT ingestion_id, region, date, hour, 'orders' AS source, count(*) AS documents, CAST(sum(videos) AS BIGINT) AS videos
         FROM landed GROUP BY ingestion_id, region, date, hour""",
-    "ingestion_coverage_rows": "SELECT * FROM coverage",
+    "ingestion_coverage": "SELECT * FROM coverage",
     "ingestion_coverage_summary": """SELECT ingestion_id, count(*) AS regions_total, CAST(count_if(landed) AS BIGINT) AS regions_landed,
         coalesce(string_agg(region, ',' ORDER BY region) FILTER (NOT landed), '') AS failed_regions FROM coverage GROUP BY ingestion_id""",
     "partition_overwrite": _TRENDING,
-    "incremental_merge": f"SELECT {_CLEAN} FROM silver_by_value",
+    "incremental_vs_full": f"SELECT {_CLEAN} FROM silver_by_value",
     "pipeline_gold": _REGION_REPORT,
 }
 

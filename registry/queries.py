@@ -47,9 +47,13 @@ CLEAN_COLUMNS = [
 ]
 
 
-def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
-    return build
+def query(name: str) -> Callable[[Query], Query]:
+    """Register a query under ``name``."""
+    def register(build: Query) -> Query:
+        QUERIES[name] = build
+        return build
+
+    return register
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,13 +71,13 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 # Bronze scans and schema resolution
 
-@query
+@query("scan_region_pruned")
 def scan_region_pruned(spark, sf_dir):
     bronze = fn.region_filter(bronze_statistics(spark, sf_dir), TWO_REGIONS)
     return bronze.select("video_id", "region", "trending_date", "views")
 
 
-@query
+@query("csv_bronze_scan")
 def csv_bronze_scan(spark, sf_dir):
     """Bronze written as CSV by region, two regions read back and cleaned."""
     path = work_path(spark, "csv")
@@ -84,7 +88,7 @@ def csv_bronze_scan(spark, sf_dir):
     ).select(*CLEAN_COLUMNS)
 
 
-@query
+@query("csv_text_roundtrip")
 def csv_text_roundtrip(spark, sf_dir):
     """Whole document texts through CSV: quotes, commas and line breaks."""
     path = work_path(spark, "texts")
@@ -93,7 +97,7 @@ def csv_text_roundtrip(spark, sf_dir):
     return back.select("doc_id", "lang", F.length("text").cast("bigint").alias("chars"), F.md5("text").alias("digest"))
 
 
-@query
+@query("csv_inferred_scan")
 def csv_inferred_scan(spark, sf_dir):
     path = work_path(spark, "orders")
     read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice").write.options(**CSV_WRITE).csv(path)
@@ -102,7 +106,7 @@ def csv_inferred_scan(spark, sf_dir):
     )
 
 
-@query
+@query("csv_tolerant_scan")
 def csv_tolerant_scan(spark, sf_dir):
     """Every seventh event line has a field too few; it is kept as text."""
     path = work_path(spark, "tolerant")
@@ -116,31 +120,31 @@ def csv_tolerant_scan(spark, sf_dir):
     ).agg(F.count("*").alias("rows"), F.sum("user_id").alias("users"))
 
 
-@query
+@query("conform_csv")
 def conform_csv(spark, sf_dir):
     return conform_statistics(bronze_statistics(spark, sf_dir), recency="ingested").drop("_recency")
 
 
-@query
+@query("payload_flatten")
 def payload_flatten(spark, sf_dir):
     """Nested API documents to one typed row per video."""
     payloads = trending_payloads(spark, sf_dir).withColumn("date", F.date_format("moment", "yyyy-MM-dd"))
     return _flattened(payloads)
 
 
-@query
+@query("payload_flatten_dotted")
 def payload_flatten_dotted(spark, sf_dir):
     """The same videos from flat columns with dotted names."""
     return _flattened(_flat_payloads(spark, sf_dir, "."))
 
 
-@query
+@query("payload_flatten_underscored")
 def payload_flatten_underscored(spark, sf_dir):
     """The same videos from flat columns with double underscores."""
     return _flattened(_flat_payloads(spark, sf_dir, "__"))
 
 
-@query
+@query("payload_json_scan")
 def payload_json_scan(spark, sf_dir):
     """Payloads of one month each, landed as JSON by region, day and hour, read back and cleaned."""
     path = work_path(spark, "payloads")
@@ -150,7 +154,7 @@ def payload_json_scan(spark, sf_dir):
     return clean_statistics(landed, job_name="check").select(*CLEAN_COLUMNS)
 
 
-@query
+@query("json_decode_encode")
 def json_decode_encode(spark, sf_dir):
     props = F.from_json("props", "k bigint")
     return read(spark, sf_dir, "events").select("event_id", props["k"].alias("k"), F.to_json(props).alias("encoded"))
@@ -158,25 +162,25 @@ def json_decode_encode(spark, sf_dir):
 
 # Silver
 
-@query
+@query("date_parse_two_formats")
 def date_parse_two_formats(spark, sf_dir):
     rows = bronze_statistics(spark, sf_dir)
     return rows.select("trending_date", fn.parse_trending_date("trending_date").alias("parsed")).distinct()
 
 
-@query
+@query("null_fill_and_ratios")
 def null_fill_and_ratios(spark, sf_dir):
     """Filled counters and rates of all rows, copies included."""
     rows = finish_statistics(prepare_statistics(bronze_statistics(spark, sf_dir), recency="ingested"), job_name="check")
     return rows.select("video_id", "description", "views", "likes", "dislikes", "comment_count", "like_ratio", "engagement_rate")
 
 
-@query
+@query("clean_statistics")
 def clean_statistics_rows(spark, sf_dir):
     return silver(spark, sf_dir).select(*CLEAN_COLUMNS)
 
 
-@query
+@query("dedup_latest")
 def dedup_latest(spark, sf_dir):
     """Rows per region before and after keeping the latest copy."""
     before = prepare_statistics(bronze_statistics(spark, sf_dir), recency="ingested")
@@ -189,32 +193,32 @@ def dedup_latest(spark, sf_dir):
     )
 
 
-@query
+@query("statistics_watch")
 def statistics_watch(spark, sf_dir):
     """The warn-only counts watched while silver is written."""
     return silver(spark, sf_dir).agg(*(metric.alias(name) for name, metric in statistics_metrics().items()))
 
 
-@query
+@query("clean_reference")
 def clean_reference_merge(spark, sf_dir):
     return reference(spark, sf_dir).drop("_processed_at", "_job_name")
 
 
-@query
+@query("clean_reference_latest_file")
 def clean_reference_latest_file(spark, sf_dir):
     return clean_reference(
         bronze_reference(spark, sf_dir), job_name="check", mode="latest_file"
     ).drop("_processed_at", "_job_name")
 
 
-@query
+@query("reference_normalised")
 def reference_normalised(spark, sf_dir):
     """Dotted columns for every nested field of a category item."""
     flat = normalise_reference(bronze_reference(spark, sf_dir).drop("date"))
     return flat.withColumnsRenamed({"snippet.title": "title", "snippet.assignable": "assignable"}).drop("_ingestion_timestamp")
 
 
-@query
+@query("reference_json_scan")
 def reference_json_scan(spark, sf_dir):
     """Category documents landed by region and day, read back and cleaned."""
     path = work_path(spark, "categories")
@@ -228,7 +232,7 @@ def reference_json_scan(spark, sf_dir):
     )
 
 
-@query
+@query("reference_files_scan")
 def reference_files_scan(spark, sf_dir):
     """An explicit list of landed folders, their region read from each path."""
     path = work_path(spark, "listed")
@@ -240,18 +244,18 @@ def reference_files_scan(spark, sf_dir):
     )
 
 
-@query
+@query("table_sample_size")
 def table_sample_size(spark, sf_dir):
     """A bounded sample of a table: its size is the limit or the table's own."""
     return table_sample(spark, f"{sf_dir}/lineitem.parquet", 10_000).agg(F.count("*").alias("rows"))
 
 
-@query
+@query("category_lookup")
 def category_names(spark, sf_dir):
     return category_lookup(reference(spark, sf_dir))
 
 
-@query
+@query("stats_with_category")
 def stats_with_category(spark, sf_dir):
     rows = with_category_names(silver(spark, sf_dir), reference(spark, sf_dir))
     return rows.select("video_id", "region", "trending_date_parsed", "category_id", "category_name")
@@ -259,62 +263,62 @@ def stats_with_category(spark, sf_dir):
 
 # Gold
 
-@query
+@query("trending_analytics")
 def trending_table(spark, sf_dir):
     return _trending_output(trending_analytics(silver(spark, sf_dir)))
 
 
-@query
+@query("channel_analytics")
 def channel_table(spark, sf_dir):
     return _channel_output(channel_analytics(silver(spark, sf_dir), reference(spark, sf_dir)))
 
 
-@query
+@query("channel_totals_unranked")
 def channel_totals_unranked(spark, sf_dir):
     return _channel_output(channel_totals(silver(spark, sf_dir), reference(spark, sf_dir)))
 
 
-@query
+@query("category_analytics")
 def category_table(spark, sf_dir):
     return _category_output(category_analytics(silver(spark, sf_dir), reference(spark, sf_dir)))
 
 
-@query
+@query("category_analytics_without_reference")
 def category_table_without_reference(spark, sf_dir):
     return _category_output(category_analytics(silver(spark, sf_dir)))
 
 
 # Reports
 
-@query
+@query("region_targeting")
 def region_targeting_report(spark, sf_dir):
     return region_targeting(trending_analytics(silver(spark, sf_dir)))
 
 
-@query
+@query("category_momentum")
 def category_momentum_report(spark, sf_dir):
     return category_momentum(category_analytics(silver(spark, sf_dir), reference(spark, sf_dir)), TWO_REGIONS)
 
 
-@query
+@query("channel_partners")
 def channel_partners_report(spark, sf_dir):
     return _joined_categories(channel_partners(channel_analytics(silver(spark, sf_dir), reference(spark, sf_dir))))
 
 
-@query
+@query("channel_partners_top15")
 def channel_partners_top15(spark, sf_dir):
     channels = channel_analytics(silver(spark, sf_dir), reference(spark, sf_dir))
     return _joined_categories(channel_partners(channels, limit=15))
 
 
-@query
+@query("channel_top10_region")
 def channel_top10_region(spark, sf_dir):
     channels = channel_totals(fn.region_filter(silver(spark, sf_dir), TARGET_REGION))
     top = channels.orderBy(F.desc("times_trending"), F.asc_nulls_last("channel_title")).limit(10)
     return top.select("channel_title", "total_views", "times_trending")
 
 
-@query
+@query("region_targeting_sql")
 def region_targeting_sql(spark, sf_dir):
     """The report as plain SQL over the gold table."""
     return spark.sql("""
@@ -324,29 +328,29 @@ def region_targeting_sql(spark, sf_dir):
         FROM {gold} GROUP BY region""", gold=trending_analytics(silver(spark, sf_dir)))
 
 
-@query
+@query("publish_timing")
 def publish_timing_report(spark, sf_dir):
     return publish_timing(trending_analytics(silver(spark, sf_dir)), TWO_REGIONS)
 
 
 # Quality
 
-@query
+@query("quality_report")
 def quality_report_rows(spark, sf_dir):
     return _report_output(_report(spark, sf_dir))
 
 
-@query
+@query("quality_failures")
 def quality_failing_rows(spark, sf_dir):
     return _report_output(quality_failures(_report(spark, sf_dir)))
 
 
-@query
+@query("quality_verdict")
 def quality_gate_verdict(spark, sf_dir):
     return quality_verdict(_report(spark, sf_dir))
 
 
-@query
+@query("quality_freshness")
 def quality_freshness(spark, sf_dir):
     """Newest record against the cutoff, from timestamps and from text."""
     now = F.lit(CHECKED_AT)
@@ -368,12 +372,12 @@ def quality_freshness(spark, sf_dir):
 
 # Files, landing, coverage
 
-@query
+@query("file_classification")
 def file_classification(spark, sf_dir):
     return classify_files(_file_names(spark, sf_dir)).select("page_id", "name", "kind", "region", "target")
 
 
-@query
+@query("object_key_regions")
 def object_key_regions(spark, sf_dir):
     """Percent-encoded object keys decoded, region from path and from prefix."""
     files = _file_names(spark, sf_dir)
@@ -385,7 +389,7 @@ def object_key_regions(spark, sf_dir):
     )
 
 
-@query
+@query("landing_metadata")
 def landing_metadata(spark, sf_dir):
     landed = with_pipeline_metadata(trending_payloads(spark, sf_dir), F.col("moment"), "orders")
     return landed.groupBy("_pipeline_metadata.ingestion_id", "region", "date", "hour", "_pipeline_metadata.source").agg(
@@ -393,12 +397,12 @@ def landing_metadata(spark, sf_dir):
     )
 
 
-@query
+@query("ingestion_coverage")
 def ingestion_coverage_rows(spark, sf_dir):
     return _coverage(spark, sf_dir)
 
 
-@query
+@query("ingestion_coverage_summary")
 def ingestion_coverage_summary(spark, sf_dir):
     summary = coverage_summary(_coverage(spark, sf_dir))
     return summary.withColumn("failed_regions", F.array_join("failed_regions", ","))
@@ -406,7 +410,7 @@ def ingestion_coverage_summary(spark, sf_dir):
 
 # Sinks, incremental runs, pipeline
 
-@query
+@query("partition_overwrite")
 def partition_overwrite(spark, sf_dir):
     """Gold written, one region written again: no row is lost or doubled."""
     path = work_path(spark, "gold")
@@ -416,7 +420,7 @@ def partition_overwrite(spark, sf_dir):
     return _trending_output(spark.read.parquet(path))
 
 
-@query
+@query("incremental_vs_full")
 def incremental_merge(spark, sf_dir):
     """Bronze CSV in two deliveries, merged by two incremental runs."""
     bronze_path, silver_path, checkpoint = (work_path(spark, name) for name in ("stream", "silver", "state"))
@@ -431,7 +435,7 @@ def incremental_merge(spark, sf_dir):
     return spark.read.parquet(silver_path).select(*CLEAN_COLUMNS)
 
 
-@query
+@query("pipeline_gold")
 def pipeline_gold(spark, sf_dir):
     """Silver, gate and gold in one run; the report is read from gold."""
     rules = {
