@@ -3,6 +3,7 @@
 from .embedding_join import OP1_SQL, op1_embedding_join
 from .minhash import OP2_SQL, op2_minhash
 from .mixing import op6_mixing
+from .neighbours import op9_neighbours
 from .packing import op8_packing
 from .sharding import op4_sharding
 from .warc import OP7_SQL, op7_warc
@@ -14,6 +15,7 @@ QUERIES = {
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
     "op8_packing": op8_packing,
+    "op9_neighbours": op9_neighbours,
 }
 
 ORACLES = {"op1_embedding_join": OP1_SQL, "op2_minhash": OP2_SQL, "op7_warc": OP7_SQL}
