@@ -2,6 +2,7 @@
 
 from .embedding_join import OP1_SQL, op1_embedding_join
 from .language import op10_language
+from .licences import op5_licences
 from .minhash import OP2_SQL, op2_minhash
 from .mixing import op6_mixing
 from .neighbours import op9_neighbours
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_minhash": op2_minhash,
     "op3_quality": op3_quality,
     "op4_sharding": op4_sharding,
+    "op5_licences": op5_licences,
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
     "op8_packing": op8_packing,
