@@ -1,13 +1,45 @@
-"""Training-data pipeline: documents in, packed token sequences out."""
+"""Training-data pipeline: documents in, packed token sequences out.
+
+Each stage takes the documents that the one before it kept, and all but the
+last return documents with the columns they came with.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from trendlake.llm.language import UNDETERMINED, train_language_model, with_language
+from trendlake.llm.minhash import without_near_duplicates
 from trendlake.llm.mixing import mixed
 from trendlake.llm.packing import pack
+from trendlake.llm.quality import train_quality_model, with_quality
 from trendlake.llm.shared import Workspace
 
+#: A text of which no language reaches this share is rejected.
+LEAST_LANGUAGE_SCORE = 0.35
+LEAST_QUALITY_SCORE = 0.3
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the model knows; it learns from the labelled ones among them."""
+    model = train_language_model(docs, F.lit(True))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    named = with_language(docs, model, "__lang", "__score")
+    return named.where((F.col("__lang") != UNDETERMINED) & (F.col("__score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+
+
+def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model accepts; it learns from ``labels``."""
+    model = train_quality_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), F.lit(True))
+    return with_quality(docs, model, "__score").where(F.col("__score") >= LEAST_QUALITY_SCORE).select(*docs.columns)
+
+
+def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of texts that share 80 % of their five-word shingles."""
+    return without_near_duplicates(docs, words=5, percent=80, bands=40, rows=4)
+
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training order with sources at their target weights; a document stands once for each pass through it."""
@@ -19,9 +51,15 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return pack(docs)
 
 
-STAGES = [("mixing", mix_sources), ("packing", pack_sequences)]
+STAGES = [
+    ("language", identify_language),
+    ("quality", classify_quality),
+    ("near_duplicates", remove_near_duplicates),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
-#: Training, signatures and tokenization can't be written in SQL; the tests compare with brute force.
+#: Trained models, signatures and tokenization can't be written in SQL; the tests compare with brute force.
 ORACLE_SQL = None
 
 

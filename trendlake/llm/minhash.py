@@ -97,7 +97,7 @@ def _class_key(elements: np.ndarray) -> bytes | None:
 
 
 def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """``doc_id, n_shingles, class, bands``: the class names the shingle set, NULL for an empty one."""
+    """``doc_id, text_hash, n_shingles, class, bands``: the class names the shingle set, NULL for an empty one."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,13 +108,13 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                 filled = np.array([len(s) > 0 for s in sets])
                 offsets = np.concatenate(([0], np.cumsum(filled * bands))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id")[part.start:part.stop], pa.array([len(s) for s in sets], pa.int64()),
+                    *[batch.column(c)[part.start:part.stop] for c in ("doc_id", "text_hash")], pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_class_key(s) for s in sets], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[filled].reshape(-1))),
-                ], names=["doc_id", "n_shingles", "class", "bands"])
+                ], names=["doc_id", "text_hash", "n_shingles", "class", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        scan, "doc_id long, n_shingles long, class binary, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        scan, "doc_id long, text_hash long, n_shingles long, class binary, bands array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -158,7 +158,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int,
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: int = BANDS, rows: int = ROWS, rounds: int = 2) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
+    """``doc_id, text_hash, n_shingles, component_id, kept`` for every row of ``docs``."""
     work = Workspace(docs.sparkSession, "minhash")
     signed = work.table("signed", signatures(docs, words, bands, rows))
     classes = signed.where("class is not null and doc_id is not null").groupBy("class").agg(
@@ -186,7 +186,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: i
         before = labels
         labels = work.table(f"labels-{turn}", components(links, work, f"components-{turn}"))
         kept = [f"labels-{turn - 1}"] if before is not None else []
-    rows_ = signed.select("doc_id", "n_shingles", "class")
+    rows_ = signed.select("doc_id", "text_hash", "n_shingles", "class")
     if labels is None:
         return _result(rows_.join(names.select("class", F.col("doc_id").alias("least")), "class", "left"))
     grouped = names.join(labels, F.col("class") == F.col("node"), "left").select(
@@ -198,7 +198,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: i
 
 def _result(rows: DataFrame) -> DataFrame:
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("least", "doc_id"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id"),
+    return rows.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"),
                        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
@@ -229,8 +229,18 @@ def _across(labelled: DataFrame, percent: int) -> DataFrame:
     return met.select(F.col("class").alias("a"), "b").distinct()
 
 
+def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """The documents, one of each group; rows that repeat an id and text count once, rows without id all stay."""
+    found = near_duplicates(docs, **options).where("kept and doc_id is not null")
+    chosen = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("one")).select(
+        F.col("one.doc_id").alias("__id"), F.col("one.text_hash").alias("__hash"))
+    keyed = docs.where("doc_id is not null").withColumn("__text", F.xxhash64("text"))
+    one_each = keyed.join(chosen, (F.col("doc_id") == F.col("__id")) & (F.col("__text") == F.col("__hash"))).dropDuplicates(["__id", "__hash"])
+    return one_each.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_hash")
 
 
 _SPACES = r"[^\x20\x09-\x0D]+"
