@@ -68,24 +68,16 @@ def plan_records(pages: DataFrame, payload: str = "html", min_bytes: int = 0) ->
         F.count("*").alias("copies"), F.min("bytes").cast("long").alias("bytes"), F.min("url").alias("url"),
         F.min("content").alias("content"),
     ).join(choice, ["has_id", "pid", "digest"])
-    leads = (F.struct("has_id", "pid") == F.col("best")) | (F.col("bytes") < min_bytes)
+    leads = F.struct("has_id", "pid") == F.col("best")
     alone = F.col("bytes") < min_bytes
     name = F.when(F.col("has_id"), F.col("pid").cast("string")).otherwise("null")
     target = F.when(F.col("best.has_id"), F.col("best.pid").cast("string")).otherwise("null")
-    rows = rows.select("digest", "bytes", "url", "content", "copies", name.alias("name"), target.alias("target"),
-                       leads.alias("leads"), alone.alias("alone"))
-    first = rows.where("leads").select(
-        F.lit("response").alias("record_type"), "name", F.lit(0).cast("long").alias("copy"), F.lit(None).cast("string").alias("target"),
-        "digest", "bytes", "url", "content",
+    copies = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
+    answers = alone | (leads & (F.col("copy") == 0))
+    return copies.select(
+        F.when(answers, "response").otherwise("revisit").alias("record_type"), name.alias("name"), "copy",
+        F.when(~answers, target).alias("target"), "digest", "bytes", "url", F.when(answers, F.col("content")).alias("content"),
     )
-    # What is left of each row's copies, without contents unless short payloads stand for themselves.
-    rest = rows.where("copies > 1 or not leads").select(
-        F.when(F.col("alone"), "response").otherwise("revisit").alias("record_type"), "name",
-        F.explode(F.sequence(F.when(F.col("leads"), 1).otherwise(0).cast("long"), F.col("copies") - 1)).alias("copy"),
-        F.when(~F.col("alone"), F.col("target")).alias("target"), "digest", "bytes", "url",
-        F.when(F.col("alone"), F.col("content")).alias("content"),
-    )
-    return first.unionByName(rest)
 
 
 def _chunked(content: bytes, size: int) -> bytes:
