@@ -18,14 +18,17 @@ table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import regex
+import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .shared import Workspace, numbered
 
@@ -33,6 +36,8 @@ CAPACITY, END_ID = 1024, 2
 VOCABULARY = "byte_bpe_50k.json"
 #: How the vocabulary's tokenizer splits text before merging; fixed by the vocabulary.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Runs that are left to the slower library.
+RUNS = re.compile(r"\s{2000}|\S{20000}")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -42,29 +47,33 @@ def default_vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
-class WordTokens:
-    """Token ids of texts. A word's ids don't depend on its neighbours, so words are kept; at most ``kept`` of them."""
+def _bytes_of(token: str) -> bytes:
+    """A token of a byte-level vocabulary as bytes: printable Latin-1 stands for itself, the other bytes for U+0100 onwards."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    moved = {chr(0x100 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+    return bytes(moved.get(c, ord(c)) for c in token)
 
-    def __init__(self, path: str, kept: int = 400_000):
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.split, self.kept, self.words = regex.compile(SPLIT).findall, kept, {}
+class Tokens:
+    """Token ids of texts by the vocabulary file.
+
+    The merges are run by the faster of two libraries that give equal ids; texts with
+    runs that its pattern engine can't take go to the other one.
+    """
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)
+        special = {t["content"] for t in model["added_tokens"]}
+        ranks = {_bytes_of(t): i for t, i in model["model"]["vocab"].items() if t not in special}
+        self.fast = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        self.slow = Tokenizer.from_file(path)
+        self.slow.encode_special_tokens = True
 
     def ids(self, text: str) -> np.ndarray:
-        words = self.split(text)
-        known = self.words
-        new = [w for w in set(words) if w not in known]
-        if new:
-            if len(known) > self.kept:
-                known.clear()
-                new = list(set(words))
-            for at in range(0, len(new), 10_000):
-                some = new[at:at + 10_000]
-                for word, code in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                    known[word] = np.array(code.ids, dtype="<u4").tobytes()
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), dtype="<u4")
+        if RUNS.search(text):
+            return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return np.array(self.fast.encode_ordinary(text), dtype="<u4")
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -79,7 +88,7 @@ def pieces_of(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id
     names = [x.split()[0] for x in schema.split(", ")]
 
     def tokenize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens = WordTokens(vocabulary)
+        tokens = Tokens(vocabulary)
         end = np.array([end_id], dtype="<u4")
         for batch in batches:
             rows = []
