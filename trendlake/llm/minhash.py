@@ -158,7 +158,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int,
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: int = BANDS, rows: int = ROWS, rounds: int = 2) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, component_id, kept`` for every row of ``docs``."""
+    """``doc_id, text_hash, group, n_shingles, component_id, kept`` for every row of ``docs``; ``group`` is NULL without shingles."""
     work = Workspace(docs.sparkSession, "minhash")
     signed = work.table("signed", signatures(docs, words, bands, rows))
     classes = signed.where("class is not null and doc_id is not null").groupBy("class").agg(
@@ -188,17 +188,17 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: i
         kept = [f"labels-{turn - 1}"] if before is not None else []
     rows_ = signed.select("doc_id", "text_hash", "n_shingles", "class")
     if labels is None:
-        return _result(rows_.join(names.select("class", F.col("doc_id").alias("least")), "class", "left"))
+        return _result(rows_.join(names.select("class", F.col("doc_id").alias("least"), F.col("class").alias("group")), "class", "left"))
     grouped = names.join(labels, F.col("class") == F.col("node"), "left").select(
         "class", "doc_id", F.coalesce("root", "class").alias("root"))
     least = grouped.groupBy("root").agg(F.min("doc_id").alias("least"))
-    group_of = work.table("groups", grouped.join(least, "root").select("class", "least"))
+    group_of = work.table("groups", grouped.join(least, "root").select("class", "least", F.col("root").alias("group")))
     return _result(rows_.join(group_of, "class", "left"))
 
 
 def _result(rows: DataFrame) -> DataFrame:
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("least", "doc_id"))
-    return rows.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"),
+    return rows.select("doc_id", "text_hash", "group", "n_shingles", component.alias("component_id"),
                        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
@@ -232,7 +232,7 @@ def _across(labelled: DataFrame, percent: int) -> DataFrame:
 def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The documents, one of each group; rows that repeat an id and text count once, rows without id all stay."""
     found = near_duplicates(docs, **options).where("kept and doc_id is not null")
-    chosen = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("one")).select(
+    chosen = found.groupBy("component_id", "group").agg(F.min(F.struct("doc_id", "text_hash")).alias("one")).select(
         F.col("one.doc_id").alias("__id"), F.col("one.text_hash").alias("__hash"))
     keyed = docs.where("doc_id is not null").withColumn("__text", F.xxhash64("text"))
     one_each = keyed.join(chosen, (F.col("doc_id") == F.col("__id")) & (F.col("__text") == F.col("__hash"))).dropDuplicates(["__id", "__hash"])
@@ -240,7 +240,7 @@ def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_hash")
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_hash", "group")
 
 
 _SPACES = r"[^\x20\x09-\x0D]+"
