@@ -57,7 +57,7 @@ def crc_bucket(id_column: str, modulus: int) -> Column:
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % modulus
 
 
-def numbered(df: DataFrame, keys: list[str], order: list[str], number: str, block_rows: int = 20_000,
+def numbered(df: DataFrame, keys: list[str], order: list[str], number: str, block_rows: int = 1_000,
              amount: str | None = None, before: str | None = None) -> DataFrame:
     """Number the rows of each group from 0 in a fixed, hashed order.
 
