@@ -23,17 +23,16 @@ _DATE = (
 
 
 def _half_up(value: str, digits: int) -> str:
-    """Half-up rounding of the shortest decimal text of a double."""
-    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE)"
+    """Half-up rounding of the shortest decimal text of a double; large doubles have no such digits."""
+    return f"CASE WHEN abs({value}) < 1e15 THEN CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE) ELSE {value} END"
 
 
 def _rate_mean(rate: str) -> str:
-    """Mean of 4-decimal rates from whole ten-thousandths."""
-    return f"CAST(sum(CAST(round({rate} * 10000) AS BIGINT)) AS DOUBLE) / count({rate}) / 10000"
+    return f"avg(CAST({rate} AS DECIMAL(28,4)))"
 
 
 _RATE = "CASE WHEN views > 0 THEN " + _half_up("{} / views * 100", 4) + " ELSE 0.0 END"
-_RATES = f"{_RATE.format('likes')} AS like_ratio, {_RATE.format('(likes + dislikes + comment_count)')} AS engagement_rate"
+_RATES = f"{_RATE.replace('{}', 'likes')} AS like_ratio, {_RATE.replace('{}', '(likes::HUGEINT + dislikes + comment_count)')} AS engagement_rate"
 
 
 def _filled(source: str) -> str:
@@ -66,6 +65,8 @@ FROM bronze""",
     "filled": _filled("typed"),
     "silver": _latest("filled", "ingested DESC NULLS LAST, "),
     "silver_by_value": _latest("filled"),
+    # The second delivery is newer than the first; within one, the counters decide.
+    "delivered": _latest("(SELECT *, comment_count % 2 AS delivery FROM filled)", "delivery DESC, "),
     "items": REFERENCE_ITEMS_SQL,
     "categories": """
 SELECT TRY_CAST(id AS BIGINT) AS category_id, trim(title) AS category_title, assignable, kind, lower(region) AS region,
@@ -80,16 +81,16 @@ SELECT category_id, arg_min(category_title, region) AS category_name FROM refere
 SELECT silver.*, coalesce(lookup.category_name, 'Unknown') AS category_name
 FROM silver LEFT JOIN lookup ON silver.category_id = lookup.category_id""",
     "trending": f"""
-SELECT region, trending_date_parsed, count(video_id) AS total_videos, CAST(sum(views) AS BIGINT) AS total_views,
-       CAST(sum(likes) AS BIGINT) AS total_likes, CAST(sum(dislikes) AS BIGINT) AS total_dislikes,
-       CAST(sum(comment_count) AS BIGINT) AS total_comments, avg(views) AS avg_views_per_video,
+SELECT region, trending_date_parsed, count(video_id) AS total_videos, TRY_CAST(sum(views) AS BIGINT) AS total_views,
+       TRY_CAST(sum(likes) AS BIGINT) AS total_likes, TRY_CAST(sum(dislikes) AS BIGINT) AS total_dislikes,
+       TRY_CAST(sum(comment_count) AS BIGINT) AS total_comments, avg(views) AS avg_views_per_video,
        {_rate_mean('like_ratio')} AS avg_like_ratio, {_rate_mean('engagement_rate')} AS avg_engagement_rate, max(views) AS max_views,
        count(DISTINCT channel_title) AS unique_channels, count(DISTINCT category_id) AS unique_categories
 FROM silver GROUP BY region, trending_date_parsed""",
     "channel": f"""
 SELECT *, CAST(row_number() OVER (PARTITION BY region ORDER BY total_views DESC NULLS LAST, channel_title ASC NULLS LAST) AS INTEGER) AS rank_in_region
-FROM (SELECT channel_title, region, count(DISTINCT video_id) AS total_videos, CAST(sum(views) AS BIGINT) AS total_views,
-             CAST(sum(likes) AS BIGINT) AS total_likes, CAST(sum(comment_count) AS BIGINT) AS total_comments,
+FROM (SELECT channel_title, region, count(DISTINCT video_id) AS total_videos, TRY_CAST(sum(views) AS BIGINT) AS total_views,
+             TRY_CAST(sum(likes) AS BIGINT) AS total_likes, TRY_CAST(sum(comment_count) AS BIGINT) AS total_comments,
              avg(views) AS avg_views_per_video, {_rate_mean('engagement_rate')} AS avg_engagement_rate, max(views) AS peak_views,
              count(trending_date_parsed) AS times_trending, min(trending_date_parsed) AS first_trending,
              max(trending_date_parsed) AS last_trending,
@@ -98,8 +99,8 @@ FROM (SELECT channel_title, region, count(DISTINCT video_id) AS total_videos, CA
     "category": f"""
 SELECT *, {_half_up('total_views / nullif(sum(total_views) OVER (PARTITION BY region, trending_date_parsed), 0) * 100', 2)} AS view_share_pct
 FROM (SELECT category_name, category_id, region, trending_date_parsed, count(video_id) AS video_count,
-             CAST(sum(views) AS BIGINT) AS total_views, CAST(sum(likes) AS BIGINT) AS total_likes,
-             CAST(sum(comment_count) AS BIGINT) AS total_comments, {_rate_mean('engagement_rate')} AS avg_engagement_rate,
+             TRY_CAST(sum(views) AS BIGINT) AS total_views, TRY_CAST(sum(likes) AS BIGINT) AS total_likes,
+             TRY_CAST(sum(comment_count) AS BIGINT) AS total_comments, {_rate_mean('engagement_rate')} AS avg_engagement_rate,
              count(DISTINCT channel_title) AS unique_channels
       FROM named GROUP BY category_name, category_id, region, trending_date_parsed)""",
     "videos": VIDEOS_SQL,
@@ -112,9 +113,11 @@ SELECT strftime(o_orderdate, '%Y%m%d_%H%M%S') AS ingestion_id, lower(r_name) AS
        strftime(o_orderdate, '%H') AS hour, CASE WHEN o_orderkey % 19 = 0 OR o_orderkey % 17 = 0 THEN 0 ELSE 2 END AS videos
 FROM orders JOIN region ON o_custkey % 5 = r_regionkey""",
     "coverage": """
-SELECT ingestion_id, region, coalesce(documents, 0) AS documents, coalesce(videos, 0) AS videos, documents IS NOT NULL AS landed
-FROM (SELECT DISTINCT ingestion_id FROM landed) CROSS JOIN (SELECT lower(r_name) AS region FROM region)
-LEFT JOIN (SELECT ingestion_id, region, count(*) AS documents, CAST(sum(videos) AS BIGINT) AS videos FROM landed GROUP BY ALL)
+SELECT ingestion_id, region, coalesce(documents, 0) AS documents, coalesce(videos, 0) AS videos, documents IS NOT NULL AS landed,
+       wanted IS NOT NULL AS expected
+FROM (SELECT ingestion_id, region, true AS wanted FROM (SELECT DISTINCT ingestion_id FROM landed UNION SELECT '20000101_000000')
+      CROSS JOIN (SELECT lower(r_name) AS region FROM region WHERE r_name <> 'AFRICA'))
+FULL JOIN (SELECT ingestion_id, region, count(*) AS documents, CAST(sum(videos) AS BIGINT) AS videos FROM landed GROUP BY ALL)
 USING (ingestion_id, region)""",
     "names": r"""
 SELECT page_id, CASE page_id % 4 WHEN 0 THEN upper(host[1:2]) || 'videos.csv' WHEN 1 THEN upper(host[1:2]) || '_category_id.json'
@@ -217,8 +220,41 @@ _BODIES = {
         FROM items WHERE lower(region) IN {TWO} GROUP BY 1""",
     "reference_files_scan": f"""SELECT region, count(DISTINCT category_id) AS categories, min(category_id) AS first_id, max(category_id) AS last_id
         FROM categories WHERE region IN {TWO} GROUP BY region""",
-    "table_sample_size": "SELECT least(count(*), 10000) AS rows FROM lineitem",
-    "region_targeting_sql": _REGION_REPORT,
+    "registered_table_sql": """SELECT region, count(*) AS days, max(total_views) AS best_day, min(trending_date_parsed) AS first_day
+        FROM trending WHERE total_videos > 1 GROUP BY region""",
+    "large_rates": """SELECT o_custkey % 25 AS customer, avg(CAST(engagement_rate AS DECIMAL(28,4))) AS mean_rate, max(engagement_rate) AS top_rate FROM (
+        SELECT o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN floor(o_totalprice) * 100.0 ELSE o_orderkey % 40 * 0.5 END AS engagement_rate
+        FROM orders) GROUP BY 1""",
+    "full_then_update": f"SELECT {_CLEAN} FROM delivered",
+    "reference_update": """SELECT category_id, category_title, assignable, kind, region FROM (
+        SELECT TRY_CAST(id AS BIGINT) AS category_id, trim(title) AS category_title, assignable, kind, lower(region) AS region, pos,
+               CAST(substr(source_file, 5) AS BIGINT) AS part_key FROM items WHERE TRY_CAST(id AS BIGINT) IS NOT NULL)
+        WHERE part_key = CASE region WHEN 'africa' THEN 10 WHEN 'america' THEN 6 WHEN 'asia' THEN 7 WHEN 'europe' THEN 8 ELSE 9 END
+        QUALIFY row_number() OVER (PARTITION BY category_id, region ORDER BY pos DESC) = 1""",
+    "file_routing": """SELECT region, kind, count(*) AS rows FROM (
+        SELECT upper(substr(r_name, 1, 2)) AS region, 'raw_stats' AS kind FROM lineitem JOIN region ON l_suppkey % 5 = r_regionkey
+        UNION ALL SELECT upper(substr(r_name, 1, 2)), 'raw_stats_reference_data' FROM part JOIN region ON p_partkey % 5 = r_regionkey) GROUP BY ALL""",
+    "source_provenance": """SELECT lower(r_name) AS region, 'region=' || lower(r_name) AS folder, count(*) AS documents
+        FROM part JOIN region ON p_partkey % 5 = r_regionkey GROUP BY ALL""",
+    "channel_sink": f"SELECT * REPLACE ({_AVERAGES}) FROM channel",
+    "category_sink": f"SELECT * REPLACE ({_half_up('avg_engagement_rate', 4)} AS avg_engagement_rate) FROM category",
+    "write_metrics": """SELECT 'clean_statistics' AS "table", count(*) AS rows, CAST(count_if(video_id IS NULL) AS BIGINT) AS null_first,
+        CAST(count_if(views < 0) AS BIGINT) AS negative_views, CAST((SELECT count(*) FROM filled) AS BIGINT) AS rows_in FROM silver
+        UNION ALL SELECT 'clean_reference_data', count(*), CAST(count_if(category_id IS NULL) AS BIGINT), NULL, NULL FROM reference""",
+    "optional_reference": f"SELECT * REPLACE ('Unknown' AS category_name, {_half_up('avg_engagement_rate', 4)} AS avg_engagement_rate) FROM category",
+    "audit_columns": """SELECT layer, '2024-01-31 00:00:00' AS stamp, count(*) AS rows FROM (
+        SELECT 'silver:check' AS layer FROM silver UNION ALL SELECT 'reference:check' FROM reference
+        UNION ALL SELECT 'gold' FROM trending UNION ALL SELECT 'normalised' FROM (
+            SELECT 1 FROM items QUALIFY row_number() OVER (PARTITION BY id, region, source_file ORDER BY pos DESC) = 1)) GROUP BY layer""",
+    "quality_unreadable": """SELECT 'broken' AS "table", 'read_table' AS "check", false AS passed UNION ALL
+        SELECT 'missing', 'read_table', false UNION ALL SELECT 'orders', 'row_count', (SELECT count(*) >= 10 FROM orders)""",
+    "category_momentum_all": "SELECT region, trending_date_parsed, category_name, view_share_pct FROM category",
+    "publish_timing_all": f"""SELECT trending_date_parsed, region, CAST(sum(total_views) AS BIGINT) AS total_views,
+        {_half_up('avg(avg_engagement_rate)', 4)} AS avg_engagement_rate, {_half_up('avg(avg_like_ratio)', 4)} AS avg_like_ratio
+        FROM trending GROUP BY trending_date_parsed, region""",
+    "payload_json_scan_all": f"SELECT {_CLEAN} FROM monthly_silver",
+    "reference_json_scan_all": """SELECT lower(region) AS region, '2024-01-31' AS date, count(*) AS items, count(DISTINCT id) AS ids, max(title) AS last_title
+        FROM items GROUP BY 1""",
     "category_lookup": "SELECT * FROM lookup",
     "stats_with_category": "SELECT video_id, region, trending_date_parsed, category_id, category_name FROM named",
     "trending_analytics": _TRENDING,
@@ -256,8 +292,10 @@ _BODIES = {
     "landing_metadata": """SELECT ingestion_id, region, date, hour, 'orders' AS source, count(*) AS documents, CAST(sum(videos) AS BIGINT) AS videos
         FROM landed GROUP BY ingestion_id, region, date, hour""",
     "ingestion_coverage": "SELECT * FROM coverage",
-    "ingestion_coverage_summary": """SELECT ingestion_id, count(*) AS regions_total, CAST(count_if(landed) AS BIGINT) AS regions_landed,
-        coalesce(string_agg(region, ',' ORDER BY region) FILTER (NOT landed), '') AS failed_regions FROM coverage GROUP BY ingestion_id""",
+    "ingestion_coverage_summary": """SELECT ingestion_id, CAST(count_if(expected) AS BIGINT) AS regions_total,
+        CAST(count_if(expected AND landed) AS BIGINT) AS regions_landed,
+        coalesce(string_agg(region, ',' ORDER BY region) FILTER (NOT landed), '') AS failed_regions,
+        coalesce(string_agg(region, ',' ORDER BY region) FILTER (NOT expected), '') AS unexpected_regions FROM coverage GROUP BY ingestion_id""",
     "partition_overwrite": _TRENDING,
     "incremental_vs_full": f"SELECT {_CLEAN} FROM silver_by_value",
     "pipeline_gold": _REGION_REPORT,

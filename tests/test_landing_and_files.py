@@ -38,12 +38,12 @@ def test_coverage(spark, tmp_path):
     landed = read_trending_documents(spark, str(tmp_path), one_per_line=True)
     coverage = ingestion_coverage(landed, "US,gb, fr")
     run = "20260302_040506"
-    assert rows(coverage) == [(run, "fr", 0, 0, False), (run, "gb", 1, 0, True), (run, "us", 1, 2, True)]
-    assert rows(coverage_summary(coverage)) == [(run, 3, 2, ["fr"])]
+    assert rows(coverage.where("expected").drop("expected")) == [(run, "fr", 0, 0, False), (run, "gb", 1, 0, True), (run, "us", 1, 2, True)]
+    assert rows(coverage_summary(coverage)) == [(run, 3, 2, ["fr"], ["de"])]
     expected = spark.createDataFrame([("US",), ("gb",), (" fr",)], "region string")
     assert rows(ingestion_coverage(landed, expected)) == rows(coverage)
     none = ingestion_coverage(landed, ["xx"])
-    assert rows(none) == [(run, "xx", 0, 0, False)]
+    assert rows(none.where("expected")) == [(run, "xx", 0, 0, False, True)]
 
 
 def make_files(folder):

@@ -92,10 +92,14 @@ def test_verdict_failures_and_gate(spark):
     assert quality_verdict(quality_report(spark, {}, {})).first()[:] == (True, 0, 0)
 
 
-def test_sample_and_tables_by_name(spark, tmp_path):
+def test_a_file_that_fails_while_read_fails_its_own_table(spark, tmp_path):
     spark.range(100).write.parquet(str(tmp_path / "t"))
-    df = quality_report(spark, {"t": str(tmp_path / "t")}, {}, sample_limit=7)
-    assert one(df, "row_count")["value"] == 7
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part.parquet").write_bytes(b"no parquet")
+    tables = {"bad": spark.read.schema("id bigint").parquet(str(tmp_path / "bad")), "t": str(tmp_path / "t")}
+    df = quality_report(spark, tables, {}, read_now=True)
+    assert one(df.where("`table` = 't'"), "row_count")["value"] == 100
+    assert not one(df.where("`table` = 'bad'"), "read_table")["passed"]
 
 
 def test_one_pass_reads_only_checked_columns(spark, tmp_path):

@@ -30,4 +30,6 @@ def test_entry(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() == 5
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())

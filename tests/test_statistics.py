@@ -23,7 +23,7 @@ def test_csv_values_are_cast_or_null(spark):
         ("a", None, 0, 0, 2, None, "us", date(2017, 11, 14)),
         ("b", 10, 200, 7, 1, True, "us", None),
     ]
-    assert df.columns[-5:] == ["trending_date_parsed", "like_ratio", "engagement_rate", "_processed_at", "_job_name"]
+    assert df.columns[-6:] == ["trending_date_parsed", "like_ratio", "engagement_rate", "_processed_at", "_job_name", "_recency"]
     assert dict(df.dtypes)["views"] == "bigint" and dict(df.dtypes)["_processed_at"] == "timestamp"
 
 

@@ -1,12 +1,11 @@
 """Fixed values the results depend on, in one place.
 
-Everything here is a default: each function that uses one takes it as an
-argument too.
+Regions, thresholds and watched columns are defaults: the functions that use
+them take them as arguments too. Formats, patterns and names are fixed.
 """
 
-# The ten landed regions and the four the cleansing job reads.
+# The ten landed regions.
 LANDED_REGIONS = ("us", "gb", "ca", "de", "fr", "in", "jp", "kr", "mx", "ru")
-CLEANSED_REGIONS = ("ca", "gb", "us", "in")
 
 # Spelling of the short trending date (year.day.month).
 SHORT_DATE_FORMAT = "yy.dd.MM"

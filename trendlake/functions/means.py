@@ -1,9 +1,10 @@
 """Means that do not depend on the order of their rows.
 
 A sum of doubles changes in its last bits with the order of the rows, and with
-it the result of rounding. Rates have 4 decimals, so they are summed exactly,
-as whole ten-thousandths. Where a value is too large for that, or the sum
-overflows, the mean comes from the sum of doubles instead.
+it the result of rounding. Rates have 4 decimals, so all of them are summed as
+whole ten-thousandths in one exact decimal type, whatever their size. The
+largest rate there can be, three counters of 2^63 over one view, has 26 digits
+in that unit; the sum has room for 10^12 of those.
 """
 
 from __future__ import annotations
@@ -11,55 +12,41 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Rates up to this size are summed exactly.
-_EXACT_LIMIT = 1_000_000
 _UNITS = 10_000
 
 
 def rate_mean(rate: str) -> Column:
     """Aggregate: mean of a column of 4-decimal rates."""
-    return _finish(*_sums(rate))
+    return _finish(F.sum(_units(rate)), F.count(rate))
 
 
 def count_mean(counter: str) -> Column:
-    """Aggregate: mean of whole numbers from their exact sum."""
-    return F.try_divide(F.sum(counter), F.count(counter))
+    """Aggregate: mean of whole numbers from their exact sum; NULL when that passes 2^63."""
+    return F.try_divide(F.try_sum(counter), F.count(counter))
 
 
 def rate_parts(rate: str) -> list[Column]:
     """Aggregates a mean of rates can be finished from later."""
-    return [part.alias(name) for part, name in zip(_sums(rate), _names(rate))]
+    return [part.alias(name) for part, name in zip((F.sum(_units(rate)), F.count(rate)), _names(rate))]
 
 
 def merged_rate_parts(rate: str, rows: Column) -> list[Column]:
     """Aggregates over earlier parts, of the rows where ``rows`` holds."""
-    whole, whole_rows, total, count = _names(rate)
-    # A sum that overflowed no longer counts as exact.
-    exact_rows = F.when(F.col(whole).isNotNull(), F.col(whole_rows))
-    return [
-        F.try_sum(F.when(rows, F.col(whole))).alias(whole),
-        F.sum(F.when(rows, exact_rows)).alias(whole_rows),
-        F.sum(F.when(rows, F.col(total))).alias(total),
-        F.sum(F.when(rows, F.col(count))).alias(count),
-    ]
+    return [F.sum(F.when(rows, F.col(name))).alias(name) for name in _names(rate)]
 
 
 def rate_mean_of_parts(rate: str) -> Column:
     """Aggregate: the mean from merged parts."""
-    whole, whole_rows, total, count = _names(rate)
-    exact_rows = F.sum(F.when(F.col(whole).isNotNull(), F.col(whole_rows)))
-    return _finish(F.try_sum(whole), exact_rows, F.sum(total), F.sum(count))
+    return _finish(*(F.sum(name) for name in _names(rate)))
 
 
 def _names(rate: str) -> list[str]:
-    return [f"_{rate}_{part}" for part in ("whole", "whole_rows", "total", "rows")]
+    return [f"_{rate}_{part}" for part in ("units", "rows")]
 
 
-def _sums(rate: str) -> tuple[Column, Column, Column, Column]:
-    whole = F.when(F.abs(rate) <= _EXACT_LIMIT, F.rint(F.col(rate) * _UNITS).cast("bigint"))
-    return F.try_sum(whole), F.count(whole), F.sum(rate), F.count(rate)
+def _units(rate: str) -> Column:
+    return (F.col(rate).cast("decimal(28,4)") * _UNITS).cast("decimal(28,0)")
 
 
-def _finish(whole: Column, whole_rows: Column, total: Column, rows: Column) -> Column:
-    exact = F.when(whole_rows == rows, F.try_divide(whole, rows) / F.lit(_UNITS))
-    return F.coalesce(exact, F.try_divide(total, rows))
+def _finish(units: Column, rows: Column) -> Column:
+    return F.try_divide(units.cast("double"), (rows * _UNITS).cast("double"))

@@ -2,7 +2,8 @@
 
 All of them start from silver statistics. Spark aggregates on the map side and
 shuffles distinct counts on (group, value) first, so a hot region, day or
-channel is spread over the cluster before it is brought together.
+channel is spread over the cluster before it is brought together. A total that
+passes 2^63 is NULL, and so is the mean taken from it; it never stops the job.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ def trending_analytics(stats: DataFrame, aggregated_at: Column | None = None) ->
         F.count_distinct("channel_title").alias("unique_channels"),
         F.count_distinct("category_id").alias("unique_categories"),
     )
-    return _stamped(totals, aggregated_at)
+    return stamped(totals, aggregated_at)
 
 
 def channel_analytics(
@@ -50,7 +51,7 @@ def channel_analytics(
     ``categories`` is sorted, and channels with equal views are ranked by
     name, so the table is the same on every run.
     """
-    return _stamped(rank_channels(channel_totals(stats, reference)), aggregated_at)
+    return stamped(rank_channels(channel_totals(stats, reference)), aggregated_at)
 
 
 def channel_totals(stats: DataFrame, reference: DataFrame | None = None) -> DataFrame:
@@ -68,7 +69,7 @@ def channel_totals(stats: DataFrame, reference: DataFrame | None = None) -> Data
         [(*place, "video_id"), (*place, category)], *place, "video_id", category
     ).agg(
         (F.grouping("video_id") == 1).alias("_of_category"),
-        *(F.sum(name).alias(name) for name in counters),
+        *(F.sum(F.col(name).cast("decimal(20,0)")).alias(name) for name in counters),
         F.count("views").alias("_view_rows"),
         *rate_parts("engagement_rate"),
         F.max("views").alias("_peak"),
@@ -76,11 +77,9 @@ def channel_totals(stats: DataFrame, reference: DataFrame | None = None) -> Data
         F.min("trending_date_parsed").alias("_first"),
         F.max("trending_date_parsed").alias("_last"),
     )
-    named = with_category_names(folded, reference).withColumn(
-        "_name", F.when(F.col("_of_category"), F.col("category_name"))
-    )
     of_videos = ~F.col("_of_category")
-    parts = named.groupBy(*place, "_name").agg(
+    # One row per channel and category is left for the lookup, and one without a category for the videos.
+    parts = folded.groupBy(*place, "_of_category", category).agg(
         F.count("video_id").alias("_videos"),
         *(F.sum(F.when(of_videos, F.col(name))).alias(name) for name in (*counters, "_view_rows", "_days")),
         *merged_rate_parts("engagement_rate", of_videos),
@@ -88,10 +87,12 @@ def channel_totals(stats: DataFrame, reference: DataFrame | None = None) -> Data
         F.min("_first").alias("_first"),
         F.max("_last").alias("_last"),
     )
-    return parts.groupBy(*place).agg(
+    named = with_category_names(parts, reference).withColumn("_name", F.when(F.col("_of_category"), F.col("category_name")))
+    total_views = F.sum("views").try_cast("bigint")
+    return named.groupBy(*place).agg(
         F.sum("_videos").alias("total_videos"),
-        *_totals(*counters),
-        F.try_divide(F.sum("views"), F.sum("_view_rows")).alias("avg_views_per_video"),
+        *(F.sum(name).try_cast("bigint").alias(_TOTAL_NAMES[name]) for name in counters),
+        F.try_divide(total_views, F.sum("_view_rows")).alias("avg_views_per_video"),
         rate_mean_of_parts("engagement_rate").alias("avg_engagement_rate"),
         F.max("_peak").alias("peak_views"),
         F.sum("_days").alias("times_trending"),
@@ -103,8 +104,8 @@ def channel_totals(stats: DataFrame, reference: DataFrame | None = None) -> Data
 
 def rank_channels(channels: DataFrame) -> DataFrame:
     """``rank_in_region`` by total views, names breaking ties."""
-    order = [F.desc_nulls_last("total_views"), F.asc_nulls_last("channel_title")]
-    return number_rows(channels, "region", order, "rank_in_region")
+    ranked = number_rows(channels, "region", "total_views", "channel_title", "rank_in_region")
+    return ranked.withColumn("rank_in_region", F.col("rank_in_region").cast("int"))
 
 
 def category_analytics(
@@ -118,7 +119,7 @@ def category_analytics(
         rate_mean("engagement_rate").alias("avg_engagement_rate"),
         F.count_distinct("channel_title").alias("unique_channels"),
     )
-    return _stamped(with_view_share(with_category_names(totals, reference)), aggregated_at)
+    return stamped(with_view_share(with_category_names(totals, reference)), aggregated_at)
 
 
 def with_view_share(categories: DataFrame) -> DataFrame:
@@ -127,15 +128,15 @@ def with_view_share(categories: DataFrame) -> DataFrame:
     A window partition holds one row per category, never detail rows.
     """
     day = Window.partitionBy("region", "trending_date_parsed")
-    share = share_percent(F.col("total_views"), F.sum("total_views").over(day), 2)
+    share = share_percent(F.col("total_views"), F.try_sum("total_views").over(day), 2)
     leading = ["category_name", "category_id", "region", "trending_date_parsed"]
     rest = [c for c in categories.columns if c not in leading]
     return categories.select(*leading, *rest, share.alias("view_share_pct"))
 
 
-def _stamped(df: DataFrame, aggregated_at: Column | None) -> DataFrame:
+def stamped(df: DataFrame, aggregated_at: Column | None = None) -> DataFrame:
     return df.withColumn(AGGREGATED_AT, F.current_timestamp() if aggregated_at is None else aggregated_at)
 
 
 def _totals(*counters: str) -> list[Column]:
-    return [F.sum(name).alias(_TOTAL_NAMES[name]) for name in counters]
+    return [F.try_sum(name).alias(_TOTAL_NAMES[name]) for name in counters]

@@ -55,42 +55,52 @@ def land_payloads(
 
 
 def ingestion_coverage(
-    landed: DataFrame, expected: str | Iterable[str] | DataFrame = K.LANDED_REGIONS
+    landed: DataFrame, expected: str | Iterable[str] | DataFrame = K.LANDED_REGIONS,
+    runs: Iterable[str] | DataFrame | None = None,
 ) -> DataFrame:
     """Expected regions against landed documents, per ingestion run.
 
     One row per run and expected region: documents and videos that arrived,
-    and whether any did. ``expected`` is a list of codes or a DataFrame with a
-    ``region`` column. The landed documents are read once.
+    and whether any did; regions that landed without being expected follow with
+    ``expected`` false. ``expected`` is a list of codes or a DataFrame with a
+    ``region`` column. ``runs`` (ids, or a DataFrame with ``ingestion_id``) are
+    reported even when nothing of them landed; without it only runs that landed
+    something are known.
     """
     meta = F.col("_pipeline_metadata")
-    if isinstance(expected, DataFrame):
-        codes = expected.agg(F.array_sort(F.collect_set(normal_region("region")))).scalar()
-    else:
-        codes = F.array(*map(F.lit, sorted(set(region_list(expected)))))
+    spark = landed.sparkSession
+    if not isinstance(expected, DataFrame):
+        expected = spark.createDataFrame([(code,) for code in sorted(set(region_list(expected)))], "region string")
+    codes = expected.select(normal_region("region").alias("region")).distinct()
     arrived = landed.groupBy(
         meta["ingestion_id"].alias("ingestion_id"), normal_region(meta["region"]).alias("region")
     ).agg(F.count(F.lit(1)).alias("documents"), F.sum(meta["video_count"]).alias("videos"))
-    # Only expected regions enter the map, so it never outgrows their list.
-    known = F.when(F.array_contains("_codes", F.col("region")), F.struct("region", F.struct("documents", "videos")))
-    return (
-        arrived.withColumn("_codes", codes)
-        .groupBy("ingestion_id", "_codes")
-        .agg(F.map_from_entries(F.collect_list(known)).alias("_found"))
-        .select("ingestion_id", "_found", F.explode("_codes").alias("region"))
-        .select(
-            "ingestion_id", "region",
-            F.coalesce(F.col("_found")[F.col("region")]["documents"], F.lit(0)).alias("documents"),
-            F.coalesce(F.col("_found")[F.col("region")]["videos"], F.lit(0)).alias("videos"),
-            F.map_contains_key("_found", F.col("region")).alias("landed"),
-        )
+    known = arrived.select("ingestion_id")
+    if runs is not None:
+        if not isinstance(runs, DataFrame):
+            runs = spark.createDataFrame([(run,) for run in runs], "ingestion_id string")
+        known = known.union(runs.select("ingestion_id"))
+    # The report has a row for each run and expected region, so this product is its size.
+    wanted = known.distinct().crossJoin(codes).withColumn("expected", F.lit(True))
+    found = arrived.withColumnsRenamed({"ingestion_id": "_run", "region": "_region"})
+    same = F.col("ingestion_id").eqNullSafe(F.col("_run")) & F.col("region").eqNullSafe(F.col("_region"))
+    met = wanted.join(found, same, "full")
+    is_expected = F.coalesce("expected", F.lit(False))
+    return met.select(
+        F.when(is_expected, F.col("ingestion_id")).otherwise(F.col("_run")).alias("ingestion_id"),
+        F.when(is_expected, F.col("region")).otherwise(F.col("_region")).alias("region"),
+        F.coalesce("documents", F.lit(0)).alias("documents"),
+        F.coalesce("videos", F.lit(0)).alias("videos"),
+        F.col("documents").isNotNull().alias("landed"),
+        is_expected.alias("expected"),
     )
 
 
 def coverage_summary(coverage: DataFrame) -> DataFrame:
-    """Per run: regions expected and landed, and the codes that failed."""
+    """Per run: regions expected and landed, the codes that failed and those that were not expected."""
     return coverage.groupBy("ingestion_id").agg(
-        F.count(F.lit(1)).alias("regions_total"),
-        F.count_if("landed").alias("regions_landed"),
+        F.count_if("expected").alias("regions_total"),
+        F.count_if(F.col("expected") & F.col("landed")).alias("regions_landed"),
         F.array_sort(F.collect_list(F.when(~F.col("landed"), F.col("region")))).alias("failed_regions"),
+        F.array_sort(F.collect_list(F.when(~F.col("expected"), F.col("region")))).alias("unexpected_regions"),
     )

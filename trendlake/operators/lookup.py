@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..constants import UNKNOWN_CATEGORY
 from ..functions import field
-from ..session import small_side
 
 # Column pairs a reference table may use for id and name.
 _LAYOUTS = (
@@ -50,13 +49,14 @@ def with_category_names(stats: DataFrame, reference: DataFrame | None = None) ->
     """``stats`` with a ``category_name`` that is never NULL.
 
     Works on detail rows and on rows already aggregated by ``category_id``;
-    the library joins after aggregating wherever it can. The lookup is
-    broadcast after its size was measured.
+    the library joins after aggregating wherever it can. There is no broadcast
+    hint: Spark broadcasts the lookup when its measured size is below its
+    threshold, and splits hot categories of a shuffled join.
     """
     lookup = category_lookup(reference)
     if lookup is not None:
         stats = stats.withColumn("category_id", F.col("category_id").try_cast("bigint")).drop("category_name")
-        stats = stats.join(small_side(lookup), "category_id", "left")
+        stats = stats.join(lookup, "category_id", "left")
     if "category_name" not in stats.columns:
         return stats.withColumn("category_name", F.lit(UNKNOWN_CATEGORY))
     return stats.fillna(UNKNOWN_CATEGORY, subset=["category_name"])

@@ -10,7 +10,8 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,13 +58,15 @@ def quality_report(
     rules: Mapping[str, QualityRules],
     *,
     now: Column | None = None,
-    sample_limit: int | None = None,
+    read_now: bool = False,
 ) -> DataFrame:
-    """One row per rule and table.
+    """One row per rule and table, over whole tables.
 
     ``tables`` maps a label to a DataFrame, a table name or a path. A table
-    that cannot be resolved becomes a failing ``read_table`` row. The whole
-    table is checked unless ``sample_limit`` is given.
+    that cannot be resolved becomes a failing ``read_table`` row. With
+    ``read_now`` each table is measured at once, so that a file that fails while
+    it is read fails its own table only, and the others are still reported;
+    the driver gets one row per rule.
     """
     now = F.current_timestamp() if now is None else now
     reports = []
@@ -73,9 +76,13 @@ def quality_report(
         except AnalysisException as error:
             reports.append(_unreadable(spark, label, str(error)))
             continue
-        if sample_limit is not None:
-            df = df.limit(sample_limit)
-        reports.append(_table_report(df, label, rules.get(label, QualityRules()), now))
+        report = _table_report(df, label, rules.get(label, QualityRules()), now)
+        if read_now:
+            try:
+                report = spark.createDataFrame(report.collect(), REPORT_SCHEMA)
+            except (PySparkException, Py4JJavaError) as error:
+                report = _unreadable(spark, label, str(error).split("\n")[0])
+        reports.append(report)
     if not reports:
         return spark.createDataFrame([], REPORT_SCHEMA)
     return reduce(DataFrame.unionByName, reports)

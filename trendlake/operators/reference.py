@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..constants import ISO_TIMESTAMP_FORMAT
 from ..functions import field, field_or, flatten_struct, normal_region, total_order, try_timestamp
-from ..session import small_side
+from ..sources.bronze import FILE_TIME
 from .dedup import latest_rows
 
 
@@ -63,7 +63,7 @@ def normalise_reference(bronze: DataFrame, ingested_at: Column | None = None) ->
         rows = documents.select("_source_file", "region", F.posexplode("items").alias("_position", "_item"))
         leaves = flatten_struct(rows, "_item")
     else:
-        content = bronze.drop("region", "_source_file")
+        content = bronze.drop("region", "_source_file", FILE_TIME)
         rows = documents.withColumn("_position", F.lit(0))
         leaves = flatten_struct(content)
     flat = rows.select(*leaves, "_source_file", "region", "_position")
@@ -83,6 +83,10 @@ def validate_reference(reference: DataFrame, required: tuple[str, ...] = ("id",
     """Missing column names; raises when there is not a single category."""
     if reference.isEmpty():
         raise EmptyReferenceError("no category items found")
+    return missing_fields(reference, required)
+
+
+def missing_fields(reference: DataFrame, required: tuple[str, ...]) -> list[str]:
     return sorted(name for name in required if field(reference, name) is None)
 
 
@@ -93,6 +97,8 @@ def _located(bronze: DataFrame, recency: Column | str | None = None) -> DataFram
         moments = [] if stamp is None else [try_timestamp(stamp)]
         if "date" in bronze.columns:
             moments.append(try_timestamp(F.col("date").cast("string")))
+        if FILE_TIME in bronze.columns:
+            moments.append(F.col(FILE_TIME))
         recency = F.coalesce(*moments) if moments else F.lit(None).cast("timestamp")
     elif isinstance(recency, str):
         recency = F.col(recency)
@@ -112,5 +118,5 @@ def _newest_document(documents: DataFrame) -> DataFrame:
     file = F.struct(F.col("_recency"), F.col("_source_file"))
     newest = documents.groupBy(F.col("region").alias("_region")).agg(F.max(file).alias("_newest"))
     return documents.join(
-        small_side(newest), F.col("region").eqNullSafe(F.col("_region")) & file.eqNullSafe(F.col("_newest")), "left_semi"
+        newest, F.col("region").eqNullSafe(F.col("_region")) & file.eqNullSafe(F.col("_newest")), "left_semi"
     )

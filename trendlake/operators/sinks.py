@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -11,6 +12,34 @@ from pyspark.sql import functions as F
 from .. import constants as K
 
 
+class StoredLayoutError(ValueError):
+    """The table is stored under other partition columns than the write would use."""
+
+
+def stored_partitions(spark: SparkSession, path: str) -> tuple[str, ...] | None:
+    """Partition columns of the table at ``path``, from its first folders; None without data."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names: list[str] = []
+    while True:
+        if not files.exists(folder):
+            return None
+        inner = [s for s in files.listStatus(folder) if not s.getPath().getName().startswith(("_", "."))]
+        if not inner:
+            return None
+        if inner[0].isFile():
+            return tuple(names)
+        folder = inner[0].getPath()
+        names.append(folder.getName().split("=", 1)[0])
+
+
+def require_layout(spark: SparkSession, path: str, partition_by: Sequence[str]) -> None:
+    """Refuse to mix layouts: a table with two of them can't be read any more."""
+    stored = stored_partitions(spark, path)
+    if stored is not None and stored != tuple(partition_by):
+        raise StoredLayoutError(f"{path} is partitioned by {list(stored)}, not by {list(partition_by)}")
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -24,8 +53,10 @@ def write_partitioned(
     """Write ``df`` and return ``rows`` and any further ``metrics`` of the write.
 
     ``overwrite_partitions`` replaces the partitions ``df`` has rows for and
-    leaves the others alone, so a repeated run changes nothing. The metrics are
-    collected while writing and cost no extra job.
+    leaves the others alone, so a repeated run changes nothing; ``overwrite``
+    replaces the table. A table stored under other partition columns is refused
+    unless it is replaced. The metrics are collected while writing and cost no
+    extra job; a ``null_`` or ``negative_`` one over 0 is warned of.
 
     ``rebalance`` lets adaptive execution size the files: small partitions are
     joined and a partition that holds much of the data is split. Turn it off
@@ -35,6 +66,8 @@ def write_partitioned(
     if mode not in overwrite:
         raise ValueError(f"unknown mode {mode!r}")
     save_mode, partition_mode = overwrite[mode]
+    if mode != "overwrite":
+        require_layout(df.sparkSession, path, partition_by)
     observation = Observation()
     observed = df.observe(
         observation, F.count(F.lit(1)).alias("rows"), *(m.alias(n) for n, m in (metrics or {}).items())
@@ -50,7 +83,16 @@ def write_partitioned(
     )
     if table is not None:
         register_table(df.sparkSession, table, path, df, partition_by)
-    return dict(observation.get)
+    counts = dict(observation.get)
+    warn_of(counts, path)
+    return counts
+
+
+def warn_of(counts: dict[str, int], path: str) -> None:
+    """Warn of NULLs and negative values in watched columns; nothing is refused."""
+    found = [f"{name} {n}" for name, n in counts.items() if name.startswith(("null_", "negative_")) and n]
+    if found:
+        warnings.warn(f"{path}: {', '.join(found)}", stacklevel=3)
 
 
 def register_table(

@@ -13,6 +13,7 @@ from ..functions import (
     field, field_or, has_field, normal_region, parse_trending_date, share_percent,
     short_date, total_order, try_timestamp,
 )
+from ..sources.bronze import FILE_TIME
 from .dedup import latest_rows
 
 #: What makes a snapshot row unique.
@@ -72,15 +73,15 @@ def clean_statistics(
     snapshot_date: date | None = None,
     recency: Column | str | None = None,
     processed_at: Column | None = None,
-    keep_recency: bool = False,
+    keep_recency: bool = True,
 ) -> DataFrame:
     """Silver statistics: typed, filled, de-duplicated, with derived rates.
 
     ``recency`` orders copies of one snapshot row, newest kept; the default is
-    the bronze ingestion time. Copies that tie there are ordered by their
+    the bronze ingestion time, or that of the file. Copies that tie there are ordered by their
     counters, then by all other columns, so the survivor never depends on how
-    the input is partitioned. ``keep_recency`` retains the ordering column for
-    later merges.
+    the input is partitioned. ``keep_recency`` retains the ordering column, which
+    later merges need to tell an older late row from a newer one.
     """
     rows = prepare_statistics(bronze, snapshot_date, recency)
     return finish_statistics(
@@ -108,10 +109,11 @@ def latest_statistics(rows: DataFrame) -> DataFrame:
 
 
 def finish_statistics(
-    rows: DataFrame, *, job_name: str, processed_at: Column | None = None, keep_recency: bool = False
+    rows: DataFrame, *, job_name: str, processed_at: Column | None = None, keep_recency: bool = True
 ) -> DataFrame:
     """Derived rates and audit columns, in silver column order."""
-    reactions = F.col("likes") + F.col("dislikes") + F.col("comment_count")
+    # Three counters near 2^63 don't fit a bigint together.
+    reactions = sum((F.col(name).cast("decimal(20,0)") for name in ("dislikes", "comment_count")), F.col("likes").cast("decimal(20,0)")).cast("double")
     return rows.select(
         *schemas.STATISTICS,
         "trending_date_parsed",
@@ -153,7 +155,7 @@ def _api_columns(df: DataFrame, snapshot_date: date | None) -> dict[str, Column]
 
 
 def _default_recency(df: DataFrame) -> Column:
-    """Ingestion time from the metadata, else from the date and hour folders."""
+    """Ingestion time from the metadata, else from the date and hour folders, else the file's own time."""
     moments = []
     stamp = field(df, "_pipeline_metadata.ingestion_timestamp")
     if stamp is not None:
@@ -162,6 +164,8 @@ def _default_recency(df: DataFrame) -> Column:
         hour = F.coalesce(F.lpad(F.col("hour").cast("string"), 2, "0"), F.lit("00")) if "hour" in df.columns else F.lit("00")
         text = F.concat_ws(" ", F.col("date").cast("string"), F.concat(hour, F.lit(":00:00")))
         moments.append(text.try_cast("timestamp"))
+    if FILE_TIME in df.columns:
+        moments.append(F.col(FILE_TIME))
     return F.coalesce(*moments) if moments else F.lit(None).cast("timestamp")
 
 

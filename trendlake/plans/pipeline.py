@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import region_filter
+from ..schemas import SILVER_PARTITIONS
 from ..operators import quality
-from ..operators.aggregates import category_analytics, channel_analytics, trending_analytics
-from ..operators.reference import clean_reference
+from ..operators.aggregates import category_analytics, channel_totals, rank_channels, stamped, trending_analytics
+from ..operators.reference import EmptyReferenceError, clean_reference
 from ..operators.sinks import reference_metrics, statistics_metrics, write_partitioned
 from ..operators.statistics import finish_statistics, latest_statistics, prepare_statistics
+from ..session import delete_path, work_path
 from ..sources.tables import read_table, read_table_if_present
 
 
@@ -31,11 +33,11 @@ class PipelineConfig:
     gold_database: str | None = None
     statistics_table: str = "clean_statistics"
     reference_table: str = "clean_reference_data"
-    statistics_partitions: tuple[str, ...] = ("region",)
+    statistics_partitions: tuple[str, ...] = SILVER_PARTITIONS
     statistics_job: str = "bronze-to-silver"
     reference_job: str = "bronze-to-silver"
     reference_mode: str = "merge"
-    keep_recency: bool = False  # store the ingestion time, for later merges
+    keep_recency: bool = True  # store the ingestion time, for later merges
     rules: dict[str, quality.QualityRules] = field(default_factory=lambda: {
         "clean_statistics": quality.STATISTICS_RULES,
         "clean_reference_data": quality.REFERENCE_RULES,
@@ -63,8 +65,7 @@ def run_pipeline(
 ) -> dict[str, dict[str, int]]:
     """Bronze frames to gold tables; returns the row counts of every write.
 
-    ``regions`` restricts both silver and gold (``constants.CLEANSED_REGIONS``
-    holds the usual four). Raises ``QualityGateError`` before gold is touched
+    ``regions`` restricts both silver and gold. Raises ``QualityGateError`` before gold is touched
     when a rule fails.
     Empty bronze input writes nothing and leaves what silver already holds.
     """
@@ -96,8 +97,12 @@ def write_statistics(
 
 
 def write_reference(bronze: DataFrame, config: PipelineConfig) -> dict[str, int]:
+    """Clean and write; raises ``EmptyReferenceError`` when the documents hold no category."""
+    categories = clean_reference(bronze, job_name=config.reference_job, mode=config.reference_mode)
+    if categories.isEmpty():
+        raise EmptyReferenceError("no category items found")
     return write_partitioned(
-        clean_reference(bronze, job_name=config.reference_job, mode=config.reference_mode),
+        categories,
         config.silver(config.reference_table),
         table=config.table(config.silver_database, config.reference_table),
         metrics=reference_metrics(),
@@ -107,7 +112,7 @@ def write_reference(bronze: DataFrame, config: PipelineConfig) -> dict[str, int]
 def check_silver(spark: SparkSession, config: PipelineConfig, *, now: Column | None = None) -> None:
     """Quality gate over the silver tables that have rules."""
     tables = {name: config.silver(name) for name in config.rules}
-    quality.require_quality(quality.quality_report(spark, tables, config.rules, now=now))
+    quality.require_quality(quality.quality_report(spark, tables, config.rules, now=now, read_now=True))
 
 
 def build_gold(
@@ -116,17 +121,24 @@ def build_gold(
     """All three gold tables from all of silver, for the given regions.
 
     Distinct counts, ranks and shares do not add up over increments, so a
-    region is always rebuilt as a whole. Silver is not cached: each table
-    reads only the few narrow columns it needs.
+    region is always rebuilt as a whole. Without ``regions`` the tables are
+    replaced, so a region that silver lost is gone from gold too. Silver is not
+    cached: each table reads only the few narrow columns it needs. The channel
+    totals, which ranking reads twice, are stored meanwhile in the shared folder.
     """
     stats = region_filter(read_table(spark, config.silver(config.statistics_table)), regions)
     reference = read_table_if_present(spark, config.silver(config.reference_table))
-    tables = {
-        "trending_analytics": trending_analytics(stats),
-        "channel_analytics": channel_analytics(stats, reference),
-        "category_analytics": category_analytics(stats, reference),
-    }
-    return {
-        name: write_partitioned(df, config.gold(name), table=config.table(config.gold_database, name))
-        for name, df in tables.items()
-    }
+    mode = "overwrite" if regions is None else "overwrite_partitions"
+
+    def write(name: str, df: DataFrame) -> dict[str, int]:
+        return write_partitioned(df, config.gold(name), mode=mode, table=config.table(config.gold_database, name))
+
+    written = {"trending_analytics": write("trending_analytics", trending_analytics(stats))}
+    totals = work_path(spark, "channels")
+    try:
+        channel_totals(stats, reference).write.parquet(totals)
+        written["channel_analytics"] = write("channel_analytics", stamped(rank_channels(spark.read.parquet(totals))))
+    finally:
+        delete_path(spark, totals)
+    written["category_analytics"] = write("category_analytics", category_analytics(stats, reference))
+    return written

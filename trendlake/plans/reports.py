@@ -19,7 +19,7 @@ def region_targeting(trending: DataFrame, regions: Regions = None) -> DataFrame:
     not add up to a positive number.
     """
     rate = F.avg("avg_engagement_rate")
-    views = F.sum("total_views")
+    views = F.try_sum("total_views")
     return region_filter(trending, regions).groupBy("region").agg(
         views.alias("total_views"),
         F.round(rate, 4).alias("avg_engagement_rate"),
@@ -52,7 +52,7 @@ def channel_partners(channel: DataFrame, regions: Regions = None, limit: int | N
 def publish_timing(trending: DataFrame, regions: Regions = None) -> DataFrame:
     """When to publish: views and engagement by day."""
     return region_filter(trending, regions).groupBy("trending_date_parsed", "region").agg(
-        F.sum("total_views").alias("total_views"),
+        F.try_sum("total_views").alias("total_views"),
         F.round(F.avg(F.col("avg_engagement_rate").cast("double")), 4).alias("avg_engagement_rate"),
         F.round(F.avg(F.col("avg_like_ratio").cast("double")), 4).alias("avg_like_ratio"),
     ).orderBy(F.asc_nulls_last("trending_date_parsed"), F.asc_nulls_last("region"))

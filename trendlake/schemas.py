@@ -66,7 +66,11 @@ def with_partitions(schema: str, *names: str) -> str:
     return ", ".join([schema.strip(), *(f"{name} string" for name in names)])
 
 
-#: Silver statistics as stored; ``_recency`` is there in merged tables only.
+#: How silver statistics are stored, by full runs and by merges alike: a day is
+#: what a merge rewrites.
+SILVER_PARTITIONS = ("region", "trending_date_parsed")
+
+#: Silver statistics as stored; ``_recency`` orders copies in later merges.
 SILVER_STATISTICS = ", ".join(
     [f"{name} {kind}" for name, kind in STATISTICS.items()]
     + [

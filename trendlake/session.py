@@ -54,15 +54,10 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/trendlake/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder; survives executor loss."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def small_side(df: DataFrame) -> DataFrame:
-    """The small side of a join: computed once, measured, broadcast if it is small."""
-    return broadcast_if_small(cut_lineage(df))
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a work table that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> DataFrame:

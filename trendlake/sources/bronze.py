@@ -12,19 +12,29 @@ from ..functions import path_region, region_filter
 
 Paths = str | Sequence[str]
 
+#: When the file of a row was last written; the last resort to tell newer copies from older ones.
+FILE_TIME = "_file_time"
+
 _CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
 
 
+def with_file_time(df: DataFrame) -> DataFrame:
+    return df.withColumn(FILE_TIME, F.col("_metadata.file_modification_time"))
+
+
 def read_statistics_csv(
-    spark: SparkSession, path: Paths, regions: Iterable[str] | None = None, base_path: str | None = None
+    spark: SparkSession, path: Paths, regions: Iterable[str] | None = None, base_path: str | None = None,
+    quoted_breaks: bool = True,
 ) -> DataFrame:
-    """Historical CSV files below ``region=`` folders.
+    """Historical CSV files below ``region=`` folders, with each file's time.
 
-    Quoted fields may hold commas, quotes and line breaks. Such files are not
-    splittable, so at scale they should be landed as many files.
+    Quoted fields may hold commas, quotes and line breaks. Files with quoted
+    line breaks can't be split, so at scale they should be landed as many
+    files; ``quoted_breaks=False`` promises there are none and splits them.
     """
-    reader = spark.read.schema(schemas.with_partitions(schemas.CSV_STATISTICS, "region")).options(**_CSV_OPTIONS)
-    return region_filter(_based(reader, base_path).csv(path), regions)
+    reader = spark.read.schema(schemas.with_partitions(schemas.CSV_STATISTICS, "region"))
+    reader = reader.options(**{**_CSV_OPTIONS, "multiLine": quoted_breaks})
+    return region_filter(with_file_time(_based(reader, base_path).csv(path)), regions)
 
 
 def read_csv(spark: SparkSession, path: Paths, schema: str) -> DataFrame:
@@ -33,9 +43,29 @@ def read_csv(spark: SparkSession, path: Paths, schema: str) -> DataFrame:
 
 
 def preview_csv(spark: SparkSession, path: Paths, rows: int | None = 10) -> DataFrame:
-    """First rows of a CSV with an inferred schema; ``rows=None`` gives all."""
-    frame = spark.read.options(inferSchema=True, **_CSV_OPTIONS).csv(path)
-    return frame if rows is None else frame.limit(rows)
+    """First rows of a CSV with an inferred schema; ``rows=None`` gives all.
+
+    The types of a preview come from the rows it shows, so no more is read.
+    """
+    if rows is None:
+        return spark.read.options(inferSchema=True, **_CSV_OPTIONS).csv(path)
+    first = spark.read.options(**_CSV_OPTIONS).csv(path).limit(rows)
+    shown = first.collect()
+    text = ", ".join(f"`{name}` string" for name in first.columns)
+    kinds = spark.createDataFrame(shown, text).select(*(_kind_of(name) for name in first.columns)).first() if shown else None
+    return spark.createDataFrame(shown, text).select(*(
+        F.col(f"`{name}`").try_cast(kinds[i] if kinds else "string").alias(name) for i, name in enumerate(first.columns)
+    ))
+
+
+def _kind_of(name: str):
+    """Aggregate: the narrowest type that reads every value of a text column."""
+    column = F.col(f"`{name}`")
+    reads = [(kind, F.count(column.try_cast(kind)) == F.count(column)) for kind in ("int", "bigint", "double", "timestamp", "boolean")]
+    chain = F.when(F.count(column) == 0, "string")
+    for kind, fits in reads:
+        chain = chain.when(fits, kind)
+    return chain.otherwise("string")
 
 
 def read_csv_tolerant(
@@ -78,7 +108,7 @@ def read_reference_documents(
     """Category documents with the file each came from."""
     schema = schemas.with_partitions(schemas.API_REFERENCE, *partitions)
     reader = spark.read.schema(schema).option("multiLine", not one_per_line)
-    frame = _based(reader, base_path).json(path).withColumn("_source_file", F.col("_metadata.file_path"))
+    frame = with_file_time(_based(reader, base_path).json(path).withColumn("_source_file", F.col("_metadata.file_path")))
     return region_filter(frame, regions)
 
 
@@ -93,6 +123,7 @@ def read_reference_files(spark: SparkSession, keys: Sequence[str], one_per_line:
         spark.read.schema(schemas.API_REFERENCE)
         .option("multiLine", not one_per_line)
         .json([unquote_plus(key) for key in keys])
+        .withColumn(FILE_TIME, F.col("_metadata.file_modification_time"))
         .withColumn("_source_file", F.url_decode(F.col("_metadata.file_path")))
         .withColumn("region", path_region(F.col("_source_file")))
     )

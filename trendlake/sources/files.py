@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import file_kind, file_region, is_data_file
-from .bronze import read_csv, read_reference_documents
+from ..constants import REFERENCE_KIND, STATISTICS_KIND
+from .bronze import FILE_TIME, read_csv, read_reference_documents
 from .. import schemas
 
 
@@ -31,6 +32,23 @@ def classify_files(files: DataFrame, name: str = "name") -> DataFrame:
     )
 
 
+def route_files(spark: SparkSession, path: str, bronze_path: str, one_per_line: bool = False) -> None:
+    """Write the files of a flat folder into bronze, by kind and region.
+
+    CSV rows and category documents land below ``raw_stats/region=`` and
+    ``raw_stats_reference_data/region=`` as the bronze readers expect them.
+    """
+    kinds = {r["kind"] for r in classify_files(list_files(spark, path)).select("kind").distinct().collect()}
+    if STATISTICS_KIND in kinds:
+        rows = route_statistics(spark, f"{path}/*.csv")
+        rows.hint("rebalance", "region").write.mode("append").partitionBy("region").options(
+            header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        ).csv(f"{bronze_path}/{STATISTICS_KIND}")
+    if REFERENCE_KIND in kinds:
+        documents = route_reference(spark, f"{path}/*.json", one_per_line).drop("_source_file", FILE_TIME)
+        documents.hint("rebalance", "region").write.mode("append").partitionBy("region").json(f"{bronze_path}/{REFERENCE_KIND}")
+
+
 def route_statistics(spark: SparkSession, path: str) -> DataFrame:
     """CSV files of a flat folder as bronze rows, region from the file name."""
     return (
@@ -39,9 +57,9 @@ def route_statistics(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def route_reference(spark: SparkSession, path: str) -> DataFrame:
+def route_reference(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
     """Category documents of a flat folder, region from the file name."""
     return (
-        read_reference_documents(spark, path, partitions=())
+        read_reference_documents(spark, path, one_per_line=one_per_line, partitions=())
         .withColumn("region", file_region(F.substring_index("_source_file", "/", -1)))
     )

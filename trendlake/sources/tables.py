@@ -29,7 +29,3 @@ def read_table_if_present(
     except AnalysisException:
         return None
 
-
-def table_sample(spark: SparkSession, name: str, rows: int) -> DataFrame:
-    """Any ``rows`` rows of a table."""
-    return read_table(spark, name).limit(rows)
