@@ -69,17 +69,24 @@ class BlockIndex:
         lift = np.sqrt(np.maximum(1.0 - (scaled * scaled).sum(axis=1), 0.0))
         self.lines = np.random.default_rng(seed).standard_normal((rows.shape[1] + 1, projections))
         places = scaled @ self.lines[:-1] + lift[:, None] * self.lines[-1]
-        self.order = np.ascontiguousarray(places.argsort(axis=0, kind="stable").T)
+        order = places.argsort(axis=0, kind="stable").T
         self.places = np.ascontiguousarray(np.sort(places, axis=0).T)
+        # Where each row stands in each sorted array: a row lies in a window when its place does.
+        self.ranks = np.empty(order.shape, dtype=np.int32 if len(ids) >= 1 << 15 else np.int16)
+        np.put_along_axis(self.ranks, order, np.arange(len(ids), dtype=self.ranks.dtype)[None, :], axis=1)
+
+    def collisions(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """How many windows each row lies in: queries x rows. The windows are queries x projections."""
+        out = np.zeros((len(starts), len(self.ids)), dtype=np.int16)
+        kind = self.ranks.dtype
+        unsigned = np.uint32 if kind == np.int32 else np.uint16
+        for rank, start, width in zip(self.ranks, starts.T.astype(kind), (ends - starts).T.astype(kind)):
+            out += (rank[None, :] - start[:, None]).view(unsigned) < width[:, None].view(unsigned)
+        return out
 
-    def candidates(self, starts: np.ndarray, ends: np.ndarray, needed: int) -> np.ndarray:
-        """Rows that lie in at least ``needed`` of the windows."""
-        inside = np.concatenate([o[a:b] for o, a, b in zip(self.order, starts, ends)])
-        return np.flatnonzero(np.bincount(inside, minlength=len(self.ids)) >= needed)
-
-    def search(self, queries: np.ndarray, own: np.ndarray, k: int, miss: float, first: float, growth: float):
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int, miss: float, first: float, growth: float, lot: int = 128):
         """For each query the positions and scores of its ``k`` best rows found."""
-        m = len(self.order)
+        m, n = len(self.ranks), len(self.ids)
         needed = math.floor(m * HIT - miss * math.sqrt(m * HIT * (1 - HIT)))
         norms = np.sqrt((queries * queries).sum(axis=1))
         centre = (queries / norms[:, None]) @ self.lines[:-1]
@@ -89,10 +96,12 @@ class BlockIndex:
             half = HALF_WINDOW * radius
             starts = np.stack([np.searchsorted(p, centre[waiting, i] - half, "left") for i, p in enumerate(self.places)], axis=1)
             ends = np.stack([np.searchsorted(p, centre[waiting, i] + half, "right") for i, p in enumerate(self.places)], axis=1)
-            everything = (ends - starts).min(axis=1) == len(self.ids)
+            everything = (ends - starts).min(axis=1) == n
             left = []
             for j, q in enumerate(waiting):
-                found = self.candidates(starts[j], ends[j], needed) if not everything[j] else np.arange(len(self.ids))
+                if j % lot == 0:
+                    hits = self.collisions(starts[j:j + lot], ends[j:j + lot])
+                found = np.flatnonzero(hits[j % lot] >= needed) if not everything[j] else np.arange(n)
                 found = found[self.ids[found] != own[q]]
                 if len(found) >= k or everything[j]:
                     scores = self.rows[found] @ queries[q]
@@ -130,8 +139,8 @@ def _search_block(largest: float, k: int, projections: int, miss: float, first:
     return search
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = K, projections: int = 64, miss: float = 1.6, first: float = 0.3,
-            growth: float = 1.2, block_rows: int = 4096, query_rows: int = 4096) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = K, projections: int = 40, miss: float = 0.8, first: float = 0.6,
+            growth: float = 1.22, block_rows: int = 4096, query_rows: int = 4096) -> DataFrame:
     """``query_id, rank, vec_id, score`` for each row of ``vectors`` for which ``is_query`` over ``vec_id`` holds."""
     work = Workspace(vectors.sparkSession, "neighbours")
     sound = work.table("sound", _sound(vectors))
