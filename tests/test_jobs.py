@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from trendlake import jobs
@@ -51,3 +52,26 @@ def test_update_adds_new_files_to_a_full_run(spark, lake):
     run(spark, *arguments)
     table = spark.read.parquet(str(lake / "silver" / "clean_statistics"))
     assert table.count() == 24 and rows(table.where("views = 500"), "video_id", "region") == [("v0", "us")]
+
+
+def test_route_coverage_and_reference_updates(spark, tmp_path):
+    from trendlake import land_payloads
+
+    flat, bronze = tmp_path / "flat", tmp_path / "bronze"
+    flat.mkdir()
+    (flat / "USvideos.csv").write_text(HEADER + "v0,17.14.11,t,c,10,p,x,500,1,1,1,l,False,False,False,d\n")
+    (flat / "DE_category_id.json").write_text('{"kind": "k", "items": [{"id": "1", "snippet": {"title": "Film"}}]}')
+    run(spark, "route", "--files", flat, "--bronze", bronze)
+    assert run(spark, "silver", "--bronze", bronze / "raw_stats", "--silver", tmp_path / "silver")["rows"] == 1
+    assert spark.read.json(str(bronze / "raw_stats_reference_data")).first()["region"] == "DE"
+
+    payloads = spark.sql("SELECT 'us' AS region, array(named_struct('id', 'v')) AS items")
+    land_payloads(payloads, str(tmp_path / "landed"), moment=F.lit("2026-03-02 04:05:06").cast("timestamp"))
+    (summary, missing) = sorted(run(spark, "coverage", "--bronze", tmp_path / "landed", "--regions", "us,gb", "--runs", "r9"), key=lambda r: r["ingestion_id"])
+    assert summary["failed_regions"] == ["gb"] and missing["failed_regions"] == ["gb", "us"]
+
+    folder = tmp_path / "categories" / "region=us" / "date=2024-01-01"
+    folder.mkdir(parents=True)
+    (folder / "1.json").write_text('{"items": [{"id": "1", "snippet": {"title": "Film"}}]}')
+    run(spark, "update-reference", "--bronze", tmp_path / "categories", "--silver", tmp_path / "silver", "--checkpoint", tmp_path / "state", "--max-files", "5")
+    assert rows(spark.read.parquet(str(tmp_path / "silver" / "clean_reference_data")), "category_title", "region") == [("Film", "us")]
