@@ -50,8 +50,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/trendlake/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder; what is there goes when the session ends."""
+    path = f"{shared_folder(spark)}/trendlake/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
