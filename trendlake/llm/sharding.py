@@ -57,7 +57,7 @@ def _quantiles(sample: list[int], low: int, high: int, pieces: int) -> list[Rang
         if sample:
             key = sample[i * len(sample) // pieces]
             cuts.add(key)
-            if sample.count(key) if len(sample) < 64 else _width(sample, key) * pieces > len(sample):
+            if _width(sample, key) * pieces > len(sample):
                 cuts.add(max(low, key - 1))
     edges = sorted(c for c in cuts if low < c <= high)
     return [Range(a, b) for a, b in zip([low, *edges], edges)]
