@@ -61,7 +61,7 @@ def test_near_duplicates_chain_and_crowd(spark):
     rows += [(3000 + i, passage + " " + words(rng, 60), "en", "a") for i in range(40)]
     expected = brute(rows, 3, 85)
     assert found(near_duplicates(documents(spark, rows))) == expected
-    assert found(near_duplicates(documents(spark, rows), rounds=0)) == expected
+    assert found(near_duplicates(documents(spark, rows), rounds=0, crowd=5)) == expected
 
 
 def test_near_duplicates_small_sets_at_the_threshold(spark):

@@ -11,7 +11,9 @@ Texts with equal shingle sets are one class from the start, so copies are never
 compared. A bucket hands its members to one leader first; members that are then
 in one component need no comparison with each other. What is left in a bucket,
 pairs of members of different components, is compared in full: no bucket is
-capped. With 32 bands of 5 rows a link at the threshold 0.85 shares no bucket
+capped. Small buckets hand out their pairs; larger ones are compared block by
+block in tasks that return trees of links, so pairs of a crowd are never rows.
+With 32 bands of 5 rows a link at the threshold 0.85 shares no bucket
 with a probability of 7e-9.
 
 Defined cases: NULL, empty and blank texts have no shingles and link with
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 
 from .shared import Workspace, components
 from .textscan import by_bytes, mix64, shingle_sets
+from .vectors import spanning
 
 BANDS, ROWS = 32, 5
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -157,7 +160,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int,
     return links
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: int = BANDS, rows: int = ROWS, rounds: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: int = BANDS, rows: int = ROWS, rounds: int = 1,
+                    crowd: int = 48) -> DataFrame:
     """``doc_id, text_hash, group, n_shingles, component_id, kept`` for every row of ``docs``; ``group`` is NULL without shingles."""
     work = Workspace(docs.sparkSession, "minhash")
     signed = work.table("signed", signatures(docs, words, bands, rows))
@@ -171,16 +175,20 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: i
 
     links, labels, kept = None, None, []
     for turn in range(rounds + 1):
-        labelled = _labelled(buckets, labels)
+        labelled = work.table(f"open-{turn}", _labelled(buckets, labels))
+        if labelled.isEmpty():
+            break
         if turn < rounds:
-            pairs = _to_leaders(labelled, turn, percent)
+            pairs = work.table(f"pairs-{turn}", _to_leaders(labelled, turn, percent))
+            found = _verified(docs, pairs, names, words, percent, work, f"verify-{turn}")
         else:
-            pairs = _across(labelled, percent)
-        pairs = work.table(f"pairs-{turn}", pairs)
-        if pairs.isEmpty():
-            continue
-        found = _verified(docs, pairs, names, words, percent, work, f"verify-{turn}")
+            sizes = labelled.groupBy("key").agg(F.count("*").alias("members"), F.sum("n").alias("elements"))
+            sizes = work.table("sizes", sizes)
+            pairs = work.table("pairs-across", _across(labelled.join(sizes.where(F.col("members") <= crowd).select("key"), "key"), percent))
+            found = _verified(docs, pairs, names, words, percent, work, "verify-across").union(
+                _crowds(docs, labelled, sizes.where(F.col("members") > crowd), names, words, percent, work))
         links = found if links is None else links.union(found)
+        work.drop(f"open-{turn}")
         if labels is not None:
             work.drop(*kept)
         before = labels
@@ -239,6 +247,59 @@ def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     return one_each.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
+def _compare(percent: int):
+    """Compares two blocks of classes of a bucket; returns a tree of links for each component in them."""
+
+    def tile(table: pa.Table) -> pa.Table:
+        first, second = (table.column(c).to_numpy(zero_copy_only=False) for c in ("first", "second"))
+        rows, cols = np.flatnonzero(first), np.flatnonzero(second)
+        lists = table.column("elements").combine_chunks()
+        sizes = lists.value_lengths().to_numpy()
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        _, name, seen = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        again = seen > 1  # an element of one set only is shared by none
+        number = np.cumsum(again) - 1
+        kept = again[name]
+        name, owner = number[name[kept]], owner[kept]
+        order = np.argsort(name, kind="stable")
+        name, owner = name[order], owner[order]
+        shared = np.zeros((len(rows), len(cols)), dtype=np.float32)
+        for at in range(0, int(again.sum()), 2048):
+            a, b = np.searchsorted(name, (at, at + 2048))
+            holds = np.zeros((len(sizes), 2048), dtype=np.float32)
+            holds[owner[a:b], name[a:b] - at] = 1
+            shared += holds[rows] @ holds[cols].T
+        joint = sizes[rows][:, None] + sizes[cols][None, :] - shared
+        mask = shared * 100 >= joint * percent
+        if first.all() and second.all():
+            np.fill_diagonal(mask, False)
+            np.fill_diagonal(mask, mask.any(axis=1))
+        root_a, root_b = spanning(mask)
+        keys = table.column("class").to_pylist()
+        links = [(keys[rows[i]], keys[rows[r]]) for i, r in enumerate(root_a) if r >= 0]
+        links += [(keys[cols[j]], keys[rows[r]]) for j, r in enumerate(root_b) if r >= 0]
+        return pa.table({"a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
+
+    return tile
+
+
+def _crowds(docs: DataFrame, labelled: DataFrame, sizes: DataFrame, names: DataFrame, words: int, percent: int, work: Workspace,
+            block_rows: int = 1024, block_elements: int = 1_000_000) -> DataFrame:
+    """Links within large buckets, compared block by block as set matrices; no pairs leave a task."""
+    blocks = F.ceil(F.greatest(F.col("members") / block_rows, F.col("elements") / block_elements)).cast("int")
+    rows = labelled.select("key", "class").join(sizes.select("key", blocks.alias("blocks")), "key")
+    rows = work.table("crowds", rows.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")))
+    wanted = work.table("crowds-wanted", names.join(rows.select("class").distinct(), "class"))
+    sets = work.table("crowds-sets", _sets(docs, wanted, words))
+    met = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    met = met.select("key", low.alias("i"), high.alias("j"), (F.col("block") == low).alias("first"), (F.col("block") == high).alias("second"), "class")
+    tiles = met.join(sets, "class").groupBy("key", "i", "j").applyInArrow(_compare(percent), "a binary, b binary")
+    links = work.table("crowds-links", tiles.where("a <> b").distinct())
+    work.drop("crowds", "crowds-wanted", "crowds-sets")
+    return links
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_hash", "group")
 

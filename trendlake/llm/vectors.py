@@ -1,4 +1,4 @@
-"""Vectors in tasks: Arrow lists to matrices, and which of them take part."""
+"""Vectors and link matrices in tasks."""
 
 from __future__ import annotations
 
@@ -45,3 +45,19 @@ def unpacked(column: pa.Array) -> np.ndarray:
         column = column.combine_chunks()
     values = column.to_pylist()
     return np.frombuffer(b"".join(values), dtype=np.float64).reshape(len(values), -1)
+
+
+def spanning(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows and columns of a link matrix the row that stands for their component, -1 without a link."""
+    root_a, root_b = np.full(mask.shape[0], -1), np.full(mask.shape[1], -1)
+    for start in np.flatnonzero(mask.any(axis=1)):
+        if root_a[start] >= 0:
+            continue
+        rows = np.array([start])
+        root_a[start] = start
+        while len(rows):
+            cols = np.flatnonzero(mask[rows].any(axis=0) & (root_b < 0))
+            root_b[cols] = start
+            rows = np.flatnonzero(mask[:, cols].any(axis=1) & (root_a < 0)) if len(cols) else cols
+            root_a[rows] = start
+    return root_a, root_b
