@@ -10,9 +10,8 @@ examples calibrates the probabilities. A family is reported when its calibrated
 probability reaches ``least_probability``; it is confirmed when the paragraph
 holds at least ``least_overlap`` of the word pairs of one of its templates.
 
-Only paragraphs with a gate word are scored: gate words are chosen from the
-training examples until each licence example holds one. Equal paragraphs are
-scored once; copies share the result. Weights and templates are fixed by the
+Only paragraphs with a gate word are scored. Equal paragraphs are scored once;
+copies share the result. Weights and templates are fixed by the
 parameters, not by the corpus, and are broadcast.
 
 Defined cases: NULL and empty texts have no paragraphs; rows with NULL or
@@ -75,6 +74,12 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Proprietary", "This software is proprietary and confidential. Unauthorized copying of this file is strictly prohibited."),
 )
 
+#: Words of which a licence paragraph holds at least one; fixed, so that what is scored doesn't depend on a sample.
+GATE_WORDS: tuple[str, ...] = (
+    "licen[cs]e", "licen[cs]es", "licen[cs]ed", "spdx", "copyright", "copyrights", "redistribution", "redistribute", "permission",
+    "unencumbered", "proprietary", "gnu", "mozilla", "cc", "cc0", "unauthorized", "reproduced",
+)
+
 #: Sentences with the same words that grant nothing.
 ORDINARY: tuple[str, ...] = (
     "The driver showed a driving license at the border.", "He was licensed to practise medicine in that state.",
@@ -145,39 +150,19 @@ class LicenceModel:
         return sums.select(key, logits.alias("logits")).select(key, best.alias("family"), (F.lit(1.0) / total).alias("probability"))
 
 
-def _gate_words(examples: list[tuple[str, list[str]]]) -> list[str]:
-    """Words until every licence example holds one: rare in ``unknown`` examples, frequent in licences."""
-    open_ = [set(w for w in words if len(w) > 2 or w == "cc") for family, words in examples if family != UNKNOWN]
-    noise: dict[str, int] = {}
-    for family, words in examples:
-        if family == UNKNOWN:
-            for w in set(words):
-                noise[w] = noise.get(w, 0) + 1
-    chosen = []
-    open_ = [w for w in open_ if w]
-    while open_:
-        gain: dict[str, int] = {}
-        for words in open_:
-            for w in words:
-                gain[w] = gain.get(w, 0) + 1
-        best = max(sorted(gain), key=lambda w: gain[w] / (1 + noise.get(w, 0)) ** 1.5)
-        chosen.append(best)
-        open_ = [w for w in open_ if best not in w]
-    return chosen
-
-
 def train_licence_model(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, ordinary: Sequence[str] = ORDINARY,
-                        sample_docs: int = 100, held_out: float = 0.25, regularization: float = 0.002) -> LicenceModel:
+                        sample_docs: int = 100, held_out: float = 0.25, regularization: float = 0.002,
+                        gate: Sequence[str] = GATE_WORDS) -> LicenceModel:
     """Trains on the templates, the ordinary sentences and paragraphs of at most ``sample_docs`` documents."""
     spark = docs.sparkSession
     work = Workspace(spark, "licences")
     given = spark.createDataFrame([*templates], "family string, text string")
     plain = spark.createDataFrame([(UNKNOWN, t) for t in ordinary], "family string, text string")
     positives = _variants(given)
-    pairs = given.select(F.explode(word_pairs(paragraph_words(F.col("text")))).alias("pair")).distinct().agg(F.collect_set("pair").alias("all"))
+    pairs = given.select(F.explode(word_pairs(paragraph_words(F.col("text")))).alias("pair")).distinct().orderBy("pair").collect()
     # Paragraphs of the corpus that share three word pairs with the templates may be notices: not taken as unknown.
-    negatives = _own_paragraphs(docs, sample_docs).crossJoin(F.broadcast(pairs)).where(
-        F.size(F.array_intersect(word_pairs(F.col("words")), "all")) < 3).drop("all")
+    negatives = _own_paragraphs(docs, sample_docs).where(
+        F.size(F.array_intersect(word_pairs(F.col("words")), F.array(*[F.lit(r["pair"]) for r in pairs]))) < 3)
     examples = positives.union(_variants(plain)).union(negatives)
     examples = examples.withColumn("grams", _grams(F.col("words"))).withColumn("fold", unit_hash(F.concat_ws(" ", "words"), F.col("family")))
     examples = work.table("examples", examples.coalesce(2))
@@ -198,8 +183,7 @@ def train_licence_model(docs: DataFrame, templates: Sequence[tuple[str, str]] =
     temperature = _temperature([r for r in rows if r["fold"] < held_out], trial, start, families)
     final, start = weights_of(fit.fit(fit_rows))
     weights = spark.createDataFrame(sorted(final.items()), "gram string, w array<double>")
-    gate = "|".join(w.replace(".", r"\.").replace("+", r"\+") for w in _gate_words([(r["family"], r["words"]) for r in rows]))
-    return LicenceModel(families, weights, start, temperature, rf"(?iu)(?<![\p{{L}}\p{{N}}])(?:{gate})(?![\p{{L}}\p{{N}}])")
+    return LicenceModel(families, weights, start, temperature, rf"(?iu)(?<![\p{{L}}\p{{N}}])(?:{'|'.join(gate)})(?![\p{{L}}\p{{N}}])")
 
 
 def _temperature(rows: list, weights: dict[str, list[float]], intercepts: list[float], families: list[str]) -> float:
