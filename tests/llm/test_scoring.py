@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from trendlake.llm.language import BiGru, LanguageModel, cut_windows, held_out, op10_language, train_language_model, with_language
-from trendlake.llm.licences import scan_licences, train_licence_model
+from trendlake.llm.licences import TEMPLATES, _variants, scan_licences, train_licence_model
 from trendlake.llm.quality import STATISTICS, isotonic, op3_quality, statistics_of, train_quality_model, with_quality
 
 from .helpers import awkward, documents
@@ -132,6 +132,24 @@ def test_licences(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+@pytest.fixture(scope="module")
+def licence_model(spark):
+    return train_licence_model(documents(spark, awkward()))
+
+
+def test_every_licence_example_is_scored(spark, licence_model):
+    rows = [(i, text, "en", "a") for i, (_, text) in enumerate(TEMPLATES)]
+    found = {r["doc_id"]: r["family"] for r in scan_licences(documents(spark, rows), licence_model).where("confirmed").collect()}
+    assert [found.get(i) for i in range(len(rows))] == [family for family, _ in TEMPLATES]
+    examples = _variants(spark.createDataFrame([*TEMPLATES], "family string, text string")).select(F.concat_ws(" ", "words").alias("paragraph"))
+    known = licence_model.known(examples)
+    named = licence_model.scored(known.select("known").distinct()).where("family <> 'unknown'").join(known, "known")
+    assert named.count() > 0 and named.where(~licence_model.possible(F.col("known"))).count() == 0
+    short = ["All rights reserved.", "Released into the public domain.", "GPLv3", "Apache 2.0", "Distributed under the GPL, version 2."]
+    scored = licence_model.scored(licence_model.known(spark.createDataFrame([(t,) for t in short], "paragraph string")).select("known").distinct())
+    assert scored.count() == len(short)
+
+
 def test_pipeline_stages_keep_columns_and_clean_rows(spark):
     docs = documents(spark, awkward())
     labels = f"{SF}"

@@ -10,9 +10,10 @@ examples calibrates the probabilities. A family is reported when its calibrated
 probability reaches ``least_probability``; it is confirmed when the paragraph
 holds at least ``least_overlap`` of the word pairs of one of its templates.
 
-Only paragraphs with a gate word are scored. Equal paragraphs are scored once;
-copies share the result. Weights and templates are fixed by the
-parameters, not by the corpus, and are broadcast.
+Every paragraph is scored. Only grams of the licence examples have weights, so a
+paragraph is reduced to these; one is left out of the join with the weights only
+if an upper bound of its score shows that ``unknown`` wins. Paragraphs with the
+same weighted grams are scored once and share the result.
 
 Defined cases: NULL and empty texts have no paragraphs; rows with NULL or
 repeated ids are scanned like others; a line of any length is one paragraph; an
@@ -22,7 +23,7 @@ empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import exp, log
+from math import ceil, exp, log
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
@@ -43,12 +44,15 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
     ("Apache-2.0", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("Apache-2.0", "License: Apache 2.0"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version."),
     ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("GPL-3.0", "Licensed under the GPLv3."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."),
     ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
+    ("GPL-2.0", "Distributed under the GPL, version 2."),
     ("LGPL", "This library is licensed under the GNU Lesser General Public License, version 2.1 or later."),
     ("LGPL", "This library is free software; you can redistribute it under the terms of the GNU Lesser General Public License."),
     ("AGPL", "This program is licensed under the GNU Affero General Public License, version 3."),
@@ -61,6 +65,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("ISC", "Released under the ISC License."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Unlicense", "Released into the public domain."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work under CC0 1.0."),
     ("CC-BY", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY", "Licensed under CC BY 4.0."),
@@ -70,16 +75,11 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-NC", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-ND", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
     ("CC-BY-ND", "Licensed under CC BY-ND 4.0."),
+    ("Proprietary", "All rights reserved."),
     ("Proprietary", "Copyright. All rights reserved. No part may be reproduced without the prior written permission of the owner."),
     ("Proprietary", "This software is proprietary and confidential. Unauthorized copying of this file is strictly prohibited."),
 )
 
-#: Words of which a licence paragraph holds at least one; fixed, so that what is scored doesn't depend on a sample.
-GATE_WORDS: tuple[str, ...] = (
-    "licen[cs]e", "licen[cs]es", "licen[cs]ed", "spdx", "copyright", "copyrights", "redistribution", "redistribute", "permission",
-    "unencumbered", "proprietary", "gnu", "mozilla", "cc", "cc0", "unauthorized", "reproduced",
-)
-
 #: Sentences with the same words that grant nothing.
 ORDINARY: tuple[str, ...] = (
     "The driver showed a driving license at the border.", "He was licensed to practise medicine in that state.",
@@ -109,6 +109,11 @@ def _grams(words: Column) -> Column:
     return F.array_distinct(F.concat(words, F.when(F.size(words) > 1, word_pairs(words)).otherwise(F.array().cast("array<string>"))))
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that a generator gives, so that no filter on it is pushed below and evaluates it again."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _variants(templates: DataFrame) -> DataFrame:
     """Templates whole, without one of their words, and cut at either end; the whole ones stand four times."""
     words = templates.withColumn("words", paragraph_words(F.col("text")))
@@ -130,16 +135,39 @@ def _own_paragraphs(docs: DataFrame, bound: int) -> DataFrame:
 
 
 class LicenceModel:
-    """Weights by gram, intercepts, temperature and gate of a trained classifier."""
-
-    def __init__(self, families: list[str], weights: DataFrame, intercepts: list[float], temperature: float, gate: str):
-        self.families, self.weights, self.intercepts = families, weights, intercepts
-        self.temperature, self.gate = temperature, gate
-
-    def scored(self, words: DataFrame, key: str = "paragraph") -> DataFrame:
-        """``key, family, probability`` for rows with distinct ``key`` and their ``words``."""
+    """Weights by gram, intercepts and temperature of a trained classifier."""
+
+    def __init__(self, spark: SparkSession, families: list[str], weights: dict[str, list[float]], intercepts: list[float], temperature: float):
+        self.families, self.intercepts, self.temperature = families, intercepts, temperature
+        self.weights = spark.createDataFrame(sorted(weights.items()), "gram string, w array<double>")
+        self.grams = sorted(weights)
+        # What a gram adds at most to any family's lead over unknown, rounded up to quarters.
+        self._base = max(i - intercepts[0] for i in intercepts[1:])
+        self._leads: dict[float, list[str]] = {}
+        for gram in self.grams:
+            most = max(w - weights[gram][0] for w in weights[gram][1:])
+            self._leads.setdefault(ceil(most * 4) / 4, []).append(gram)
+
+    def known(self, paragraphs: DataFrame) -> DataFrame:
+        """With ``known``: the grams of ``paragraph`` that have weights, sorted; score and overlap depend on nothing else."""
+        words = _once(paragraphs, "words", paragraph_words(F.col("paragraph")))
+        grams = _once(words, "grams", _grams(F.col("words")))
+        return _once(grams, "known", F.array_sort(F.filter("grams", lambda g: g.isin(self.grams)))).drop("words", "grams")
+
+    def possible(self, known: Column) -> Column:
+        """Whether a family can lead; where it is false, ``unknown`` has the highest score."""
+        def lead(gram: Column) -> Column:
+            out = F.lit(0.0)
+            for most, grams in self._leads.items():
+                out = F.when(gram.isin(grams), F.lit(most)).otherwise(out)
+            return out
+
+        return F.aggregate(known, F.lit(self._base + 1e-6), lambda acc, g: acc + lead(g)) >= 0
+
+    def scored(self, rows: DataFrame, key: str = "known") -> DataFrame:
+        """``key, family, probability`` for rows with distinct ``key``: the weighted grams of a paragraph."""
         n = len(self.families)
-        grams = words.select(key, F.explode(_grams(F.col("words"))).alias("gram"))
+        grams = rows.select(key, F.explode_outer(key).alias("gram"))
         known = grams.join(F.broadcast(self.weights), "gram", "left")
         sums = known.groupBy(key).agg(*[F.coalesce(F.sum(F.col("w")[i]), F.lit(0.0)).alias(f"s{i}") for i in range(n)])
         logits = F.array(*[(F.col(f"s{i}") + F.lit(self.intercepts[i])) / F.lit(self.temperature) for i in range(n)])
@@ -151,8 +179,7 @@ class LicenceModel:
 
 
 def train_licence_model(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, ordinary: Sequence[str] = ORDINARY,
-                        sample_docs: int = 100, held_out: float = 0.25, regularization: float = 0.002,
-                        gate: Sequence[str] = GATE_WORDS) -> LicenceModel:
+                        sample_docs: int = 100, held_out: float = 0.25, regularization: float = 0.002) -> LicenceModel:
     """Trains on the templates, the ordinary sentences and paragraphs of at most ``sample_docs`` documents."""
     spark = docs.sparkSession
     work = Workspace(spark, "licences")
@@ -182,8 +209,7 @@ def train_licence_model(docs: DataFrame, templates: Sequence[tuple[str, str]] =
     trial, start = weights_of(fit.fit(fit_rows.where(F.col("fold") >= held_out)))
     temperature = _temperature([r for r in rows if r["fold"] < held_out], trial, start, families)
     final, start = weights_of(fit.fit(fit_rows))
-    weights = spark.createDataFrame(sorted(final.items()), "gram string, w array<double>")
-    return LicenceModel(families, weights, start, temperature, rf"(?iu)(?<![\p{{L}}\p{{N}}])(?:{'|'.join(gate)})(?![\p{{L}}\p{{N}}])")
+    return LicenceModel(spark, families, final, start, temperature)
 
 
 def _temperature(rows: list, weights: dict[str, list[float]], intercepts: list[float], families: list[str]) -> float:
@@ -210,19 +236,17 @@ def scan_licences(docs: DataFrame, model: LicenceModel, templates: Sequence[tupl
                   least_probability: float = 0.5, least_overlap: float = 0.5) -> DataFrame:
     """``doc_id, paragraph_no, family, probability, overlap, confirmed, paragraph``: one row per licence paragraph."""
     work = Workspace(docs.sparkSession, "licences")
-    lines = docs.select("doc_id", "text").where(F.col("text").rlike(model.gate)).select(
-        "doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph_no", "paragraph")).where(F.col("paragraph").rlike(model.gate))
-    lines = work.table("paragraphs", lines)
-    distinct = lines.select("paragraph").distinct().withColumn("words", paragraph_words(F.col("paragraph")))
-    named = model.scored(distinct).where((F.col("family") != UNKNOWN) & (F.col("probability") >= least_probability))
-    known = docs.sparkSession.createDataFrame([*templates], "family string, text string").select(
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph_no", "paragraph"))
+    lines = work.table("paragraphs", model.known(lines).where(model.possible(F.col("known"))))
+    named = model.scored(lines.select("known").distinct()).where((F.col("family") != UNKNOWN) & (F.col("probability") >= least_probability))
+    pairs = docs.sparkSession.createDataFrame([*templates], "family string, text string").select(
         F.col("family").alias("_family"), word_pairs(paragraph_words(F.col("text"))).alias("pairs"))
-    known = known.groupBy("_family").agg(F.collect_list("pairs").alias("templates"))
-    own = word_pairs(paragraph_words(F.col("paragraph")))
-    compared = named.join(F.broadcast(known), F.col("family") == F.col("_family")).withColumn("own", own)
-    overlap = F.array_max(F.transform("templates", lambda t: F.size(F.array_intersect(t, F.col("own"))) / F.size(F.array_distinct(t))))
-    confirmed = compared.select("paragraph", "family", "probability", overlap.alias("overlap"), (overlap >= least_overlap).alias("confirmed"))
-    return lines.join(confirmed, "paragraph").select(
+    pairs = pairs.groupBy("_family").agg(F.collect_list("pairs").alias("templates"))
+    # All pairs of the templates have weights, so a paragraph's known grams hold those it shares with them.
+    compared = named.join(F.broadcast(pairs), F.col("family") == F.col("_family"))
+    overlap = F.array_max(F.transform("templates", lambda t: F.size(F.array_intersect(t, F.col("known"))) / F.size(F.array_distinct(t))))
+    confirmed = compared.select("known", "family", "probability", overlap.alias("overlap"), (overlap >= least_overlap).alias("confirmed"))
+    return lines.join(confirmed, "known").select(
         "doc_id", "paragraph_no", "family", "probability", "overlap", "confirmed", "paragraph")
 
 
