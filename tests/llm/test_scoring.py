@@ -150,6 +150,20 @@ def test_every_licence_example_is_scored(spark, licence_model):
     assert scored.count() == len(short)
 
 
+def test_wrapped_notices(spark, licence_model):
+    gpl = ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+           "the Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.")
+    lgpl = ("This library is free software; you can redistribute it\nunder the terms of the GNU Lesser\nGeneral Public License.")
+    bsd = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:")
+    marked = "\n".join(" * " + line for line in gpl.split("\n"))
+    rows = [(1, gpl, "en", "a"), (2, "One title\n\n" + lgpl + "\n \nThe end of it.", "en", "a"), (2, "Another text.", "en", "a"), (None, bsd, "en", "a"),
+            (3, f"/*\n * My program\n *\n{marked}\n */", "en", "a"), (4, "Some words.\nReleased under the MIT License.\nMore words.", "en", "a"),
+            (5, gpl.replace("\n", "\r\n"), "en", "a"), (6, gpl.replace("\n", " "), "en", "a"), (7, "", "en", "a"), (8, "\n\n", "en", "a"), (9, None, "en", "a")]
+    found = scan_licences(documents(spark, rows), licence_model).where("confirmed").collect()
+    assert sorted(((r["doc_id"], r["paragraph_no"], r["family"]) for r in found), key=repr) == sorted(
+        [(1, 0, "GPL-3.0"), (2, 2, "LGPL"), (None, 0, "BSD"), (3, 3, "GPL-3.0"), (4, 1, "MIT"), (5, 0, "GPL-3.0"), (6, 0, "GPL-3.0")], key=repr)
+
+
 def test_pipeline_stages_keep_columns_and_clean_rows(spark):
     docs = documents(spark, awkward())
     labels = f"{SF}"

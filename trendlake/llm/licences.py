@@ -1,6 +1,8 @@
 """Licence scans: a trained paragraph classifier in DataFrame functions only.
 
-A paragraph is a line of text. Its features are the distinct one- and two-word
+A paragraph is a line of text or a run of consecutive lines that hold words, as
+in wrapped notices; lines without a letter or digit (blank lines, bare comment
+marks) end a run. Its features are the distinct one- and two-word
 sequences of its lowered words. A multinomial logistic regression over them
 tells licence families from each other and from the class ``unknown``; it is
 trained on variants of notice templates (words left out, cut at either end), on
@@ -13,10 +15,12 @@ holds at least ``least_overlap`` of the word pairs of one of its templates.
 Every paragraph is scored. Only grams of the licence examples have weights, so a
 paragraph is reduced to these; one is left out of the join with the weights only
 if an upper bound of its score shows that ``unknown`` wins. Paragraphs with the
-same weighted grams are scored once and share the result.
+same weighted grams are scored once and share the result. A run is reported at
+its first line, unless one of its lines already tells as much: the same family,
+and confirmed if the run is.
 
 Defined cases: NULL and empty texts have no paragraphs; rows with NULL or
-repeated ids are scanned like others; a line of any length is one paragraph; an
+repeated ids are scanned like others; a paragraph may have any length; an
 empty table gives no rows; further columns are ignored.
 """
 
@@ -140,19 +144,31 @@ class LicenceModel:
     def __init__(self, spark: SparkSession, families: list[str], weights: dict[str, list[float]], intercepts: list[float], temperature: float):
         self.families, self.intercepts, self.temperature = families, intercepts, temperature
         self.weights = spark.createDataFrame(sorted(weights.items()), "gram string, w array<double>")
-        self.grams = sorted(weights)
+        self._singles, self._pairs = ([g for g in sorted(weights) if (" " in g) == two] for two in (False, True))
+        self._words = sorted({w for g in weights for w in g.split(" ")})
         # What a gram adds at most to any family's lead over unknown, rounded up to quarters.
         self._base = max(i - intercepts[0] for i in intercepts[1:])
         self._leads: dict[float, list[str]] = {}
-        for gram in self.grams:
+        for gram in sorted(weights):
             most = max(w - weights[gram][0] for w in weights[gram][1:])
             self._leads.setdefault(ceil(most * 4) / 4, []).append(gram)
 
+    def known_in(self, words: Column) -> Column:
+        """The distinct grams of an array of words that have weights, sorted; score and overlap depend on nothing else.
+
+        Pairs are only built of two words that stand in weighted grams.
+        """
+        singles = F.filter(words, lambda w: w.isin(self._singles))
+        starts = F.when(F.size(words) > 1, F.filter(
+            F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1))),
+            lambda i: F.get(words, i - 1).isin(self._words) & F.get(words, i).isin(self._words))).otherwise(F.array().cast("array<int>"))
+        pairs = F.transform(starts, lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i)))
+        return F.array_sort(F.array_distinct(F.concat(singles, F.filter(pairs, lambda g: g.isin(self._pairs)))))
+
     def known(self, paragraphs: DataFrame) -> DataFrame:
-        """With ``known``: the grams of ``paragraph`` that have weights, sorted; score and overlap depend on nothing else."""
+        """With ``known``: the weighted grams of ``paragraph``."""
         words = _once(paragraphs, "words", paragraph_words(F.col("paragraph")))
-        grams = _once(words, "grams", _grams(F.col("words")))
-        return _once(grams, "known", F.array_sort(F.filter("grams", lambda g: g.isin(self.grams)))).drop("words", "grams")
+        return _once(words, "known", self.known_in(F.col("words"))).drop("words")
 
     def possible(self, known: Column) -> Column:
         """Whether a family can lead; where it is false, ``unknown`` has the highest score."""
@@ -232,12 +248,46 @@ def _temperature(rows: list, weights: dict[str, list[float]], intercepts: list[f
     return min((0.4, 0.6, 0.8, 1.0, 1.25, 1.6, 2.0, 3.0), key=loss) if logits else 1.0
 
 
+def paragraphs_of(docs: DataFrame, model: LicenceModel) -> DataFrame:
+    """``doc_id, text_key, paragraph_no, paragraph_lines, run_start, paragraph, known``: what may be a notice of all lines and runs of lines.
+
+    Lines are cut into words once; a run has the grams of its lines and those that cross their ends.
+    """
+    lines = _once(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), "lines", F.split("text", "\n")).drop("text")
+    lines = _once(lines, "words", F.transform("lines", paragraph_words))
+    known = F.transform("words", lambda w: F.struct(
+        model.known_in(w).alias("known"), F.get(w, F.lit(0)).alias("head"), F.element_at(F.when(F.size(w) > 0, w), -1).alias("tail")))
+    lines = _once(lines, "marks", known).drop("words")
+
+    def worded(i: Column) -> Column:
+        return (i >= 0) & F.get("marks", F.greatest(i, F.lit(0)))["head"].isNotNull()
+
+    def edges(step: int) -> Column:
+        """Places of lines with words beside which, ``step`` further, no such line stands."""
+        return F.filter(F.sequence(F.lit(0), F.size("marks") - 1), lambda i: worded(i) & ~worded(i + step))
+
+    lines = _once(_once(lines, "starts", edges(-1)), "ends", edges(1))
+    spans = F.zip_with("starts", "ends", lambda a, b: F.struct(a.alias("first"), (b - a + 1).alias("n")))
+    runs = lines.select("doc_id", "text_key", "lines", "marks", F.explode(spans).alias("span")).select("doc_id", "text_key", "span.*", *[
+        F.slice(c, F.col("span.first") + 1, F.col("span.n")).alias(c) for c in ("lines", "marks")])
+    runs = _once(runs, "marks_", F.col("marks")).drop("marks")
+    crossing = F.zip_with(F.slice("marks_", F.lit(1), F.col("n") - 1), F.slice("marks_", F.lit(2), F.col("n") - 1),
+                          lambda a, b: F.concat_ws(" ", a["tail"], b["head"]))
+    whole = F.array_sort(F.array_distinct(F.concat(F.flatten(F.col("marks_.known")), F.filter(crossing, lambda g: g.isin(model._pairs)))))
+    single = F.transform("marks_", lambda m, i: F.struct(
+        (F.col("first") + i).alias("paragraph_no"), F.lit(1).alias("paragraph_lines"), F.get("lines", i).alias("paragraph"), m["known"].alias("known")))
+    joined = F.when(F.col("n") > 1, F.array(F.struct(
+        F.col("first").alias("paragraph_no"), F.col("n").alias("paragraph_lines"), F.array_join("lines", "\n").alias("paragraph"), whole.alias("known"))))
+    items = F.concat(single, F.coalesce(joined, F.slice(single, F.lit(1), F.lit(0))))
+    return runs.select("doc_id", "text_key", F.col("first").alias("run_start"), F.explode(items).alias("item")).select(
+        "doc_id", "text_key", "run_start", "item.*").where(model.possible(F.col("known")))
+
+
 def scan_licences(docs: DataFrame, model: LicenceModel, templates: Sequence[tuple[str, str]] = TEMPLATES,
                   least_probability: float = 0.5, least_overlap: float = 0.5) -> DataFrame:
     """``doc_id, paragraph_no, family, probability, overlap, confirmed, paragraph``: one row per licence paragraph."""
     work = Workspace(docs.sparkSession, "licences")
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph_no", "paragraph"))
-    lines = work.table("paragraphs", model.known(lines).where(model.possible(F.col("known"))))
+    lines = work.table("paragraphs", paragraphs_of(docs, model))
     named = model.scored(lines.select("known").distinct()).where((F.col("family") != UNKNOWN) & (F.col("probability") >= least_probability))
     pairs = docs.sparkSession.createDataFrame([*templates], "family string, text string").select(
         F.col("family").alias("_family"), word_pairs(paragraph_words(F.col("text"))).alias("pairs"))
@@ -246,8 +296,14 @@ def scan_licences(docs: DataFrame, model: LicenceModel, templates: Sequence[tupl
     compared = named.join(F.broadcast(pairs), F.col("family") == F.col("_family"))
     overlap = F.array_max(F.transform("templates", lambda t: F.size(F.array_intersect(t, F.col("known"))) / F.size(F.array_distinct(t))))
     confirmed = compared.select("known", "family", "probability", overlap.alias("overlap"), (overlap >= least_overlap).alias("confirmed"))
-    return lines.join(confirmed, "known").select(
-        "doc_id", "paragraph_no", "family", "probability", "overlap", "confirmed", "paragraph")
+    found = lines.join(confirmed, "known")
+    # The lines of a run travel with its text's key, so rows of the same id stay apart.
+    rank = F.when(F.col("confirmed"), 2).otherwise(1)
+    by_line = found.where("paragraph_lines = 1").groupBy("text_key", F.col("run_start").alias("paragraph_no"), "family").agg(F.max(rank).alias("told"))
+    runs = found.where("paragraph_lines > 1").join(by_line, ["text_key", "paragraph_no", "family"], "left").where(
+        F.col("told").isNull() | (F.col("told") < rank))
+    columns = ["doc_id", "paragraph_no", "family", "probability", "overlap", "confirmed", "paragraph"]
+    return found.where("paragraph_lines = 1").select(*columns).unionByName(runs.select(*columns))
 
 
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
