@@ -15,7 +15,7 @@ from trendlake.llm.mixing import SCHEDULES, mix, mixed, targets, training_time,
 from trendlake.llm.neighbours import nearest
 from trendlake.llm.packing import Tokens, bin_patterns, cut, default_vocabulary, fullest, pack, sequences
 from trendlake.llm.queries import ORACLES, QUERIES
-from trendlake.llm.sharding import shard_documents, shard_keys
+from trendlake.llm.sharding import Range, deal, shard_documents, shard_keys
 from trendlake.llm.warc import archive_round_trip, decode_message, plan_records, read_archives, write_archives
 
 from .helpers import awkward, documents, words
@@ -125,6 +125,31 @@ def test_sharding_law_and_slots(spark, tmp_path):
     assert shard_keys(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("share", [0.075, 1 / 3])
+@pytest.mark.parametrize("place", [0, 100, 311, 517, 1000, 1024])
+def test_a_hot_key_leaves_shards_even(share, place):
+    sizes, ranges = [1000] * 1024, [Range(10 * i, 10 * i + 10) for i in range(1024)]
+    hot = round(share / (1 - share) * sum(sizes))
+    ranges.insert(place, Range(10 * place, 10 * place + 1))
+    sizes.insert(place, hot)
+    held, total = Counter(), sum(sizes)
+    for size, (first, ends) in zip(sizes, deal(ranges, sizes, 16)):
+        for i, (a, b) in enumerate(zip([0, *ends], [*ends, 1])):
+            held[first + i] += size * (b - a)
+    assert all(abs(held[i] * 16 / total - 1) < 0.05 for i in range(16))
+
+
+def test_equal_rows_of_a_hot_text_are_dealt(spark, tmp_path):
+    rng = random.Random(6)
+    hot = words(rng, 20)
+    docs = documents(spark, [(None, hot, "en", "a")] * 1500 + [(i, words(rng, 20), "en", "a") for i in range(3000)])
+    out = shard_keys(docs, shards=8, sample_rows=2000)
+    sizes = [r["n"] for r in out.groupBy("shard").agg(F.sum("size").alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.3 * min(sizes)
+    shard_documents(docs, str(tmp_path / "s"), shards=8, sample_rows=2000)
+    assert spark.read.parquet(str(tmp_path / "s")).count() == 4500
+
+
 # Packing
 
 def test_fullest_is_the_best_sum():

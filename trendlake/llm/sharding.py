@@ -8,8 +8,9 @@ and a range filled by one key is subdivided by a second hash. The exact bytes
 of the ranges then decide which of them form a shard.
 
 The law is ``bytes``. Shards differ by about one range, a ``1 / ranges_per_shard``
-of a shard. A text whose copies alone exceed a whole shard's share is the only
-group that is dealt to several shards.
+of a shard. A text whose copies alone exceed a range and cross the end of a
+shard is the only group that is dealt to several shards: to each it touches in
+proportion to the place that is free there, row by row, whatever the rows' ids.
 
 The driver gets at most ``sample_rows`` keys a round and one row per range.
 
@@ -26,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import Workspace, numbered, unit_hash
@@ -110,18 +111,19 @@ def find_ranges(keys: DataFrame, shards: int, ranges_per_shard: int, sample_rows
     return ranges, sizes
 
 
-def deal(ranges: list[Range], sizes: list[int], shards: int) -> list[tuple[int, int]]:
-    """First shard of each range and the number of shards it is dealt to (more than one only beyond a whole share)."""
+def deal(ranges: list[Range], sizes: list[int], shards: int) -> list[tuple[int, list[float]]]:
+    """First shard of each range, and the shares of the range at which its next shards begin (for a key larger than a range)."""
     total, before, out = sum(sizes), 0, []
+    most = 2 * max(1, total // max(1, len(ranges)))
     for r, size in zip(ranges, sizes):
-        alone = r.high - r.low == 1
         first = min(shards - 1, (2 * before + size) * shards // max(1, 2 * total))
-        if alone and size * shards > total:
+        ends = []
+        if r.high - r.low == 1 and size > most:
             first = min(shards - 1, before * shards // total)
             last = min(shards - 1, (before + size - 1) * shards // total)
-            out.append((first, last - first + 1))
-        else:
-            out.append((first, 1))
+            # A shard takes what lies between its own two ends, so what it holds of other keys counts.
+            ends = [(total * (i + 1) / shards - before) / size for i in range(first, last)]
+        out.append((first, ends))
         before += size
     return out
 
@@ -132,24 +134,39 @@ def shard_keys(docs: DataFrame, shards: int = 16, ranges_per_shard: int = 64, sa
     text = F.coalesce(F.col("text"), F.lit(""))
     keys = work.table("keys", docs.select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.xxhash64(text).alias("key"),
+        F.xxhash64(text).alias("key"), F.monotonically_increasing_id().alias("row"),
     ))
     ranges, sizes = find_ranges(keys, shards, ranges_per_shard, sample_rows)
     places = deal(ranges, sizes, shards)
     table = docs.sparkSession.createDataFrame(
-        [(i, a, n) for i, (a, n) in enumerate(places)] or [(0, 0, 1)], "range int, first int, shards int")
+        [(i, a, ends) for i, (a, ends) in enumerate(places)] or [(0, 0, [])], "range int, first int, ends array<double>")
     placed = _with_range(keys, ranges).join(F.broadcast(table), "range")
-    part = F.floor(unit_hash(F.col("doc_id"), F.lit("part")) * F.col("shards")).cast("int")
-    placed = placed.withColumn("shard", F.col("first") + F.when(F.col("shards") > 1, part).otherwise(0))
-    return numbered(placed.drop("range", "first", "shards"), ["shard"], ["key", "doc_id"], "slot")
+    # The row number is written with the keys, so equal rows are dealt one by one and a repeated task deals them alike.
+    part = unit_hash(F.col("doc_id"), F.col("row"), F.lit("part"))
+    beyond = F.size(F.filter("ends", lambda e: part >= e))
+    placed = placed.withColumn("shard", (F.col("first") + beyond).cast("int")).drop("row")
+    return numbered(placed.drop("range", "first", "ends"), ["shard"], ["key", "doc_id"], "slot")
 
 
 def shard_documents(docs: DataFrame, folder: str, **options) -> None:
     """Write whole documents as Parquet, one folder per shard."""
-    placed = shard_keys(docs, **options).select(F.col("key").alias("__key"), F.col("doc_id").alias("__id"), "shard").distinct()
-    keyed = docs.withColumn("__text", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    joined = keyed.join(placed, (F.col("__text") == F.col("__key")) & keyed["doc_id"].eqNullSafe(F.col("__id")))
-    joined.select(*[docs[c] for c in docs.columns if c != "shard"], "shard").write.partitionBy("shard").parquet(folder)
+    placed = shard_keys(docs, **options).groupBy(F.col("key").alias("__key"), F.col("doc_id").alias("__id"), "shard").agg(F.count("*").alias("__n"))
+    # Rows equal in text and id may lie in several shards: each shard takes as many of them as it was dealt.
+    upto = Window.partitionBy("__key", "__id").orderBy("shard")
+    placed = placed.withColumn("__to", F.sum("__n").over(upto)).withColumn("__from", F.col("__to") - F.col("__n"))
+    placed = placed.withColumn("__parts", F.count("*").over(Window.partitionBy("__key", "__id")))
+    keyed = docs.drop("shard").withColumn("__text", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    keyed = Workspace(docs.sparkSession, "sharding").table("rows", keyed.withColumn("__row", F.monotonically_increasing_id()))
+    names = ["__text", "doc_id"]
+    split = placed.where("__parts > 1").select(F.col("__key").alias("__k"), F.col("__id").alias("__i")).distinct()
+    rows = keyed.select(*names, "__row").join(split, (F.col("__text") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__i")))
+    turns = numbered(rows.drop("__k", "__i"), names, ["__row"], "__turn").select(F.col("__row").alias("__r"), "__turn")
+    keyed = keyed.join(turns, F.col("__row") == F.col("__r"), "left")
+    turn = F.coalesce(F.col("__turn"), F.lit(0))
+    same = (F.col("__text") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    own = (F.col("__parts") == 1) | ((turn >= F.col("__from")) & (turn < F.col("__to")))
+    joined = keyed.join(placed, same & own)
+    joined.select(*[f"`{c}`" for c in docs.columns if c != "shard"], "shard").write.partitionBy("shard").parquet(folder)
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
