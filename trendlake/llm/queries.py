@@ -1,7 +1,10 @@
 """Registered queries of this subpackage and their SQL counterparts."""
 
+from .alignment import op13_alignment
 from .embedding_join import OP1_SQL, op1_embedding_join
+from .extraction import op12_extraction
 from .language import op10_language
+from .lexical import OP11_SQL, op11_lexical
 from .licences import op5_licences
 from .minhash import OP2_SQL, op2_minhash
 from .mixing import op6_mixing
@@ -22,6 +25,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_neighbours": op9_neighbours,
     "op10_language": op10_language,
+    "op11_lexical": op11_lexical,
+    "op12_extraction": op12_extraction,
+    "op13_alignment": op13_alignment,
 }
 
-ORACLES = {"op1_embedding_join": OP1_SQL, "op2_minhash": OP2_SQL, "op7_warc": OP7_SQL}
+ORACLES = {"op1_embedding_join": OP1_SQL, "op2_minhash": OP2_SQL, "op7_warc": OP7_SQL, "op11_lexical": OP11_SQL}
