@@ -93,11 +93,13 @@ def test_rate_mean_of_huge_and_of_no_values(spark):
     assert spark.createDataFrame([], "v bigint").agg(fn.count_mean("v")).first()[0] is None
 
 
-def test_rate_parts_that_overflow_fall_back_to_doubles(spark):
-    big = (1 << 62) // 10_000 * 1.0
-    parts = spark.createDataFrame(
-        [(True, 1 << 62, 2, big, 2), (True, 1 << 62, 2, big, 2), (True, None, 1, 5.0, 1), (False, 7, 7, 7.0, 7)],
-        "keep boolean, _r_whole bigint, _r_whole_rows bigint, _r_total double, _r_rows bigint",
-    )
-    merged = parts.groupBy("keep").agg(*fn.merged_rate_parts("r", F.col("keep")))
-    assert merged.agg(fn.rate_mean_of_parts("r").alias("m")).first()["m"] == pytest.approx((2 * big + 5) / 5)
+def test_merged_parts_of_huge_rates_are_exact(spark):
+    """Rates near 10^19, whose sums pass the range of a bigint, merged from parts of rows that count and rows that don't."""
+    rates = [(True, 1, 9_223_372_036_854_775_807.0), (True, 2, 9_000_000_000_000_000_000.0), (True, 1, 5.0), (False, 3, 7.0), (True, 2, None)]
+    rows_in = spark.createDataFrame(rates, "keep boolean, part int, r double")
+    parts = rows_in.groupBy("keep", "part").agg(*fn.rate_parts("r"))
+    merged = parts.groupBy("part").agg(*fn.merged_rate_parts("r", F.col("keep")))
+    assert merged.where("part = 3").select("_r_units", "_r_rows").first()[:] == (None, None)
+    found = merged.agg(fn.rate_mean_of_parts("r").alias("m")).first()["m"]
+    assert found == pytest.approx((9_223_372_036_854_775_807 + 9_000_000_000_000_000_000 + 5) / 3, rel=1e-15)
+    assert found == rows_in.where("keep").agg(fn.rate_mean("r").alias("m")).first()["m"]

@@ -9,7 +9,7 @@ from trendlake import (
     category_analytics, category_momentum, channel_analytics, channel_partners, publish_timing,
     region_targeting, trending_analytics,
 )
-from trendlake.operators.ranking import number_rows
+from trendlake.operators.ranking import in_pieces, number_rows
 
 D1, D2 = date(2024, 1, 1), date(2024, 1, 2)
 SCHEMA = (
@@ -107,14 +107,23 @@ def test_numbering_equals_a_window_for_one_huge_group(spark):
     assert numbered.withColumn("expected", expected).where("place <> expected").isEmpty()
 
 
-def test_numbering_spreads_one_group_over_tasks(spark):
-    df = spark.range(0, 200_000, 1, 8).select(F.lit("hot").alias("g"), F.hash("id").alias("v"), F.col("id").cast("string").alias("n"))
-    level = F.floor(F.log2(F.abs(F.col("v").cast("double"))) * 16)
-    sizes = [r["count"] for r in df.groupBy(F.signum("v"), level).count().collect()]
-    assert len(sizes) > 100 and max(sizes) < 10_000
+def test_numbering_spreads_ties_and_one_group_over_pieces(spark):
+    """One group; a third of it tied in views, a tenth without any: no piece holds twice the mean."""
+    df = spark.range(0, 200_000, 1, 8).select(
+        F.lit("hot").alias("g"), F.when(F.col("id") % 3 == 0, 77).when(F.col("id") % 10 == 1, None).otherwise(F.hash("id")).cast("bigint").alias("v"),
+        F.concat(F.lit("same start "), F.col("id").cast("string")).alias("n"))
+    sizes = [r["count"] for r in in_pieces(df, "g", "v", "n").groupBy("g", "_piece").count().collect()]
+    assert len(sizes) > 100 and max(sizes) < 2 * sum(sizes) / len(sizes)
     assert number_rows(df, "g", "v", "n", "place").agg(F.max("place"), F.count_distinct("place")).first()[:] == (200_000, 200_000)
 
 
+def test_equal_pairs_are_parted_by_the_rest_of_their_rows(spark):
+    df = spark.range(0, 50_000, 1, 8).select(F.lit("g").alias("g"), F.lit(5).cast("bigint").alias("v"), F.lit("n").alias("n"), "id")
+    sizes = [r["count"] for r in in_pieces(df, "g", "v", "n").groupBy("_piece").count().collect()]
+    assert len(sizes) > 50 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    assert number_rows(df, "g", "v", "n", "place").agg(F.max("place"), F.count_distinct("place")).first()[:] == (50_000, 50_000)
+
+
 def test_numbering_nothing(spark):
     empty = spark.createDataFrame([], "g string, v bigint, n string")
     assert number_rows(empty, "g", "v", "n", "place").columns == ["g", "v", "n", "place"]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import bronze
 from trendlake import clean_statistics, functions as fn, with_category_names
-from trendlake.operators.aggregates import category_analytics, channel_totals, trending_analytics
+from trendlake.operators.aggregates import category_analytics, channel_analytics, channel_totals, trending_analytics
 from trendlake.session import broadcast_if_small
 
 
@@ -66,6 +66,14 @@ def test_channels_need_no_distinct_count(silver):
     assert "partial_collect_set" not in first
 
 
+def test_ranking_expands_the_channels_once(spark, silver):
+    """The sample, the sizes and the rows of the numbering stand on one shuffle of the channel totals."""
+    ranked = channel_analytics(silver, spark.range(50).selectExpr("id category_id", "concat('n', id) category_name"))
+    ranked.collect()
+    final = ranked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Generate explode") == 1 and final.count("FileScan parquet") == 1 and "ReusedExchange" in final
+
+
 def test_no_python_in_any_plan(spark, silver):
     for df in (clean_statistics(bronze(spark, {}), job_name="j"), trending_analytics(silver), channel_totals(silver)):
         assert "Python" not in plan(df) and "CartesianProduct" not in plan(df) and "NestedLoop" not in plan(df)

@@ -57,18 +57,22 @@ def channel_analytics(
 def channel_totals(stats: DataFrame, reference: DataFrame | None = None) -> DataFrame:
     """The channel table before ranking.
 
-    One scan is grouped both by video and by category. A video then counts
-    once, so no distinct count is left, and the set of names, for which Spark
-    has no compiled aggregate, is built from one row per channel and category.
+    One scan is grouped both by video and by category: every row goes out twice,
+    once with either. A video then counts once, so no distinct count is left, and
+    the set of names, for which Spark has no compiled aggregate, is built from
+    one row per channel and category. (Written out, as the rows of a built-in
+    grouping set are not recognized where ranking uses this plan several times.)
     """
     by_name = "category_name" in stats.columns and reference is None
     category = "category_name" if by_name else "category_id"
     place = ("channel_title", "region")
     counters = ("views", "likes", "comment_count")
-    folded = stats.groupingSets(
-        [(*place, "video_id"), (*place, category)], *place, "video_id", category
-    ).agg(
-        (F.grouping("video_id") == 1).alias("_of_category"),
+    both = stats.select(
+        *place, *counters, "engagement_rate", "trending_date_parsed", F.col("video_id").alias("_video"), F.col(category).alias("_category"),
+        F.explode(F.array(F.lit(False), F.lit(True))).alias("_of_category"))
+    both = both.withColumns({
+        "video_id": F.when(~F.col("_of_category"), F.col("_video")), category: F.when(F.col("_of_category"), F.col("_category"))})
+    folded = both.groupBy(*place, "_of_category", "video_id", category).agg(
         *(F.sum(F.col(name).cast("decimal(20,0)")).alias(name) for name in counters),
         F.count("views").alias("_view_rows"),
         *rate_parts("engagement_rate"),
@@ -103,9 +107,9 @@ def channel_totals(stats: DataFrame, reference: DataFrame | None = None) -> Data
 
 
 def rank_channels(channels: DataFrame) -> DataFrame:
-    """``rank_in_region`` by total views, names breaking ties."""
+    """``rank_in_region`` by total views, names breaking ties; NULL where it passes the gold column's 2^31."""
     ranked = number_rows(channels, "region", "total_views", "channel_title", "rank_in_region")
-    return ranked.withColumn("rank_in_region", F.col("rank_in_region").cast("int"))
+    return ranked.withColumn("rank_in_region", F.col("rank_in_region").try_cast("int"))
 
 
 def category_analytics(
