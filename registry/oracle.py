@@ -125,6 +125,13 @@ SELECT page_id, CASE page_id % 4 WHEN 0 THEN upper(host[1:2]) || 'videos.csv' WH
 FROM (SELECT page_id, regexp_extract(url, '//([a-z]+)\.', 1) AS host FROM pages)""",
 }
 
+# The same tables over three deliveries that follow each other: of copies the newest delivery wins.
+STEPS["delivered_of_three"] = _latest("(SELECT *, comment_count % 3 AS delivery FROM filled)", "delivery DESC, ")
+STEPS["named_updated"] = STEPS["named"].replace("silver", "delivered_of_three")
+STEPS["trending_updated"] = STEPS["trending"].replace("FROM silver", "FROM delivered_of_three")
+STEPS["channel_updated"] = STEPS["channel"].replace("FROM named", "FROM named_updated")
+STEPS["category_updated"] = STEPS["category"].replace("FROM named", "FROM named_updated")
+
 
 def _after(body: str) -> str:
     """``body`` with the steps it needs, in order."""
@@ -234,6 +241,9 @@ _BODIES = {
     "file_routing": """SELECT region, kind, count(*) AS rows FROM (
         SELECT upper(substr(r_name, 1, 2)) AS region, 'raw_stats' AS kind FROM lineitem JOIN region ON l_suppkey % 5 = r_regionkey
         UNION ALL SELECT upper(substr(r_name, 1, 2)), 'raw_stats_reference_data' FROM part JOIN region ON p_partkey % 5 = r_regionkey) GROUP BY ALL""",
+    "gold_after_update": f"SELECT * REPLACE ({_half_up('avg_engagement_rate', 4)} AS avg_engagement_rate) FROM category_updated",
+    "daily_gold_after_update": f"SELECT * REPLACE ({_AVERAGES}, {_half_up('avg_like_ratio', 4)} AS avg_like_ratio) FROM trending_updated",
+    "channels_after_updates": f"SELECT * REPLACE ({_AVERAGES}) FROM channel_updated",
     "source_provenance": """SELECT lower(r_name) AS region, 'region=' || lower(r_name) AS folder, count(*) AS documents
         FROM part JOIN region ON p_partkey % 5 = r_regionkey GROUP BY ALL""",
     "channel_sink": f"SELECT * REPLACE ({_AVERAGES}) FROM channel",

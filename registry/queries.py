@@ -5,6 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Callable
 from datetime import datetime
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ from trendlake.operators.landing import coverage_summary, with_pipeline_metadata
 from trendlake.operators.quality import QualityRules
 from trendlake.operators.reference import normalise_reference
 from trendlake.operators.sinks import statistics_metrics
-from trendlake.plans.pipeline import write_reference, write_statistics
+from trendlake.plans.pipeline import build_gold, write_reference, write_statistics
+from trendlake.plans.refresh import build_channel_state, update_gold
 from trendlake.operators.statistics import conform_statistics, finish_statistics, prepare_statistics
 from trendlake.session import work_path
 from trendlake.sources.bronze import (
@@ -32,7 +34,7 @@ from trendlake.sources.bronze import (
 from trendlake.sources.files import list_files, route_files
 from trendlake.sources.tables import read_table_if_present
 from trendlake.streaming import (
-    stream_reference_documents, stream_statistics_csv, update_reference, update_statistics,
+    merge_statistics, stream_reference_documents, stream_statistics_csv, update_reference, update_statistics,
 )
 
 from .adapter import bronze_reference, bronze_statistics, read, trending_payloads
@@ -513,6 +515,50 @@ def reference_update(spark, sf_dir):
     return spark.read.parquet(silver_path).drop("_processed_at", "_job_name")
 
 
+@query("gold_after_update")
+def gold_after_update(spark, sf_dir):
+    """The category table after a full run and two merges, each followed by a refresh of the touched days."""
+    return _category_output(spark.read.parquet(_updated_gold(spark, sf_dir).gold("category_analytics")))
+
+
+@query("daily_gold_after_update")
+def daily_gold_after_update(spark, sf_dir):
+    """The daily table, brought up to date in the same way."""
+    return _trending_output(spark.read.parquet(_updated_gold(spark, sf_dir).gold("trending_analytics")))
+
+
+@query("channels_after_updates")
+def channels_after_updates(spark, sf_dir):
+    """The channel table merged from its state by day, after two updates."""
+    return _channel_output(spark.read.parquet(_updated_gold(spark, sf_dir).gold("channel_analytics")))
+
+
+@lru_cache(maxsize=4)
+def _updated_gold(spark: SparkSession, sf_dir: str, deliveries: int = 3) -> PipelineConfig:
+    """Bronze in deliveries, the newer winning: a full run over the first, a merge and a refresh for each of the others.
+
+    Three queries read the tables that one run leaves behind.
+    """
+    config = PipelineConfig(work_path(spark, "silver"), work_path(spark, "gold"), rules={})
+    bronze = bronze_statistics(spark, sf_dir).withColumn("region", fn.normal_region("region"))
+    part = F.expr(f"coalesce(try_cast(comment_count AS bigint), 0) % {deliveries}")
+    staging, checkpoint = work_path(spark, "staging"), work_path(spark, "state")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        write_reference(bronze_reference(spark, sf_dir), config)
+        for number in range(deliveries):
+            delivery = bronze.where(part == number).withColumn("delivered", F.timestamp_seconds(F.lit(number)))
+            if number == 0:
+                write_statistics(delivery, config, recency="delivered")
+                build_gold(spark, config)
+                build_channel_state(spark, config)
+            else:
+                merge_statistics(
+                    delivery, config.silver(config.statistics_table), staging, number, job_name="check", recency="delivered", changes=config.changes)
+                update_gold(spark, config, checkpoint).awaitTermination()
+    return config
+
+
 # Files, audit columns, metrics
 
 @query("file_routing")

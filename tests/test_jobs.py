@@ -50,6 +50,9 @@ def test_update_adds_new_files_to_a_full_run(spark, lake):
     folder = lake / "bronze" / "region=US"
     (folder / "more.csv").write_text(HEADER + "v0,17.14.11,t,c,10,p,x,500,1,1,1,l,False,False,False,d\n")
     run(spark, *arguments)
+    refresh = ("update-gold", "--silver", lake / "silver", "--gold", lake / "gold", "--checkpoint", lake / "gold-state")
+    run(spark, *refresh)
+    assert rows(spark.read.parquet(str(lake / "gold" / "trending_analytics")), "region", "total_views") == [("jp", 1200), ("us", 1600)]
     table = spark.read.parquet(str(lake / "silver" / "clean_statistics"))
     assert table.count() == 24 and rows(table.where("views = 500"), "video_id", "region") == [("v0", "us")]
 

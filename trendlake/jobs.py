@@ -5,12 +5,14 @@
     spark-submit trendlake/jobs.py check --silver PATH
     spark-submit trendlake/jobs.py gold --silver PATH --gold PATH
     spark-submit trendlake/jobs.py update --bronze PATH --silver PATH --checkpoint PATH
+    spark-submit trendlake/jobs.py update-gold --silver PATH --gold PATH --checkpoint PATH
     spark-submit trendlake/jobs.py update-reference --bronze PATH --silver PATH --checkpoint PATH
     spark-submit trendlake/jobs.py route --files FOLDER --bronze PATH
     spark-submit trendlake/jobs.py coverage --bronze PATH [--runs ID,ID]
 
 ``silver`` replaces every day it has rows for, so its input must hold all of
-those days; new deliveries are merged by ``update``.
+those days; new deliveries are merged by ``update``, and ``update-gold`` then
+refreshes gold for the days that were touched.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from trendlake.operators.landing import coverage_summary, ingestion_coverage  #
 from trendlake.plans.pipeline import (  # noqa: E402
     PipelineConfig, build_gold, check_silver, write_reference, write_statistics,
 )
+from trendlake.plans.refresh import update_gold  # noqa: E402
 from trendlake.sources import bronze as scans  # noqa: E402
 from trendlake.sources.files import route_files  # noqa: E402
 from trendlake.streaming import (  # noqa: E402
@@ -47,7 +50,7 @@ def parser() -> argparse.ArgumentParser:
     coverage.add_argument("--bronze", required=True, help="folder of the landed documents")
     coverage.add_argument("--runs", type=lambda text: text.split(","), help="ids of runs to report even if nothing landed")
     coverage.add_argument("--regions", type=region_list, help="comma list of the expected regions")
-    for name in ("silver", "reference", "check", "gold", "update", "update-reference"):
+    for name in ("silver", "reference", "check", "gold", "update", "update-gold", "update-reference"):
         step = steps.add_parser(name, help={
             "silver": "full run: the input must hold all rows of its days; use update for further deliveries",
         }.get(name))
@@ -59,13 +62,14 @@ def parser() -> argparse.ArgumentParser:
         if name in ("silver", "update"):
             step.add_argument("--form", choices=("csv", "documents"), default="csv")
             step.add_argument("--no-quoted-breaks", action="store_true", help="no CSV field holds a line break: split large files")
-        if name != "check":
+        if name not in ("check", "update-gold"):
             step.add_argument("--regions", type=region_list, help="comma list; all regions by default")
-        if name == "gold":
+        if name in ("gold", "update-gold"):
             step.add_argument("--gold", required=True, help="folder of the gold tables")
             step.add_argument("--gold-database", help="database to register gold tables in")
-        if name in ("update", "update-reference"):
+        if name in ("update", "update-gold", "update-reference"):
             step.add_argument("--checkpoint", required=True, help="folder for the state of the stream")
+        if name in ("update", "update-reference"):
             step.add_argument("--max-files", type=int, help="files per batch; all new files are one batch by default")
     return top
 
@@ -92,6 +96,8 @@ def run(spark, options: argparse.Namespace):
         return check_silver(spark, config)
     if options.step == "gold":
         return build_gold(spark, config, regions=options.regions)
+    if options.step == "update-gold":
+        return update_gold(spark, config, options.checkpoint).awaitTermination()
     if options.step == "update-reference":
         documents = stream_reference_documents(
             spark, options.bronze, options.one_per_line, ("region", "date"), options.max_files)
@@ -104,7 +110,7 @@ def run(spark, options: argparse.Namespace):
     )
     return update_statistics(
         stream, config.silver(config.statistics_table), options.checkpoint,
-        job_name=config.statistics_job, regions=options.regions, partition_by=config.statistics_partitions,
+        job_name=config.statistics_job, regions=options.regions, partition_by=config.statistics_partitions, changes=config.changes,
     ).awaitTermination()
 
 

@@ -46,6 +46,11 @@ class PipelineConfig:
     def silver(self, name: str) -> str:
         return f"{self.silver_path.rstrip('/')}/{name}"
 
+    @property
+    def changes(self) -> str:
+        """Regions and days that merges have touched."""
+        return self.silver(f"{self.statistics_table}_changes")
+
     def gold(self, name: str) -> str:
         return f"{self.gold_path.rstrip('/')}/{name}"
 
@@ -120,11 +125,11 @@ def build_gold(
 ) -> dict[str, dict[str, int]]:
     """All three gold tables from all of silver, for the given regions.
 
-    Distinct counts, ranks and shares do not add up over increments, so a
-    region is always rebuilt as a whole. Without ``regions`` the tables are
-    replaced, so a region that silver lost is gone from gold too. Silver is not
-    cached: each table reads only the few narrow columns it needs. The channel
-    totals, which ranking reads twice, are stored meanwhile in the shared folder.
+    ``plans.refresh`` brings gold up to date from changed days alone. Without
+    ``regions`` the tables are replaced, so a region that silver lost is gone
+    from gold too. Silver is not cached: each table reads only the few narrow
+    columns it needs. The channel totals, which ranking reads more than once, are
+    stored meanwhile in the shared folder.
     """
     stats = region_filter(read_table(spark, config.silver(config.statistics_table)), regions)
     reference = read_table_if_present(spark, config.silver(config.reference_table))

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..session import broadcast_if_small
 
 
 def read_table(spark: SparkSession, name: str, merge_schema: bool = False) -> DataFrame:
@@ -29,3 +34,21 @@ def read_table_if_present(
     except AnalysisException:
         return None
 
+
+
+def partition_key(columns: Sequence[str], prefix: str = "") -> Column:
+    """The values of partition columns as one text; NULL differs from every value."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(f"{prefix}{name}").cast("string")), F.lit("")) for name in columns]
+    return F.concat_ws("/", *parts)
+
+
+def of_partitions(table: DataFrame, partitions: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of a stored table in the partitions that ``partitions`` lists, with their number of ``rows``.
+
+    One equality over all partition columns, against a broadcast list with a
+    filter: Spark then evaluates it on the folders before the scan, so other
+    partitions are not read. No list passes through Python, and one too long to
+    be broadcast is joined by a shuffle.
+    """
+    listed = partitions.where("rows > 0").select(partition_key(columns).alias("_listed"))
+    return table.join(broadcast_if_small(listed), partition_key(columns) == F.col("_listed"), "left_semi")
