@@ -238,9 +238,17 @@ _BODIES = {
                CAST(substr(source_file, 5) AS BIGINT) AS part_key FROM items WHERE TRY_CAST(id AS BIGINT) IS NOT NULL)
         WHERE part_key = CASE region WHEN 'africa' THEN 10 WHEN 'america' THEN 6 WHEN 'asia' THEN 7 WHEN 'europe' THEN 8 ELSE 9 END
         QUALIFY row_number() OVER (PARTITION BY category_id, region ORDER BY pos DESC) = 1""",
-    "file_routing": """SELECT region, kind, count(*) AS rows FROM (
-        SELECT upper(substr(r_name, 1, 2)) AS region, 'raw_stats' AS kind FROM lineitem JOIN region ON l_suppkey % 5 = r_regionkey
+    "file_routing": """SELECT kind, region, count(*) AS rows, true AS unchanged FROM (
+        SELECT upper(substr(trim(region), 1, 2)) AS region, 'raw_stats' AS kind FROM bronze
         UNION ALL SELECT upper(substr(r_name, 1, 2)), 'raw_stats_reference_data' FROM part JOIN region ON p_partkey % 5 = r_regionkey) GROUP BY ALL""",
+    "csv_preview": "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10",
+    "reference_records_scan": f"""SELECT region, count(DISTINCT category_id) AS categories, min(category_id) AS first_id, max(category_id) AS last_id
+        FROM categories WHERE region IN {TWO} GROUP BY region""",
+    "event_record_status": """SELECT lower(r_name) AS region, CASE r_name WHEN 'ASIA' THEN 2 ELSE 1 END AS least, CASE r_name WHEN 'ASIA' THEN 2 ELSE 1 END AS most,
+        r_name <> 'MIDDLE EAST' AS found FROM region WHERE r_name IN ('ASIA', 'AFRICA', 'MIDDLE EAST')""".replace("THEN 2 ELSE 1 END", "THEN 2::BIGINT ELSE 1::BIGINT END"),
+    "schema_evolution": f"SELECT category_id, category_title, CASE WHEN region IN {TWO} THEN assignable END AS assignable, kind, region FROM reference",
+    "empty_delivery_refused": "SELECT region, count(*) AS categories, 'full,update' AS refused FROM reference GROUP BY region",
+    "default_clock": "SELECT region, count(*) AS rows, true AS in_time FROM silver GROUP BY region",
     "gold_after_update": f"SELECT * REPLACE ({_half_up('avg_engagement_rate', 4)} AS avg_engagement_rate) FROM category_updated",
     "daily_gold_after_update": f"SELECT * REPLACE ({_AVERAGES}, {_half_up('avg_like_ratio', 4)} AS avg_like_ratio) FROM trending_updated",
     "channels_after_updates": f"SELECT * REPLACE ({_AVERAGES}) FROM channel_updated",

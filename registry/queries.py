@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import lru_cache
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,15 +22,15 @@ from trendlake.operators import quality
 from trendlake.operators.aggregates import channel_totals
 from trendlake.operators.landing import coverage_summary, with_pipeline_metadata
 from trendlake.operators.quality import QualityRules
-from trendlake.operators.reference import normalise_reference
-from trendlake.operators.sinks import statistics_metrics
+from trendlake.operators.reference import EmptyReferenceError, normalise_reference
+from trendlake.operators.sinks import read_evolving, statistics_metrics, write_evolving
 from trendlake.plans.pipeline import build_gold, write_reference, write_statistics
 from trendlake.plans.refresh import build_channel_state, update_gold
 from trendlake.operators.statistics import conform_statistics, finish_statistics, prepare_statistics
 from trendlake.session import work_path
 from trendlake.sources.bronze import (
-    preview_csv, read_csv, read_csv_tolerant, read_reference_documents, read_reference_files, read_statistics_csv,
-    read_trending_documents,
+    preview_csv, read_csv, read_csv_tolerant, read_reference_documents, read_reference_files, read_reference_records,
+    read_statistics_csv, read_trending_documents, record_status,
 )
 from trendlake.sources.files import list_files, route_files
 from trendlake.sources.tables import read_table_if_present
@@ -118,6 +119,16 @@ def csv_inferred_scan(spark, sf_dir):
     )
 
 
+@query("csv_preview")
+def csv_preview(spark, sf_dir):
+    """The first ten rows of a CSV file, with the types that these rows show."""
+    path = work_path(spark, "preview")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    orders.orderBy("o_orderkey").write.options(**CSV_WRITE).csv(path)
+    shown = preview_csv(spark, f"{path}/part-00000*")
+    return shown.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+
+
 @query("csv_tolerant_scan")
 def csv_tolerant_scan(spark, sf_dir):
     """Every seventh event line has a field too few; it is kept as text."""
@@ -169,8 +180,8 @@ def payload_json_scan_all(spark, sf_dir):
 
 @query("json_decode_encode")
 def json_decode_encode(spark, sf_dir):
-    props = F.from_json("props", "k bigint")
-    return read(spark, sf_dir, "events").select("event_id", props["k"].alias("k"), F.to_json(props).alias("encoded"))
+    props = fn.decode_document("props", "k bigint")
+    return read(spark, sf_dir, "events").select("event_id", props["k"].alias("k"), fn.encode_document(props).alias("encoded"))
 
 
 # Silver
@@ -504,7 +515,7 @@ def full_then_update(spark, sf_dir):
 def reference_update(spark, sf_dir):
     """Two deliveries of category files whose names sort against their age: the later file replaces its region."""
     bronze_path, silver_path, checkpoint = (work_path(spark, name) for name in ("categories", "reference", "state"))
-    documents = bronze_reference(spark, sf_dir).where("items is not null and size(items) > 0").withColumn("region", fn.normal_region("region"))
+    documents = bronze_reference(spark, sf_dir).withColumn("region", fn.normal_region("region"))
     newest = F.col("_source_file").isin([f"file{n}" for n in (6, 7, 8, 9, 10)])
     # One file a region: the first delivery holds all other documents.
     for delivery in (documents.where(~newest), documents.where(newest)):
@@ -563,35 +574,111 @@ def _updated_gold(spark: SparkSession, sf_dir: str, deliveries: int = 3) -> Pipe
 
 @query("file_routing")
 def file_routing(spark, sf_dir):
-    """A flat folder of files routed into bronze, and its rows by kind and region."""
+    """All of bronze as a flat folder of files, routed byte for byte: rows by kind and region, and whether every file kept its digest."""
     flat, bronze_path = work_path(spark, "flat"), work_path(spark, "routed")
-    statistics = bronze_statistics(spark, sf_dir).where("video_id like 'p%'").drop("ingested")
-    documents = bronze_reference(spark, sf_dir).drop("_source_file", "date")
-    for region in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"):
-        own = F.upper(fn.normal_region("region")) == region
-        for rows, form, ending in ((statistics, "csv", "csv"), (documents, "json", "json")):
-            staged = work_path(spark, "staged")
-            frame = rows.where(own).drop("region").coalesce(1)
-            (frame.write.options(**CSV_WRITE).csv(staged) if form == "csv" else frame.select(
-                F.to_json(F.struct("kind", "items")).alias("value")).write.text(staged))
-            _move_parts(spark, staged, flat, f"{region[:2]}_{form}.{ending}")
-    route_files(spark, flat, bronze_path, one_per_line=True)
-    parts = []
-    for kind, rows in (
-        ("raw_stats", spark.read.schema("video_id string, region string").csv(f"{bronze_path}/raw_stats", header=True, quote='"', escape='"', multiLine=True)),
-        ("raw_stats_reference_data", spark.read.schema("kind string, region string").json(f"{bronze_path}/raw_stats_reference_data")),
-    ):
-        parts.append(rows.groupBy("region").agg(F.count("*").alias("rows")).withColumn("kind", F.lit(kind)))
-    return parts[0].unionByName(parts[1])
-
-
-def _move_parts(spark: SparkSession, source: str, target: str, name: str) -> None:
-    """Bring a written folder's data file to ``target`` under a name of its own."""
+    prefix = F.upper(F.substring(fn.normal_region("region"), 1, 2)).alias("prefix")
+    statistics = bronze_statistics(spark, sf_dir).drop("ingested").select(prefix, "*").drop("region")
+    documents = bronze_reference(spark, sf_dir).select(prefix, F.to_json(F.struct("kind", "items")).alias("value"))
+    for rows, form, ending in ((statistics, "csv", "videos.csv"), (documents, "text", "category_id.json")):
+        staged = work_path(spark, "staged")
+        options = CSV_WRITE if form == "csv" else {}
+        rows.hint("rebalance", "prefix").write.partitionBy("prefix").format(form).options(**options).save(staged)
+        _flatten(spark, staged, flat, ending)
+    content = spark.read.format("binaryFile").load(flat)
+    before = content.select(F.substring_index("path", "/", -1).alias("_name"), F.sha2("content", 256).alias("_before"))
+    routed = route_files(spark, flat, bronze_path)
+    same = routed.join(before, (F.col("name") == F.col("_name")) & (F.col("sha256") == F.col("_before")), "left")
+    unchanged = same.groupBy("kind", "region").agg((F.count("*") == F.count("_name")).alias("unchanged"))
+    scans = {
+        "raw_stats": spark.read.schema("video_id string, region string").csv(f"{bronze_path}/raw_stats", header=True, quote='"', escape='"', multiLine=True),
+        "raw_stats_reference_data": spark.read.schema("kind string, region string").json(f"{bronze_path}/raw_stats_reference_data"),
+    }
+    parts = [rows.groupBy("region").agg(F.count("*").alias("rows")).withColumn("kind", F.lit(kind)) for kind, rows in scans.items()]
+    return parts[0].unionByName(parts[1]).join(unchanged, ["kind", "region"])
+
+
+def _flatten(spark: SparkSession, source: str, target: str, ending: str) -> None:
+    """Bring the few data files below ``prefix=`` folders to one folder, named by prefix, number and ending."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path(target))
-    for found in files.globStatus(path(f"{source}/part-*")):
-        files.rename(found.getPath(), path(f"{target}/{name}"))
+    for number, found in enumerate(files.globStatus(path(f"{source}/prefix=*/part-*"))):
+        folder = found.getPath().getParent().getName()
+        files.rename(found.getPath(), path(f"{target}/{folder.split('=')[1]}_{number}_{ending}"))
+
+
+@query("reference_records_scan")
+def reference_records_scan(spark, sf_dir):
+    """The landed category files that a table of event records names: one record stands twice, one names no file."""
+    path, records = _event_records(spark, sf_dir)
+    named = read_reference_records(spark, path, records, one_per_line=True, partitions=("region", "date"), prefix="raw/")
+    return clean_reference(named.drop("_source_file"), job_name="check").groupBy("region").agg(
+        F.count("*").alias("categories"), F.min("category_id").alias("first_id"), F.max("category_id").alias("last_id"))
+
+
+@query("event_record_status")
+def event_record_status(spark, sf_dir):
+    """Records and files of each region that they name."""
+    path, records = _event_records(spark, sf_dir)
+    status = record_status(spark, path, records, prefix="raw/")
+    return status.groupBy(fn.path_region(F.col("file")).alias("region")).agg(
+        F.min("copies").alias("least"), F.max("copies").alias("most"), F.bool_and("found").alias("found"))
+
+
+def _event_records(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Landed category files, and records of those of two regions (twice for one of them) and of a file that isn't there."""
+    path = work_path(spark, "recorded")
+    land_payloads(bronze_reference(spark, sf_dir).drop("_source_file", "date"), path, "reference", moment=F.lit(CHECKED_AT))
+    files = list_files(spark, path, "*.json").select(F.regexp_extract("path", r"(region=.*)$", 1).alias("file"))
+    wanted = files.where(fn.path_region(F.col("file")).isin("asia", "africa"))
+    records = wanted.union(wanted.where(fn.path_region(F.col("file")) == "asia")).union(
+        spark.createDataFrame([("region=middle east/date=2024-01-31/no such file.json",)], "file string"))
+    key = F.url_encode(F.concat(F.lit("raw/"), "file"))
+    return path, records.select(key.alias("key"))
+
+
+@query("schema_evolution")
+def schema_evolution(spark, sf_dir):
+    """Two deliveries of categories: the second, of two regions, has one more column and a wider type."""
+    path = work_path(spark, "evolving")
+    rows = reference(spark, sf_dir).select("category_id", "category_title", "assignable", "kind", "region")
+    write_evolving(rows.withColumn("category_id", F.col("category_id").cast("int")).drop("assignable"), path)
+    write_evolving(fn.region_filter(rows, TWO_REGIONS), path)
+    return read_evolving(spark, path)
+
+
+@query("empty_delivery_refused")
+def empty_delivery_refused(spark, sf_dir):
+    """A delivery of all documents without a category is refused, by the full run and by the update, and changes nothing."""
+    config = PipelineConfig(work_path(spark, "silver"), work_path(spark, "gold"))
+    documents = bronze_reference(spark, sf_dir)
+    write_reference(documents, config)
+    empty = documents.where("items is null or size(items) = 0").withColumn("region", fn.normal_region("region"))
+    landed, silver_path = work_path(spark, "empty"), config.silver(config.reference_table)
+    empty.drop("_source_file", "date").write.partitionBy("region").json(landed)
+    attempts = {
+        "full": lambda: write_reference(empty, config),
+        "update": lambda: update_reference(
+            stream_reference_documents(spark, landed, one_per_line=True), silver_path, work_path(spark, "state"), job_name="check").awaitTermination(),
+    }
+    refused = []
+    for name, attempt in attempts.items():
+        try:
+            attempt()
+        except (EmptyReferenceError, StreamingQueryException) as error:
+            if "no category items found" in str(error):
+                refused.append(name)
+    return spark.read.parquet(silver_path).groupBy("region").agg(F.count("*").alias("categories")).withColumn("refused", F.lit(",".join(refused)))
+
+
+@query("default_clock")
+def default_clock(spark, sf_dir):
+    """Processing times by the default clock lie between the start of the query and its end."""
+    started = datetime.now(timezone.utc)
+    stamped = silver(spark, sf_dir).groupBy("region").agg(
+        F.count("*").alias("rows"), F.min("_processed_at").alias("_first"), F.max("_processed_at").alias("_last"))
+    early = F.lit(started) - F.expr("INTERVAL 1 MINUTE")
+    return stamped.select("region", "rows", ((F.col("_first") >= early) & (F.col("_last") <= F.current_timestamp())).alias("in_time"))
 
 
 @query("source_provenance")

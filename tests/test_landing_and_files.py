@@ -1,3 +1,4 @@
+import hashlib
 import json
 from datetime import datetime
 
@@ -6,8 +7,10 @@ from pyspark.sql import functions as F
 from conftest import rows
 from trendlake import classify_files, ingestion_coverage, land_payloads, list_files, write_partitioned
 from trendlake.operators.landing import coverage_summary
-from trendlake.sources.bronze import preview_csv, read_csv_tolerant, read_trending_documents, read_reference_documents
-from trendlake.sources.files import route_reference, route_statistics
+from trendlake.sources.bronze import (
+    preview_csv, read_csv_tolerant, read_reference_documents, read_reference_records, read_trending_documents, record_status,
+)
+from trendlake.sources.files import route_files, route_reference, route_statistics
 
 MOMENT = datetime(2026, 3, 2, 4, 5, 6)
 PAYLOADS = """
@@ -76,6 +79,41 @@ def test_routed_rows_carry_their_region(spark, tmp_path):
     assert rows(documents, "region", "items.id") == [("CA", ["1"])]
 
 
+def test_files_are_routed_byte_for_byte(spark, tmp_path):
+    flat, bronze = tmp_path / "flat", tmp_path / "bronze"
+    flat.mkdir()
+    make_files(flat)
+    broken = b'a,b\r\n"never closed, \xff\xfe\x00 1,2,3,4\n\n' * 3
+    (flat / "DE_broken.csv").write_bytes(broken)
+    (flat / "GB plus+per%20cent.json").write_bytes(b"{not json")
+    for _ in range(2):
+        routed = route_files(spark, str(flat), "file://" + str(bronze))
+        found = {r["name"]: r for r in routed.collect()}
+        assert set(found) == {p.name for p in flat.iterdir()} - {"other.txt"}
+        for name, row in found.items():
+            copy = bronze / row["kind"] / f"region={row['region']}" / name
+            assert copy.read_bytes() == (flat / name).read_bytes() and row["length"] == copy.stat().st_size
+            assert row["sha256"] == hashlib.sha256(copy.read_bytes()).hexdigest()
+        assert len([p for p in bronze.rglob("*") if p.is_file()]) == len(found)
+    assert found["DE_broken.csv"]["region"] == "DE" and found["GB plus+per%20cent.json"]["kind"] == "raw_stats_reference_data"
+
+
+def test_files_named_by_a_table_of_records(spark, tmp_path):
+    for region, name in (("us", "a+b.json"), ("us", "left out.json"), ("middle east", "c d.json"), ("fr", "never.json")):
+        folder = tmp_path / f"region={region}"
+        folder.mkdir(exist_ok=True)
+        (folder / name).write_text(json.dumps({"kind": name, "items": [{"id": "1", "snippet": {"title": "Film"}}]}, indent=2))
+    keys = ["raw%2Fregion%3Dus%2Fa%2Bb.json", "raw/region%3Dmiddle+east/c%20d.json", "raw%2Fregion%3Dus%2Fa%2Bb.json", "raw/region=us/none.json", "other/region=us/left+out.json", None]
+    records = spark.createDataFrame([(k,) for k in keys], "key string")
+    named = read_reference_records(spark, str(tmp_path), records, prefix="raw/")
+    assert rows(named, "kind", "region") == [("a+b.json", "us"), ("c d.json", "middle east")]
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    assert rows(record_status(spark, "file://" + str(tmp_path), records, prefix="raw/")) == [
+        ("region=middle east/c d.json", 1, True), ("region=us/a+b.json", 2, True), ("region=us/none.json", 1, False)]
+    assert read_reference_records(spark, str(tmp_path), records.limit(0)).count() == 0
+
+
 def test_preview_and_tolerant_csv(spark, tmp_path):
     path = tmp_path / "x.csv"
     path.write_text("a,b\n" + "".join(f"{i},t{i}\n" for i in range(30)) + "bad\n1,2,3\n")

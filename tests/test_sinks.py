@@ -1,9 +1,13 @@
+import datetime
+import shutil
+
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from conftest import rows
 from trendlake import write_partitioned
-from trendlake.operators.sinks import null_metrics
+from trendlake.operators.sinks import SchemaChangeError, null_metrics, observed, read_evolving, write_evolving
 from trendlake.sources.tables import read_table, read_table_if_present
 
 
@@ -48,6 +52,54 @@ def test_registered_table_learns_partitions_and_columns(spark, tmp_path):
     assert spark.sql("SHOW PARTITIONS sink_db.items").count() == 2
 
 
+def test_only_written_partitions_are_registered(spark, tmp_path):
+    path = str(tmp_path / "t")
+    columns = "k bigint, region string, day date"
+    day = datetime.date(2024, 1, 1)
+    frame = lambda *data: spark.createDataFrame(list(data), columns)
+    write_partitioned(frame((1, "us", day), (2, None, None), (3, "it's", day)), path, ("region", "day"), table="sink_db.days")
+    assert rows(spark.table("sink_db.days")) == rows(spark.read.parquet(path)) and spark.sql("SHOW PARTITIONS sink_db.days").count() == 3
+    shutil.copytree(tmp_path / "t" / "region=us", tmp_path / "t" / "region=by-hand")
+    write_partitioned(frame((4, "de", day)), path, ("region", "day"), table="sink_db.days")
+    assert rows(spark.table("sink_db.days"), "k", "region") == [(1, "us"), (2, None), (3, "it's"), (4, "de")]
+    # Replaced as a whole: partitions that are gone are forgotten.
+    write_partitioned(frame((5, "fr", day)), path, ("region", "day"), mode="overwrite", table="sink_db.days")
+    assert rows(spark.table("sink_db.days"), "k", "region", "day") == [(5, "fr", day)]
+
+
+def test_first_registration_takes_up_what_is_stored(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_partitioned(frame(spark, (1, "us")), path)
+    write_partitioned(frame(spark, (2, "de")), path, table="sink_db.adopted")
+    assert rows(spark.table("sink_db.adopted"), "k", "region") == [(1, "us"), (2, "de")]
+
+
+def test_metrics_are_taken_by_the_writing_stage(spark):
+    """Behind the last shuffle: Spark counts a task of the last stage once, however often its stage runs."""
+    df = spark.range(100).select("id", (F.col("id") % 3).cast("string").alias("region")).groupBy("region").agg(F.count("*").alias("n"))
+    out = observed(df, Observation(), ("region",), {"negative": F.count_if(F.col("n") < 0)}, True, True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("CollectMetrics") < plan.index("Exchange") and "REBALANCE" in plan
+
+
+def test_columns_are_added_and_types_widened(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows_of = lambda schema, *data: spark.createDataFrame(list(data), schema)
+    write_evolving(rows_of("a int, b float, c decimal(5,1), gone string, region string", (1, 0.5, None, "g", "us"), (2, 1.5, None, "h", "de")), path, table="sink_db.evolving")
+    write_evolving(rows_of("A bigint, b double, c decimal(9,3), more string, region string", (2 ** 40, 0.25, None, "m", "de")), path, table="sink_db.evolving")
+    expected = [(1, 0.5, None, "g", "us", None), (2 ** 40, 0.25, None, None, "de", "m")]
+    names = ("a", "b", "c", "gone", "region", "more")
+    for table in (read_evolving(spark, path), spark.table("sink_db.evolving")):
+        assert rows(table, *names) == sorted(expected, key=repr)
+        assert dict(table.dtypes) == {"a": "bigint", "b": "double", "c": "decimal(9,3)", "gone": "string", "region": "string", "more": "string"}
+    # A narrower delivery is widened on its way in; one that doesn't fit writes nothing.
+    write_evolving(rows_of("a smallint, region string", (7, "us")), path, table="sink_db.evolving")
+    assert rows(read_evolving(spark, path), "a", "region") == [(2 ** 40, "de"), (7, "us")]
+    with pytest.raises(SchemaChangeError):
+        write_evolving(rows_of("a string, region string", ("x", "fr")), path)
+    assert rows(read_evolving(spark, path), "a", "region") == [(2 ** 40, "de"), (7, "us")]
+
+
 def test_optional_table(spark, tmp_path):
     assert read_table_if_present(spark, None) is None
     assert read_table_if_present(spark, str(tmp_path / "nothing")) is None

@@ -64,3 +64,13 @@ def total_order(columns: Iterable[str]) -> list[Column]:
     makes no difference to the result.
     """
     return [F.desc_nulls_last(F.col(f"`{name}`")) for name in columns]
+
+
+def decode_document(text: Column | str, schema: str) -> Column:
+    """A JSON document as a struct; unreadable text gives a struct of NULLs, and fields that are missing are NULL."""
+    return F.from_json(text, schema, {"mode": "PERMISSIVE"})
+
+
+def encode_document(document: Column) -> Column:
+    """A struct as JSON text, without its NULL fields."""
+    return F.to_json(document)

@@ -42,10 +42,9 @@ from trendlake.streaming import (  # noqa: E402
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     steps = top.add_subparsers(dest="step", required=True)
-    route = steps.add_parser("route", help="write a flat folder of files into bronze by kind and region")
+    route = steps.add_parser("route", help="bring the files of a flat folder into bronze by kind and region, as they are")
     route.add_argument("--files", required=True, help="folder of the files")
     route.add_argument("--bronze", required=True, help="folder of the bronze tables")
-    route.add_argument("--one-per-line", action="store_true", help="JSON files hold one document per line")
     coverage = steps.add_parser("coverage", help="expected regions against landed documents (one per line)")
     coverage.add_argument("--bronze", required=True, help="folder of the landed documents")
     coverage.add_argument("--runs", type=lambda text: text.split(","), help="ids of runs to report even if nothing landed")
@@ -77,7 +76,8 @@ def parser() -> argparse.ArgumentParser:
 def run(spark, options: argparse.Namespace):
     """One step; returns the row counts it wrote, where it writes any."""
     if options.step == "route":
-        return route_files(spark, options.files.rstrip("/"), options.bronze.rstrip("/"), options.one_per_line)
+        routed = route_files(spark, options.files.rstrip("/"), options.bronze)
+        return {row["kind"]: row["count"] for row in routed.groupBy("kind").count().collect()}
     if options.step == "coverage":
         landed = scans.read_trending_documents(spark, options.bronze, one_per_line=True)
         coverage = ingestion_coverage(landed, options.regions or LANDED_REGIONS, options.runs)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import path_region, region_filter
+from ..session import broadcast_if_small
+from .tables import of_partitions
 
 Paths = str | Sequence[str]
 
@@ -129,6 +131,51 @@ def read_reference_files(spark: SparkSession, keys: Sequence[str], one_per_line:
     )
 
 
+def read_reference_records(
+    spark: SparkSession, path: str, records: DataFrame, key: str = "key", one_per_line: bool = False,
+    partitions: Sequence[str] = ("region",), prefix: str = "",
+) -> DataFrame:
+    """The category documents that event records name, from a table of their keys.
+
+    Keys are percent-encoded and, behind ``prefix``, relative to ``path``; a key
+    that stands more than once is read once, one without a file gives nothing
+    (see ``record_status``). The folders that the keys lie in prune the scan,
+    and a semi join on the file path keeps the named files; no list of them
+    passes the driver.
+    """
+    keys = _record_keys(records, key, prefix).select("_key").distinct()
+    folders = keys.select(*(F.regexp_extract("_key", rf"(?:^|/){name}=([^/]*)/", 1).alias(name) for name in partitions))
+    documents = read_reference_documents(spark, path, one_per_line=one_per_line, partitions=partitions)
+    documents = of_partitions(documents, folders.groupBy(*partitions).agg(F.count("*").alias("rows")), partitions)
+    named = documents.withColumn("_source_file", _below(spark, path, F.col("_source_file")))
+    return named.join(broadcast_if_small(keys), F.col("_source_file") == F.col("_key"), "left_semi")
+
+
+def record_status(spark: SparkSession, path: str, records: DataFrame, key: str = "key", prefix: str = "") -> DataFrame:
+    """``file, copies, found``: one row per distinct key, how often it stands in the records, and whether its file is there."""
+    keys = _record_keys(records, key, prefix).groupBy("_key").agg(F.count("*").alias("copies"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    # Listed paths are not encoded.
+    there = files.select(_below(spark, path, F.replace("path", F.lit("%"), F.lit("%25"))).alias("_file")).withColumn("_there", F.lit(True))
+    return keys.join(there, F.col("_key") == F.col("_file"), "left").select(
+        F.col("_key").alias("file"), "copies", F.coalesce("_there", F.lit(False)).alias("found"))
+
+
+def _record_keys(records: DataFrame, key: str, prefix: str) -> DataFrame:
+    decoded = records.select(F.url_decode(F.col(key)).alias("_key")).where(F.col("_key").startswith(prefix))
+    return decoded.select(F.substring("_key", F.lit(len(prefix) + 1), F.length("_key")).alias("_key"))
+
+
+def _below(spark: SparkSession, path: str, file_path: Column) -> Column:
+    """An encoded file path, decoded and relative to ``path``."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString()
+    # In a path a plus is a plus; decoding would make it a blank.
+    decoded = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
+    whole = F.regexp_replace(decoded, r"^(\w+):/+", "$1:/")
+    return F.substring(whole, F.lit(len(root) + 2), F.length(whole))
+
+
 def read_bronze_table(spark: SparkSession, table: str, regions: Iterable[str] | None = None) -> DataFrame:
     """A registered bronze table, restricted to regions in any spelling."""
     return region_filter(spark.table(table), regions)

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import file_kind, file_region, is_data_file
-from ..constants import REFERENCE_KIND, STATISTICS_KIND
-from .bronze import FILE_TIME, read_csv, read_reference_documents
 from .. import schemas
+from ..functions import file_kind, file_region, is_data_file
+from ..session import work_path
+from .bronze import read_csv, read_reference_documents
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -32,21 +38,59 @@ def classify_files(files: DataFrame, name: str = "name") -> DataFrame:
     )
 
 
-def route_files(spark: SparkSession, path: str, bronze_path: str, one_per_line: bool = False) -> None:
-    """Write the files of a flat folder into bronze, by kind and region.
+ROUTED = "name string, kind string, region string, path string, length bigint, sha256 string"
 
-    CSV rows and category documents land below ``raw_stats/region=`` and
-    ``raw_stats_reference_data/region=`` as the bronze readers expect them.
+
+def route_files(spark: SparkSession, path: str, bronze_path: str) -> DataFrame:
+    """Bring the files of a flat folder into bronze as they are, by kind and region.
+
+    CSV files and category documents land below ``raw_stats/region=`` and
+    ``raw_stats_reference_data/region=`` under their own names, byte for byte:
+    nothing is parsed, so malformed lines stay. Each file is streamed by one task
+    and appears when it is complete; a repeated task replaces it. Files without a
+    byte are not listed. Returns one row per file, with the digest of what was
+    copied.
     """
-    kinds = {r["kind"] for r in classify_files(list_files(spark, path)).select("kind").distinct().collect()}
-    if STATISTICS_KIND in kinds:
-        rows = route_statistics(spark, f"{path}/*.csv")
-        rows.hint("rebalance", "region").write.mode("append").partitionBy("region").options(
-            header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-        ).csv(f"{bronze_path}/{STATISTICS_KIND}")
-    if REFERENCE_KIND in kinds:
-        documents = route_reference(spark, f"{path}/*.json", one_per_line).drop("_source_file", FILE_TIME)
-        documents.hint("rebalance", "region").write.mode("append").partitionBy("region").json(f"{bronze_path}/{REFERENCE_KIND}")
+    files = classify_files(list_files(spark, path))
+    wanted = files.select("name", "kind", "region", "path", F.concat(F.lit(bronze_path.rstrip("/") + "/"), "target").alias("to"))
+    copied = wanted.repartition(spark.sparkContext.defaultParallelism, "path").mapInArrow(_copy_files, ROUTED)
+    done = work_path(spark, "routed-files")
+    copied.write.parquet(done)
+    return spark.read.schema(ROUTED).parquet(done)
+
+
+def _copy_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for row in batch.to_pylist():
+            length, digest = _copy(row["path"], row["to"])
+            rows.append({"name": row["name"], "kind": row["kind"], "region": row["region"], "path": row["to"], "length": length, "sha256": digest})
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows)
+
+
+def _copy(source: str, target: str, part_bytes: int = 8 << 20) -> tuple[int, str]:
+    """Stream a file to another place; the target is only ever absent or whole."""
+    (reader, from_path), (writer, to_path) = _store(source), _store(target)
+    folder, name = to_path.rsplit("/", 1)
+    writer.create_dir(folder, recursive=True)
+    waiting, digest, length = f"{folder}/.{name}.{uuid.uuid4().hex}", hashlib.sha256(), 0
+    with reader.open_input_stream(from_path, compression=None) as given, writer.open_output_stream(waiting, compression=None) as taken:
+        while part := given.read(part_bytes):
+            digest.update(part)
+            taken.write(part)
+            length += len(part)
+    writer.move(waiting, to_path)
+    return length, digest.hexdigest()
+
+
+def _store(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path, and the path within it."""
+    if ":" not in uri.split("/", 1)[0]:
+        return fs.LocalFileSystem(), uri
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(uri)
 
 
 def route_statistics(spark: SparkSession, path: str) -> DataFrame:
