@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from trendlake.llm.language import BiGru, LanguageModel, cut_windows, held_out, op10_language, train_language_model, with_language
+from trendlake.llm.language import BiGru, LanguageModel, _sample, cut_windows, held_out, op10_language, train_language_model, with_language
 from trendlake.llm.licences import TEMPLATES, _variants, scan_licences, train_licence_model
 from trendlake.llm.quality import STATISTICS, isotonic, op3_quality, statistics_of, train_quality_model, with_quality
 
@@ -70,6 +70,17 @@ def test_language_awkward_rows(spark):
     assert {r["lang_pred"] for r in with_language(docs, none).collect()} == {"und"}
 
 
+def test_equal_rows_leave_every_language(spark):
+    """Thousands of equal rows of one language beside few of another: each is learned, and the sample stays within its bound."""
+    few = [(i, f"ordinary words of a text number {i}", "en", "a") for i in range(400)]
+    for many in ([(None, "zzz qqq xxx", "xx", "a")] * 5000, [(i, "zzz qqq xxx", "xx", "a") for i in range(3000)]):
+        docs = documents(spark, few + many)
+        sample = _sample(docs, F.lit(True), 50, 3, 20)
+        assert {lang for lang, _ in sample} == {"en", "xx"} and len(sample) <= 2 * 50 * 3
+        model = train_language_model(docs, F.lit(True), epochs=1)
+        assert model.languages == ["en", "xx"]
+
+
 def test_language_ignores_rows_that_are_held_out(spark):
     docs = documents(spark, awkward())
     changed = docs.withColumn("lang", F.when(held_out(4, 2), "xx").otherwise(F.col("lang")))

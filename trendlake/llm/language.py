@@ -4,13 +4,14 @@ The network reads the UTF-8 bytes of a text in windows, forwards and backwards,
 labels every byte position with a distribution over the languages, and the
 distributions of all positions are averaged into the document's. It is trained
 here in numpy by backpropagation through time, on windows of a bounded sample
-of labelled documents (``docs_per_language`` by hash, ``windows_per_doc`` each),
-and is a few kilobytes large. Texts are scored whole.
+of labelled documents (``docs_per_language`` distinct texts by hash,
+``windows_per_doc`` each), and is a few kilobytes large. Texts are scored whole.
 
 Defined cases: a NULL text and a text without a letter get ``und`` and the score
 0, and so does everything when no row is labelled; a NULL id is never held out;
-ties go to the first language by code point; an empty table gives no rows;
-further columns are kept.
+ties go to the first language by code point; repeated rows count once in
+training and are all scored; an empty table gives no rows; further columns are
+kept.
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_small
 from .shared import crc_bucket, unit_hash
 from .textscan import by_bytes
 
@@ -168,24 +170,28 @@ class LanguageModel:
 
 
 def _sample(docs: DataFrame, train: Column, per_language: int, windows_per_doc: int, window: int) -> list[tuple[str, bytes]]:
-    """Windows of about ``per_language`` documents of each language, chosen by hash. The driver gets one row per window."""
-    labelled = docs.where(train & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}
-    if not counts:
-        return []
-    chance = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, per_language / n))])
-    chosen = labelled.where(unit_hash(F.col("doc_id"), F.lit("language"), F.xxhash64("text")) < chance[F.col("lang")])
+    """Windows of at most ``per_language`` distinct texts of each language, the first by hash. The driver gets one row per window.
+
+    Equal rows are one text, so they neither crowd out others nor are left out together: every language has a text.
+    """
+    labelled = docs.where(train & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("text").alias("key"))
+    first = Window.partitionBy("lang").orderBy(unit_hash(F.col("key"), F.lit("language")), "key")
+    texts = labelled.select("lang", "key").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
+    texts = broadcast_if_small(texts.select(F.col("lang").alias("_lang"), F.col("key").alias("_key")))
+    chosen = labelled.join(texts, (F.col("lang") == F.col("_lang")) & (F.col("key") == F.col("_key")), "left_semi")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for lang, text in zip(batch["lang"], batch["text"]):
+            for lang, key, text in zip(batch["lang"], batch["key"], batch["text"]):
                 data = text.encode("utf-8", "surrogatepass")
                 starts = np.linspace(0, max(0, len(data) - window), windows_per_doc).astype(int)
-                rows += [(lang, data[s:s + window]) for s in np.unique(starts)]
-            yield pd.DataFrame(rows, columns=["lang", "window"])
+                rows += [(lang, key, s, data[s:s + window]) for s in np.unique(starts)]
+            yield pd.DataFrame(rows, columns=["lang", "key", "start", "window"])
 
-    return sorted((r[0], bytes(r[1])) for r in chosen.select("lang", "text").mapInPandas(cut, "lang string, window binary").collect())
+    windows = chosen.select("lang", "key", "text").mapInPandas(cut, "lang string, key long, start long, window binary")
+    once = windows.dropDuplicates(["lang", "key", "start"])
+    return sorted((r[0], bytes(r[1])) for r in once.select("lang", "window").collect())
 
 
 def train_language_model(docs: DataFrame, train: Column, docs_per_language: int = 300, windows_per_doc: int = 6, window: int = 96,

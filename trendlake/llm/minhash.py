@@ -263,12 +263,12 @@ def _compare(percent: int):
         name, owner = number[name[kept]], owner[kept]
         order = np.argsort(name, kind="stable")
         name, owner = name[order], owner[order]
-        shared = np.zeros((len(rows), len(cols)), dtype=np.float32)
+        shared = np.zeros((len(rows), len(cols)), dtype=np.int64)
         for at in range(0, int(again.sum()), 2048):
             a, b = np.searchsorted(name, (at, at + 2048))
             holds = np.zeros((len(sizes), 2048), dtype=np.float32)
             holds[owner[a:b], name[a:b] - at] = 1
-            shared += holds[rows] @ holds[cols].T
+            shared += (holds[rows] @ holds[cols].T).astype(np.int64)  # a part's counts are exact in floats, their sum and its multiples need not be
         joint = sizes[rows][:, None] + sizes[cols][None, :] - shared
         mask = shared * 100 >= joint * percent
         if first.all() and second.all():

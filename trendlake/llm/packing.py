@@ -12,8 +12,9 @@ length, which tells the bin and the place of each without moving any text.
 ``sequences`` joins the plan to the tokens where the token ids are wanted.
 
 Defined cases: a NULL or empty text is the end id alone; NULL and repeated ids
-are rows of their own (equal rows take their places in any order); an empty
-table gives no rows; further columns are ignored.
+are rows of their own (equal rows take their places in any order); a text of any
+length is cut into as many pieces as it needs; an empty table gives no rows;
+further columns are ignored.
 """
 
 from __future__ import annotations
@@ -168,24 +169,27 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         [(length, [(a, b, s, o) for n, a, b, s, o in table if n == length]) for length in sorted(counts)] or [(0, [])],
         "_length long, spans array<struct<first:long, last:long, base:long, offset:long>>",
     )
-    ranked = numbered(pieces, ["length"], ["doc_id", "piece", "ids_crc32"], "_rank")
+    # The row number is written with the pieces, so equal pieces are spread like others.
+    ranked = numbered(pieces, ["length"], ["doc_id", "piece", "ids_crc32", "_row"], "_rank")
     span = F.filter("spans", lambda s: (s["first"] <= F.col("_rank")) & (F.col("_rank") <= s["last"]))[0]
     found = ranked.join(F.broadcast(plan), F.col("length") == F.col("_length")).withColumn("_span", span)
     return found.select(
-        *pieces.columns, (F.col("_span.base") + F.col("_rank") - F.col("_span.first")).alias("sequence_id"),
+        *(c for c in pieces.columns if c != "_row"), (F.col("_span.base") + F.col("_rank") - F.col("_span.first")).alias("sequence_id"),
         F.col("_span.offset").alias("offset"))
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """The packing: one row per piece."""
     work = Workspace(docs.sparkSession, "packing")
-    return place(work.table("pieces", pieces_of(docs, vocabulary or default_vocabulary(), capacity, end_id)), capacity)
+    pieces = pieces_of(docs, vocabulary or default_vocabulary(), capacity, end_id)
+    return place(work.table("pieces", pieces.withColumn("_row", F.monotonically_increasing_id())), capacity)
 
 
 def sequences(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """The packed token ids: ``sequence_id, ids``. A sequence has at most ``capacity`` ids, so its group is small."""
     work = Workspace(docs.sparkSession, "packing")
-    placed = place(work.table("pieces", pieces_of(docs, vocabulary or default_vocabulary(), capacity, end_id, with_ids=True)), capacity)
+    pieces = pieces_of(docs, vocabulary or default_vocabulary(), capacity, end_id, with_ids=True)
+    placed = place(work.table("pieces", pieces.withColumn("_row", F.monotonically_increasing_id())), capacity)
     parts: Column = F.sort_array(F.collect_list(F.struct("offset", "ids")))
     return placed.groupBy("sequence_id").agg(F.flatten(F.transform(parts, lambda p: p["ids"])).alias("ids"))
 

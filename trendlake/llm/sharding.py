@@ -1,22 +1,26 @@
 """Sharding into contiguous key ranges of near equal bytes, by sampled splitters.
 
 The key of a record is a hash of its text, so copies of a text are neighbours
-and go to one shard. A size-weighted sample of keys gives quantile boundaries;
-records are counted exactly in the resulting ranges; ranges that turn out
-overfull are subdivided by splitters drawn from a denser sample of that range,
-and a range filled by one key is subdivided by a second hash. The exact bytes
-of the ranges then decide which of them form a shard.
+and go to one shard. Bytes are first summed by key, so that equal rows, however many,
+are one weight. A size-weighted sample of keys gives quantile boundaries; bytes
+are counted exactly in the resulting ranges; ranges that turn out overfull are
+subdivided by splitters drawn from a denser sample of that range, or in their
+middle where the sample holds too little of them, until only ranges of a single
+key are overfull. The exact bytes of the ranges then decide which of them form a
+shard.
 
 The law is ``bytes``. Shards differ by about one range, a ``1 / ranges_per_shard``
 of a shard. A text whose copies alone exceed a range and cross the end of a
 shard is the only group that is dealt to several shards: to each it touches in
 proportion to the place that is free there, row by row, whatever the rows' ids.
 
-The driver gets at most ``sample_rows`` keys a round and one row per range.
+The driver gets about ``sample_rows`` distinct keys a round at most and one row
+per range: a key is drawn once, with as many votes as its bytes call for.
 
 Defined cases: a NULL text has no bytes, counts one byte and stands beside the
-empty text; NULL or repeated ids are rows like others; an empty table gives no
-rows; further columns are kept by ``shard_documents``.
+empty text; NULL or repeated ids are rows like others, and rows equal in all
+columns are placed one by one; a text of any length is one row and is never cut;
+an empty table gives no rows; further columns are kept by ``shard_documents``.
 """
 
 from __future__ import annotations
@@ -45,10 +49,12 @@ class Range:
 SMALLEST, LARGEST = -(1 << 63), (1 << 63) - 1
 
 
-def _sample(keys: DataFrame, chance) -> list[int]:
-    """Keys drawn with a probability in proportion to their rows' sizes."""
-    drawn = keys.where(unit_hash(F.col("doc_id"), F.col("key"), F.lit("sample")) < chance)
-    return sorted(r[0] for r in drawn.select("key").collect())
+def _sample(weights: DataFrame, rate: float) -> list[int]:
+    """Keys with ``rate`` votes a byte; what is left of a whole vote is drawn by the key's hash."""
+    votes = F.col("size") * F.lit(rate)
+    drawn = F.floor(votes) + F.when(unit_hash(F.col("key"), F.lit("sample")) < votes - F.floor(votes), 1).otherwise(0)
+    rows = weights.select("key", drawn.cast("long").alias("votes")).where("votes > 0").collect()
+    return sorted(key for key, n in rows for _ in range(n))
 
 
 def _quantiles(sample: list[int], low: int, high: int, pieces: int) -> list[Range]:
@@ -85,29 +91,26 @@ def _with_range(keys: DataFrame, ranges: list[Range]) -> DataFrame:
     return keys.withColumn("range", place("key"))
 
 
-def find_ranges(keys: DataFrame, shards: int, ranges_per_shard: int, sample_rows: int, rounds: int = 4) -> tuple[list[Range], list[int]]:
-    """Ranges in the order of their keys, and the bytes in each."""
-    total = keys.agg(F.sum("size")).first()[0] or 0
+def find_ranges(weights: DataFrame, shards: int, ranges_per_shard: int, sample_rows: int) -> tuple[list[Range], list[int]]:
+    """Ranges in the order of their keys, and the bytes in each; ``weights`` has one row per key."""
+    total = weights.agg(F.sum("size")).first()[0] or 0
     wanted = shards * ranges_per_shard
-    sample = _sample(keys, F.col("size") * F.lit(sample_rows / max(total, 1)))
-    ranges = _quantiles(sample, SMALLEST - 1, LARGEST, wanted)
-    sizes = _measured(keys, ranges)
-    for _ in range(rounds):
-        most = 2 * max(1, total // wanted)
-        full = [i for i, (r, n) in enumerate(zip(ranges, sizes)) if n > most and r.high - r.low > 1]
-        if not full:
-            break
-        inside = F.col("range").isin(full)
+    ranges = _quantiles(_sample(weights, sample_rows / max(total, 1)), SMALLEST - 1, LARGEST, wanted)
+    sizes = _measured(weights, ranges)
+    most = 2 * max(1, total // wanted)
+    while full := [i for i, (r, n) in enumerate(zip(ranges, sizes)) if n > most and r.high - r.low > 1]:
         bytes_there = sum(sizes[i] for i in full)
         # The whole sample goes to the overfull ranges, so it is denser there than the one before.
-        sample = _sample(_with_range(keys, ranges).where(inside), F.col("size") * F.lit(sample_rows / bytes_there))
+        sample = _sample(_with_range(weights, ranges).where(F.col("range").isin(full)), sample_rows / bytes_there)
         split = []
         for i, r in enumerate(ranges):
             own = sample[bisect_left(sample, r.low + 1):bisect_left(sample, r.high + 1)]
-            split += _quantiles(own, r.low, r.high, -(-2 * sizes[i] // most)) if i in full else [r]
-        if len(split) == len(ranges):
-            break
-        ranges, sizes = split, _measured(keys, split)
+            parts = _quantiles(own, r.low, r.high, -(-2 * sizes[i] // most)) if i in full else [r]
+            if i in full and len(parts) == 1:
+                middle = (r.low + r.high) // 2
+                parts = [Range(r.low, middle), Range(middle, r.high)]
+            split += parts
+        ranges, sizes = split, _measured(weights, split)
     return ranges, sizes
 
 
@@ -136,7 +139,8 @@ def shard_keys(docs: DataFrame, shards: int = 16, ranges_per_shard: int = 64, sa
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64(text).alias("key"), F.monotonically_increasing_id().alias("row"),
     ))
-    ranges, sizes = find_ranges(keys, shards, ranges_per_shard, sample_rows)
+    weights = work.table("weights", keys.groupBy("key").agg(F.sum("size").alias("size")))
+    ranges, sizes = find_ranges(weights, shards, ranges_per_shard, sample_rows)
     places = deal(ranges, sizes, shards)
     table = docs.sparkSession.createDataFrame(
         [(i, a, ends) for i, (a, ends) in enumerate(places)] or [(0, 0, [])], "range int, first int, ends array<double>")
@@ -144,8 +148,8 @@ def shard_keys(docs: DataFrame, shards: int = 16, ranges_per_shard: int = 64, sa
     # The row number is written with the keys, so equal rows are dealt one by one and a repeated task deals them alike.
     part = unit_hash(F.col("doc_id"), F.col("row"), F.lit("part"))
     beyond = F.size(F.filter("ends", lambda e: part >= e))
-    placed = placed.withColumn("shard", (F.col("first") + beyond).cast("int")).drop("row")
-    return numbered(placed.drop("range", "first", "ends"), ["shard"], ["key", "doc_id"], "slot")
+    placed = placed.withColumn("shard", (F.col("first") + beyond).cast("int"))
+    return numbered(placed.drop("range", "first", "ends"), ["shard"], ["key", "doc_id", "row"], "slot").drop("row")
 
 
 def shard_documents(docs: DataFrame, folder: str, **options) -> None:

@@ -62,8 +62,9 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], number: str, bloc
     """Number the rows of each group from 0 in a fixed, hashed order.
 
     A group is cut into blocks by a hash of ``order``; rows are numbered within
-    a block and shifted by what the blocks before it hold. No task gets more
-    than a block, so a group with a third of all rows is spread like the rest.
+    a block and shifted by what the blocks before it hold, so a group with a
+    third of all rows is spread like the rest. Rows equal in ``order`` share a
+    block: where they may be many, a number written with the rows belongs to it.
     With ``amount`` the column ``before`` gets the sum of the amounts of the
     rows that come earlier in the group. Rows equal in ``order`` follow each
     other in any order.
@@ -114,9 +115,10 @@ def components(links: DataFrame, work: Workspace, name: str = "components", max_
 
     ``links`` has the columns ``a`` and ``b`` of any ordered type. Alternates
     the large-star and the small-star step: every node hands its smallest
-    neighbour to the others. Both are one grouping and one join, so the links
-    of a hub are spread over tasks. It ends when all links are stars around a
-    root. Only nodes with a link are returned.
+    neighbour to the others. Both are one grouping and one join on the hub; the
+    links of a hub go to one task, unless adaptive execution splits its join.
+    It ends when all links are stars around a root. Only nodes with a link are
+    returned.
     """
     edges = work.table(f"{name}-0", links.select("a", "b").where("a <> b").distinct())
     kept = f"{name}-0"
