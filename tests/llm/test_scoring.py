@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from trendlake.llm.language import BiGru, LanguageModel, _sample, cut_windows, held_out, op10_language, train_language_model, with_language
-from trendlake.llm.licences import TEMPLATES, _variants, scan_licences, train_licence_model
+from trendlake.llm.licences import TEMPLATES, _own_paragraphs, _variants, scan_licences, train_licence_model
 from trendlake.llm.quality import STATISTICS, isotonic, op3_quality, statistics_of, train_quality_model, with_quality
 
 from .helpers import awkward, documents
@@ -175,6 +175,57 @@ def test_wrapped_notices(spark, licence_model):
         [(1, 0, "GPL-3.0"), (2, 2, "LGPL"), (None, 0, "BSD"), (3, 3, "GPL-3.0"), (4, 1, "MIT"), (5, 0, "GPL-3.0"), (6, 0, "GPL-3.0")], key=repr)
 
 
+def test_several_notices_in_one_run(spark, licence_model):
+    gpl = ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+           "the Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.")
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:"
+    lgpl = "This library is free software; you can redistribute it\nunder the terms of the GNU Lesser\nGeneral Public License."
+    share = "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."
+    texts = [f"{gpl}\n{bsd}", f"{bsd}\n{gpl}", f"{gpl}\n{lgpl}", share, f"{share}\n{share}", gpl, f"{gpl}\n{gpl}",
+             "Released under the MIT License. Released into the public domain.", f"{gpl}\n{bsd}\nReleased under the ISC License."]
+    want = [{"GPL-3.0", "BSD"}, {"GPL-3.0", "BSD"}, {"GPL-3.0", "LGPL"}, {"CC-BY-SA"}, {"CC-BY-SA"}, {"GPL-3.0"}, {"GPL-3.0"},
+            {"MIT", "Unlicense"}, {"GPL-3.0", "BSD", "ISC"}]
+    found = scan_licences(documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)]), licence_model).where("confirmed").collect()
+    assert [{r["family"] for r in found if r["doc_id"] == i} for i in range(len(texts))] == want
+    twice = scan_licences(documents(spark, [(None, texts[0], "en", "a")] * 2), licence_model).where("confirmed")
+    assert sorted(r["family"] for r in twice.collect()) == ["BSD", "BSD", "GPL-3.0", "GPL-3.0"]
+
+
+def test_held_out_notices(spark, licence_model):
+    """Wordings that no template has; the sentences grant nothing."""
+    notices = [("MIT", "This package is distributed under the MIT License."), ("Apache-2.0", "Code licensed under Apache License, Version 2.0."),
+               ("EUPL-1.2", "This file is licensed under the EUPL, Version 1.2."), ("EPL-2.0", "Made available under the terms of the Eclipse Public License 2.0."),
+               ("BSL-1.0", "Released under the Boost Software License, Version 1.0."), ("Zlib", "Distributed under the zlib License."),
+               ("MPL-2.0", "This file is subject to the terms of the Mozilla Public License, v. 2.0."),
+               ("GPL-3.0", "The tool is licensed under the GNU General Public License, version 3.")]
+    plain = ["The licence of the pub was renewed.", "The public was free to use the software room.", "He reserved a table for version two of the play."]
+    rows = [(i, t, "en", "a") for i, t in enumerate([t for _, t in notices] + plain)]
+    found = {r["doc_id"]: r["family"] for r in scan_licences(documents(spark, rows), licence_model).where("confirmed").collect()}
+    right = sum(found.get(i) == family for i, (family, _) in enumerate(notices))
+    assert right >= len(notices) - 1 and all(i < len(notices) for i in found)
+
+
+def test_licence_scores_are_those_of_a_plain_sum(spark, licence_model):
+    texts = [t for _, t in TEMPLATES] + ["nothing of it", "the the the", ""]
+    known = licence_model.known(spark.createDataFrame([(t,) for t in texts], "paragraph string")).select("known").distinct()
+    weights = {r["gram"]: np.array(r["w"]) for r in licence_model.weights.collect()}
+    for r in licence_model.scored(known).collect():
+        logits = (sum((weights[g] for g in r["known"]), np.array(licence_model.intercepts))) / licence_model.temperature
+        p = np.exp(logits - logits.max())
+        assert r["family"] == licence_model.families[int(logits.argmax())]
+        assert r["probability"] == pytest.approx((p / p.sum()).max(), rel=1e-9)
+
+
+def test_unknown_paragraphs_stay_within_their_bound(spark):
+    same = "\n".join(f"line {i} of a text that many rows hold" for i in range(200))
+    long = " ".join(f"w{i}" for i in range(5_000))
+    docs = documents(spark, [(7, same, "en", "a")] * 300 + [(None, long, "en", "a")] * 50 + [(1, None, "en", "a"), (2, "", "en", "a")])
+    drawn = _own_paragraphs(docs, 100, 10_000, 60).collect()
+    assert len(drawn) == 200 + 84 and max(len(r["words"]) for r in drawn) == 60
+    assert "w4999" in {w for r in drawn for w in r["words"]}
+    assert len(_own_paragraphs(docs, 100, 50, 60).collect()) == 50
+
+
 def test_pipeline_stages_keep_columns_and_clean_rows(spark):
     docs = documents(spark, awkward())
     labels = f"{SF}"

@@ -6,22 +6,35 @@ marks) end a run. Its features are the distinct one- and two-word
 sequences of its lowered words. A multinomial logistic regression over them
 tells licence families from each other and from the class ``unknown``; it is
 trained on variants of notice templates (words left out, cut at either end), on
-ordinary sentences that speak of licences, and on a bounded sample of the
-corpus's own paragraphs as ``unknown``. A temperature fitted on held-out
+ordinary sentences that speak of licences, and as ``unknown`` on a bounded sample
+of the corpus's own paragraphs: at most ``sample_paragraphs`` of at most
+``sample_docs`` distinct texts, drawn by hash from their whole length; a longer
+paragraph counts as several of ``piece_words`` words. A temperature fitted on held-out
 examples calibrates the probabilities. A family is reported when its calibrated
 probability reaches ``least_probability``; it is confirmed when the paragraph
 holds at least ``least_overlap`` of the word pairs of one of its templates.
 
+A paragraph may hold several notices, as when two follow each other without a
+blank line. Where templates of more than one family agree with it, the notices
+are taken off one by one: the likeliest family that a template confirms is
+noted, the template's words and pairs are subtracted as often as they occur
+together, and the rest is classified again, until no template agrees. So a family
+whose wording is only part of another's is not reported beside it. Families of
+which 80 % or more of a template are there aren't weighed against each other.
+
 Every paragraph is scored. Only grams of the licence examples have weights, so a
 paragraph is reduced to these; one is left out of the join with the weights only
 if an upper bound of its score shows that ``unknown`` wins. Paragraphs with the
 same weighted grams are scored once and share the result. A run is reported at
 its first line, unless one of its lines already tells as much: the same family,
-and confirmed if the run is.
+and confirmed if the run is. Known limits: a wrapped notice within a run of
+ordinary prose is judged with that prose, and the variants of one template lie on
+both sides of the split that the temperature is fitted by.
 
 Defined cases: NULL and empty texts have no paragraphs; rows with NULL or
-repeated ids are scanned like others; a paragraph may have any length; an
-empty table gives no rows; further columns are ignored.
+repeated ids are scanned like others, repeated rows give their results as often;
+a paragraph may have any length; of families with equal scores the first of the
+alphabet wins; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -55,6 +68,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("GPL-3.0", "Licensed under the GPLv3."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or any later version."),
     ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
     ("GPL-2.0", "Distributed under the GPL, version 2."),
     ("LGPL", "This library is licensed under the GNU Lesser General Public License, version 2.1 or later."),
@@ -79,6 +93,14 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-NC", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-ND", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
     ("CC-BY-ND", "Licensed under CC BY-ND 4.0."),
+    ("EUPL-1.2", "Licensed under the EUPL, Version 1.2 or later."),
+    ("EUPL-1.2", "This work is licensed under the European Union Public Licence, version 1.2."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0."),
+    ("EPL-2.0", "Licensed under the Eclipse Public License, version 2.0."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("BSL-1.0", "Use, modification and distribution are subject to the Boost Software License, Version 1.0."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
+    ("Zlib", "Released under the zlib License."),
     ("Proprietary", "All rights reserved."),
     ("Proprietary", "Copyright. All rights reserved. No part may be reproduced without the prior written permission of the owner."),
     ("Proprietary", "This software is proprietary and confidential. Unauthorized copying of this file is strictly prohibited."),
@@ -130,12 +152,20 @@ def _variants(templates: DataFrame) -> DataFrame:
     return words.select("family", F.explode(F.concat(whole, without, ends)).alias("words")).where(F.size("words") > 1)
 
 
-def _own_paragraphs(docs: DataFrame, bound: int) -> DataFrame:
-    """Paragraphs of ``bound`` documents, the first by hash of their ids; only the ids are broadcast."""
-    some = docs.select("doc_id").where("doc_id is not null").orderBy(unit_hash(F.col("doc_id"), F.lit("licence")), "doc_id").limit(bound)
-    texts = docs.select("doc_id", "text").join(F.broadcast(some.select(F.col("doc_id").alias("_id"))), F.col("doc_id") == F.col("_id"))
-    return texts.select(F.explode(F.slice(F.split("text", "\n"), 1, 20)).alias("text")).select(
-        F.lit(UNKNOWN).alias("family"), F.slice(paragraph_words(F.col("text")), 1, 60).alias("words")).where(F.size("words") > 0)
+def _own_paragraphs(docs: DataFrame, bound: int, paragraphs: int, piece_words: int) -> DataFrame:
+    """At most ``paragraphs`` lines of ``bound`` distinct texts, both the first by hash; long lines in pieces.
+
+    Equal texts count once, however many rows hold them; only hashes are broadcast.
+    """
+    keyed = docs.where("text is not null").select(unit_hash(F.col("text"), F.lit("licence")).alias("_h"), "text")
+    chosen = keyed.select(F.col("_h").alias("_chosen")).distinct().orderBy("_chosen").limit(bound)
+    texts = keyed.join(F.broadcast(chosen), F.col("_h") == F.col("_chosen")).groupBy("_h").agg(F.first("text").alias("text"))
+    words = texts.select("_h", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).select(
+        "_h", "line_no", paragraph_words(F.col("line")).alias("all")).where(F.size("all") > 0)
+    starts = F.sequence(F.lit(1), F.size("all"), F.lit(piece_words))
+    pieces = words.select("_h", "line_no", F.posexplode(F.transform(starts, lambda i: F.slice("all", i, F.lit(piece_words)))).alias("piece", "words"))
+    drawn = pieces.orderBy(unit_hash("_h", "line_no", "piece"), "_h", "line_no", "piece").limit(paragraphs)
+    return drawn.select(F.lit(UNKNOWN).alias("family"), "words")
 
 
 class LicenceModel:
@@ -154,16 +184,17 @@ class LicenceModel:
             self._leads.setdefault(ceil(most * 4) / 4, []).append(gram)
 
     def known_in(self, words: Column) -> Column:
-        """The distinct grams of an array of words that have weights, sorted; score and overlap depend on nothing else.
+        """The distinct grams of an array of words that have weights, sorted; score and overlap depend on nothing else."""
+        return F.array_sort(F.array_distinct(self.occurrences_in(words)))
 
-        Pairs are only built of two words that stand in weighted grams.
-        """
+    def occurrences_in(self, words: Column) -> Column:
+        """Every occurrence of a weighted gram; pairs are only built of two words that stand in weighted grams."""
         singles = F.filter(words, lambda w: w.isin(self._singles))
         starts = F.when(F.size(words) > 1, F.filter(
             F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1))),
             lambda i: F.get(words, i - 1).isin(self._words) & F.get(words, i).isin(self._words))).otherwise(F.array().cast("array<int>"))
         pairs = F.transform(starts, lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i)))
-        return F.array_sort(F.array_distinct(F.concat(singles, F.filter(pairs, lambda g: g.isin(self._pairs)))))
+        return F.concat(singles, F.filter(pairs, lambda g: g.isin(self._pairs)))
 
     def known(self, paragraphs: DataFrame) -> DataFrame:
         """With ``known``: the weighted grams of ``paragraph``."""
@@ -180,23 +211,28 @@ class LicenceModel:
 
         return F.aggregate(known, F.lit(self._base + 1e-6), lambda acc, g: acc + lead(g)) >= 0
 
-    def scored(self, rows: DataFrame, key: str = "known") -> DataFrame:
-        """``key, family, probability`` for rows with distinct ``key``: the weighted grams of a paragraph."""
+    def logits(self, rows: DataFrame, key: str = "known") -> DataFrame:
+        """``key, logits``, one calibrated logit a family, for rows with distinct ``key``: the weighted grams of a paragraph."""
         n = len(self.families)
         grams = rows.select(key, F.explode_outer(key).alias("gram"))
         known = grams.join(F.broadcast(self.weights), "gram", "left")
         sums = known.groupBy(key).agg(*[F.coalesce(F.sum(F.col("w")[i]), F.lit(0.0)).alias(f"s{i}") for i in range(n)])
         logits = F.array(*[(F.col(f"s{i}") + F.lit(self.intercepts[i])) / F.lit(self.temperature) for i in range(n)])
+        return sums.select(key, logits.alias("logits"))
+
+    def scored(self, rows: DataFrame, key: str = "known") -> DataFrame:
+        """``key, family, probability`` of the likeliest family."""
         top = F.array_max("logits")
         total = F.aggregate("logits", F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
         names = F.array(*[F.lit(f) for f in self.families])
         best = F.element_at(names, F.array_position("logits", top).cast("int"))
-        return sums.select(key, logits.alias("logits")).select(key, best.alias("family"), (F.lit(1.0) / total).alias("probability"))
+        return self.logits(rows, key).select(key, best.alias("family"), (F.lit(1.0) / total).alias("probability"))
 
 
 def train_licence_model(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, ordinary: Sequence[str] = ORDINARY,
-                        sample_docs: int = 100, held_out: float = 0.25, regularization: float = 0.002) -> LicenceModel:
-    """Trains on the templates, the ordinary sentences and paragraphs of at most ``sample_docs`` documents."""
+                        sample_docs: int = 100, sample_paragraphs: int = 2_000, piece_words: int = 60,
+                        held_out: float = 0.25, regularization: float = 0.002) -> LicenceModel:
+    """Trains on the templates, the ordinary sentences and at most ``sample_paragraphs`` paragraphs of ``sample_docs`` distinct texts."""
     spark = docs.sparkSession
     work = Workspace(spark, "licences")
     given = spark.createDataFrame([*templates], "family string, text string")
@@ -204,7 +240,7 @@ def train_licence_model(docs: DataFrame, templates: Sequence[tuple[str, str]] =
     positives = _variants(given)
     pairs = given.select(F.explode(word_pairs(paragraph_words(F.col("text")))).alias("pair")).distinct().orderBy("pair").collect()
     # Paragraphs of the corpus that share three word pairs with the templates may be notices: not taken as unknown.
-    negatives = _own_paragraphs(docs, sample_docs).where(
+    negatives = _own_paragraphs(docs, sample_docs, sample_paragraphs, piece_words).where(
         F.size(F.array_intersect(word_pairs(F.col("words")), F.array(*[F.lit(r["pair"]) for r in pairs]))) < 3)
     examples = positives.union(_variants(plain)).union(negatives)
     examples = examples.withColumn("grams", _grams(F.col("words"))).withColumn("fold", unit_hash(F.concat_ws(" ", "words"), F.col("family")))
@@ -283,12 +319,72 @@ def paragraphs_of(docs: DataFrame, model: LicenceModel) -> DataFrame:
         "doc_id", "text_key", "run_start", "item.*").where(model.possible(F.col("known")))
 
 
+def _held_templates(spark: SparkSession, templates: Sequence[tuple[str, str]]) -> Column:
+    """The templates as a constant: ``family, pairs, grams``."""
+    words = spark.createDataFrame([*templates], "family string, text string").select("family", paragraph_words(F.col("text")).alias("words"))
+    rows = words.select("family", F.array_distinct(word_pairs(F.col("words"))).alias("pairs"), _grams(F.col("words")).alias("grams")).collect()
+    return F.array(*[F.struct(F.lit(r["family"]).alias("family"), F.array(*map(F.lit, r["pairs"])).alias("pairs"),
+                              F.array(*map(F.lit, r["grams"])).alias("grams")) for r in rows])
+
+
+def _agreeing(held: Column, known: Column, least_overlap: float) -> Column:
+    """The templates of which ``known`` holds enough pairs: ``family, overlap, pairs, grams``."""
+    compared = F.transform(held, lambda t: F.struct(
+        t["family"].alias("family"), (F.size(F.array_intersect(t["pairs"], known)) / F.size(t["pairs"])).alias("overlap"),
+        F.array_intersect(t["pairs"], known).alias("pairs"), t["grams"].alias("grams")))
+    return F.filter(compared, lambda t: t["overlap"] >= least_overlap)
+
+
+def _notices(model: LicenceModel, paragraphs: DataFrame, held: Column, least_probability: float, least_overlap: float, work: Workspace) -> DataFrame:
+    """``key, family, probability, overlap, confirmed``: every family confirmed in a paragraph, taken off one by one.
+
+    A round subtracts the pairs of one template as often as all of them occur,
+    which uses up at least one pair, so the rounds end. A paragraph travels as the
+    counts of its weighted grams, whatever its length.
+    """
+    names = F.array(*[F.lit(f) for f in model.families])
+    grams = paragraphs.select("key", F.explode(model.occurrences_in(paragraph_words(F.col("paragraph")))).alias("gram"))
+    counts = grams.groupBy("key", "gram").agg(F.count("*").alias("n"))
+    left = work.table("mixed-0", counts.groupBy("key").agg(F.collect_list(F.struct("gram", "n")).alias("grams")))
+    seen, turn = [], 0
+    while not left.isEmpty():
+        rows = left.withColumn("known", F.array_sort(F.transform("grams", lambda g: g["gram"])))
+        scored = rows.join(model.logits(rows.select("known").distinct()), "known")
+        agreeing = _once(scored, "agreeing", _agreeing(held, F.col("known"), least_overlap)).where(F.size("agreeing") > 0)
+
+        def logit(family: Column) -> Column:
+            return F.element_at(F.col("logits"), F.array_position(names, family).cast("int"))
+
+        best = F.array_max(F.transform("agreeing", lambda t: F.struct(
+            logit(t["family"]).alias("logit"), t["overlap"].alias("overlap"), t["family"].alias("family"), t["pairs"].alias("pairs"), t["grams"].alias("off"))))
+        chosen = _once(agreeing, "best", best)
+        beside = F.transform(F.filter("agreeing", lambda t: t["overlap"] >= 0.8), lambda t: t["family"])
+        total = F.aggregate(
+            F.zip_with("logits", names, lambda x, f: F.when((f == F.col("best.family")) | ~F.array_contains(beside, f), x)),
+            F.lit(0.0), lambda acc, x: acc + F.coalesce(F.exp(x - F.col("best.logit")), F.lit(0.0)))
+        times = F.array_min(F.transform(F.filter("grams", lambda g: F.array_contains(F.col("best.pairs"), g["gram"])), lambda g: g["n"]))
+        counted = _once(chosen, "times", times)
+        rest = F.filter(F.transform("grams", lambda g: F.struct(
+            g["gram"].alias("gram"), (g["n"] - F.when(F.array_contains(F.col("best.off"), g["gram"]), F.col("times")).otherwise(0)).alias("n"))), lambda g: g["n"] > 0)
+        turn += 1
+        step = work.table(f"mixed-{turn}", counted.select(
+            "key", "best.family", (F.lit(1.0) / total).alias("probability"), "best.overlap", rest.alias("grams")))
+        seen.append(step.where(F.col("probability") >= least_probability))
+        left = step.where(F.size("grams") > 0).select("key", "grams")
+    out = seen[0] if seen else left.select("key", F.lit("").alias("family"), F.lit(0.0).alias("probability"), F.lit(0.0).alias("overlap"))
+    for step in seen[1:]:
+        out = out.unionByName(step)
+    best = out.groupBy("key", "family").agg(F.max(F.struct("overlap", "probability")).alias("best"))
+    return best.select("key", "family", "best.probability", "best.overlap", F.lit(True).alias("confirmed"))
+
+
 def scan_licences(docs: DataFrame, model: LicenceModel, templates: Sequence[tuple[str, str]] = TEMPLATES,
                   least_probability: float = 0.5, least_overlap: float = 0.5) -> DataFrame:
     """``doc_id, paragraph_no, family, probability, overlap, confirmed, paragraph``: one row per licence paragraph."""
     work = Workspace(docs.sparkSession, "licences")
     lines = work.table("paragraphs", paragraphs_of(docs, model))
-    named = model.scored(lines.select("known").distinct()).where((F.col("family") != UNKNOWN) & (F.col("probability") >= least_probability))
+    scored = work.table("scored", model.scored(lines.select("known").distinct()).where(F.col("family") != UNKNOWN))
+    named = scored.where(F.col("probability") >= least_probability)
     pairs = docs.sparkSession.createDataFrame([*templates], "family string, text string").select(
         F.col("family").alias("_family"), word_pairs(paragraph_words(F.col("text"))).alias("pairs"))
     pairs = pairs.groupBy("_family").agg(F.collect_list("pairs").alias("templates"))
@@ -297,6 +393,12 @@ def scan_licences(docs: DataFrame, model: LicenceModel, templates: Sequence[tupl
     overlap = F.array_max(F.transform("templates", lambda t: F.size(F.array_intersect(t, F.col("known"))) / F.size(F.array_distinct(t))))
     confirmed = compared.select("known", "family", "probability", overlap.alias("overlap"), (overlap >= least_overlap).alias("confirmed"))
     found = lines.join(confirmed, "known")
+    held = _held_templates(docs.sparkSession, templates)
+    several = scored.where(F.size(F.array_distinct(F.transform(_agreeing(held, F.col("known"), least_overlap), lambda t: t["family"]))) > 1)
+    mixed = lines.join(several.select("known"), "known").withColumn("key", F.sha2("paragraph", 256))
+    further = _notices(model, mixed.select("key", "paragraph").dropDuplicates(["key"]), held, least_probability, least_overlap, work)
+    told = confirmed.where("confirmed").select("known", "family")
+    found = found.unionByName(mixed.join(further, "key").join(told, ["known", "family"], "left_anti").select(*found.columns))
     # The lines of a run travel with its text's key, so rows of the same id stay apart.
     rank = F.when(F.col("confirmed"), 2).otherwise(1)
     by_line = found.where("paragraph_lines = 1").groupBy("text_key", F.col("run_start").alias("paragraph_no"), "family").agg(F.max(rank).alias("told"))
