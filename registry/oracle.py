@@ -229,6 +229,8 @@ _BODIES = {
         FROM categories WHERE region IN {TWO} GROUP BY region""",
     "registered_table_sql": """SELECT region, count(*) AS days, max(total_views) AS best_day, min(trending_date_parsed) AS first_day
         FROM trending WHERE total_videos > 1 GROUP BY region""",
+    "published_versions": """SELECT 'before' AS reader, region, 1 AS delivery, count(*) AS days, max(total_views) AS best_day FROM trending GROUP BY region
+        UNION ALL SELECT 'after', region, CASE WHEN region < 'b' THEN 2 ELSE 1 END, count(*), max(total_views) FROM trending GROUP BY region""",
     "large_rates": """SELECT o_custkey % 25 AS customer, avg(CAST(engagement_rate AS DECIMAL(28,4))) AS mean_rate, max(engagement_rate) AS top_rate FROM (
         SELECT o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN floor(o_totalprice) * 100.0 ELSE o_orderkey % 40 * 0.5 END AS engagement_rate
         FROM orders) GROUP BY 1""",

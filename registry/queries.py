@@ -24,6 +24,7 @@ from trendlake.operators.landing import coverage_summary, with_pipeline_metadata
 from trendlake.operators.quality import QualityRules
 from trendlake.operators.reference import EmptyReferenceError, normalise_reference
 from trendlake.operators.sinks import read_evolving, statistics_metrics, write_evolving
+from trendlake.operators.versions import publish
 from trendlake.plans.pipeline import build_gold, write_reference, write_statistics
 from trendlake.plans.refresh import build_channel_state, update_gold
 from trendlake.operators.statistics import conform_statistics, finish_statistics, prepare_statistics
@@ -356,6 +357,19 @@ def registered_table_sql(spark, sf_dir):
         FROM {table} WHERE total_videos > 1 GROUP BY region""")
 
 
+@query("published_versions")
+def published_versions(spark, sf_dir):
+    """Two versions of a gold table: what a read begun before the second gives, and one begun after it."""
+    path = work_path(spark, "published")
+    table = f"gold_{path[-12:]}.trending"
+    days = trending_analytics(silver(spark, sf_dir)).select("trending_date_parsed", "total_views", "region")
+    publish(days.withColumn("delivery", F.lit(1)), path, table)
+    before = spark.table(table)
+    publish(days.where("region < 'b'").withColumn("delivery", F.lit(2)), path, table, mode="overwrite_partitions")
+    readers = before.withColumn("reader", F.lit("before")).unionByName(spark.table(table).withColumn("reader", F.lit("after")))
+    return readers.groupBy("reader", "region", "delivery").agg(F.count("*").alias("days"), F.max("total_views").alias("best_day"))
+
+
 @query("large_rates")
 def large_rates(spark, sf_dir):
     """Means of rates of any size, from one exact sum."""

@@ -14,6 +14,7 @@ from ..operators import quality
 from ..operators.aggregates import category_analytics, channel_totals, rank_channels, stamped, trending_analytics
 from ..operators.reference import EmptyReferenceError, clean_reference
 from ..operators.sinks import reference_metrics, statistics_metrics, write_partitioned
+from ..operators.versions import publish
 from ..operators.statistics import finish_statistics, latest_statistics, prepare_statistics
 from ..session import delete_path, work_path
 from ..sources.tables import read_table, read_table_if_present
@@ -24,7 +25,9 @@ class PipelineConfig:
     """Where the layers live and what they are called.
 
     Paths are folders; table names are optional and register the folders in
-    the catalog.
+    the catalog. With ``gold_versions`` each full or regional build of gold is
+    written beside the one before, and readers of its names change over at once
+    (``operators.versions``); ``plans.refresh`` writes in place and refuses such gold.
     """
 
     silver_path: str
@@ -43,6 +46,12 @@ class PipelineConfig:
         "clean_reference_data": quality.REFERENCE_RULES,
     })
 
+    gold_versions: bool = False
+
+    def __post_init__(self) -> None:
+        if self.gold_versions and not self.gold_database:
+            raise ValueError("versions of gold need a gold_database, whose names are switched")
+
     def silver(self, name: str) -> str:
         return f"{self.silver_path.rstrip('/')}/{name}"
 
@@ -136,7 +145,10 @@ def build_gold(
     mode = "overwrite" if regions is None else "overwrite_partitions"
 
     def write(name: str, df: DataFrame) -> dict[str, int]:
-        return write_partitioned(df, config.gold(name), mode=mode, table=config.table(config.gold_database, name))
+        table = config.table(config.gold_database, name)
+        if config.gold_versions:
+            return publish(df, config.gold(name), table, mode=mode)
+        return write_partitioned(df, config.gold(name), mode=mode, table=table)
 
     written = {"trending_analytics": write("trending_analytics", trending_analytics(stats))}
     totals = work_path(spark, "channels")
