@@ -343,7 +343,8 @@ def _notices(model: LicenceModel, paragraphs: DataFrame, held: Column, least_pro
     counts of its weighted grams, whatever its length.
     """
     names = F.array(*[F.lit(f) for f in model.families])
-    grams = paragraphs.select("key", F.explode(model.occurrences_in(paragraph_words(F.col("paragraph")))).alias("gram"))
+    words = _once(paragraphs, "words", paragraph_words(F.col("paragraph")))
+    grams = words.select("key", F.explode(model.occurrences_in(F.col("words"))).alias("gram"))
     counts = grams.groupBy("key", "gram").agg(F.count("*").alias("n"))
     left = work.table("mixed-0", counts.groupBy("key").agg(F.collect_list(F.struct("gram", "n")).alias("grams")))
     seen, turn = [], 0
