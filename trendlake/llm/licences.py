@@ -185,7 +185,7 @@ class LicenceModel:
 
     def known_in(self, words: Column) -> Column:
         """The distinct grams of an array of words that have weights, sorted; score and overlap depend on nothing else."""
-        return F.array_sort(F.array_distinct(self.occurrences_in(words)))
+        return F.sort_array(F.array_distinct(self.occurrences_in(words)))
 
     def occurrences_in(self, words: Column) -> Column:
         """Every occurrence of a weighted gram; pairs are only built of two words that stand in weighted grams."""
@@ -303,18 +303,19 @@ def paragraphs_of(docs: DataFrame, model: LicenceModel) -> DataFrame:
         return F.filter(F.sequence(F.lit(0), F.size("marks") - 1), lambda i: worded(i) & ~worded(i + step))
 
     lines = _once(_once(lines, "starts", edges(-1)), "ends", edges(1))
-    spans = F.zip_with("starts", "ends", lambda a, b: F.struct(a.alias("first"), (b - a + 1).alias("n")))
-    runs = lines.select("doc_id", "text_key", "lines", "marks", F.explode(spans).alias("span")).select("doc_id", "text_key", "span.*", *[
-        F.slice(c, F.col("span.first") + 1, F.col("span.n")).alias(c) for c in ("lines", "marks")])
+    # A run carries its own lines only, so a text of many runs isn't copied once for each of them.
+    spans = F.zip_with("starts", "ends", lambda a, b: F.struct(
+        a.alias("first"), (b - a + 1).alias("n"), F.slice("lines", a + 1, b - a + 1).alias("lines"), F.slice("marks", a + 1, b - a + 1).alias("marks")))
+    runs = lines.select("doc_id", "text_key", F.explode(spans).alias("span")).select("doc_id", "text_key", "span.*")
     runs = _once(runs, "marks_", F.col("marks")).drop("marks")
     crossing = F.zip_with(F.slice("marks_", F.lit(1), F.col("n") - 1), F.slice("marks_", F.lit(2), F.col("n") - 1),
                           lambda a, b: F.concat_ws(" ", a["tail"], b["head"]))
-    whole = F.array_sort(F.array_distinct(F.concat(F.flatten(F.col("marks_.known")), F.filter(crossing, lambda g: g.isin(model._pairs)))))
+    whole = F.sort_array(F.array_distinct(F.concat(F.flatten(F.col("marks_.known")), F.filter(crossing, lambda g: g.isin(model._pairs)))))
     single = F.transform("marks_", lambda m, i: F.struct(
         (F.col("first") + i).alias("paragraph_no"), F.lit(1).alias("paragraph_lines"), F.get("lines", i).alias("paragraph"), m["known"].alias("known")))
-    joined = F.when(F.col("n") > 1, F.array(F.struct(
-        F.col("first").alias("paragraph_no"), F.col("n").alias("paragraph_lines"), F.array_join("lines", "\n").alias("paragraph"), whole.alias("known"))))
-    items = F.concat(single, F.coalesce(joined, F.slice(single, F.lit(1), F.lit(0))))
+    joined = F.array(F.struct(F.col("first").alias("paragraph_no"), F.col("n").alias("paragraph_lines"),
+                              F.array_join("lines", "\n").alias("paragraph"), whole.alias("known")))
+    items = F.when(F.col("n") > 1, F.concat(single, joined)).otherwise(single)
     return runs.select("doc_id", "text_key", F.col("first").alias("run_start"), F.explode(items).alias("item")).select(
         "doc_id", "text_key", "run_start", "item.*").where(model.possible(F.col("known")))
 
@@ -349,7 +350,7 @@ def _notices(model: LicenceModel, paragraphs: DataFrame, held: Column, least_pro
     left = work.table("mixed-0", counts.groupBy("key").agg(F.collect_list(F.struct("gram", "n")).alias("grams")))
     seen, turn = [], 0
     while not left.isEmpty():
-        rows = left.withColumn("known", F.array_sort(F.transform("grams", lambda g: g["gram"])))
+        rows = left.withColumn("known", F.sort_array(F.transform("grams", lambda g: g["gram"])))
         scored = rows.join(model.logits(rows.select("known").distinct()), "known")
         agreeing = _once(scored, "agreeing", _agreeing(held, F.col("known"), least_overlap)).where(F.size("agreeing") > 0)
 
