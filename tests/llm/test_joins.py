@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from trendlake.llm import textscan
 from trendlake.llm.embedding_join import near_vectors
@@ -176,6 +177,16 @@ def test_components_and_numbering(spark):
     nodes = {x for pair in links if pair[0] != pair[1] for x in pair}
     assert got == {n: r for n, r in components(range(500), links).items() if n in nodes}
 
+    # Few links held at once, a hub, a chain over all partitions, equal links, and names as bytes.
+    many = [(7, i) for i in range(1000, 1400)] + [(i, i + 1) for i in range(2000, 2300)] + links * 2
+    rng.shuffle(many)
+    expected = {n: r for n, r in components(range(2400), many).items() if n in {x for pair in many if pair[0] != pair[1] for x in pair}}
+    spread = spark.createDataFrame(many, "a long, b long").repartition(7)
+    assert {r["node"]: r["root"] for r in connected(spread, Workspace(spark, "t"), held_links=20).collect()} == expected
+    named = spread.select(*[F.lpad(F.col(c).cast("string"), 4, "0").cast("binary").alias(c) for c in "ab"])
+    assert {int(r["node"]): int(r["root"]) for r in connected(named, Workspace(spark, "t")).collect()} == expected
+    assert connected(df.limit(0), Workspace(spark, "t")).count() == 0
+
     rows = [(rng.choice(["a", "b", None]), i % 37, i) for i in range(500)]
     table = spark.createDataFrame(rows, "k string, o long, amount long")
     out = numbered(table, ["k"], ["o", "amount"], "n", block_rows=20, amount="amount", before="sum").collect()

@@ -269,6 +269,16 @@ def test_archives(spark):
     assert archive_round_trip(pages(spark, [])).count() == 0
 
 
+def test_every_record_has_the_url_of_its_row(spark):
+    rows = [(None, f"http://a/{i % 5}", "", "n", 1) for i in range(10)] + [(7, "u", "é", "n", 1), (7, "v", "é", "n", 1), (7, None, "é", "n", 1)]
+    plan = plan_records(pages(spark, rows)).collect()
+    assert sorted((r["url"] or "" for r in plan)) == sorted((r[1] or "" for r in rows))
+    assert len({(r["name"], r["copy"]) for r in plan}) == len(rows)
+    assert [r["record_type"] for r in plan].count("response") == 2
+    out = archive_round_trip(pages(spark, rows)).collect()
+    assert sorted((r["page_id"] or 0, r["refers_to"] or 0) for r in out) == [(0, 0)] * 10 + [(7, 0), (7, 7), (7, 7)]
+
+
 def test_archives_tell_what_is_wrong(spark, tmp_path):
     table = pages(spark, [(1, "u", "abcdefgh" * 100, "n", 1)])
     write_archives(plan_records(table).coalesce(1), str(tmp_path / "w"), segment_bytes=300, chunk_bytes=50)

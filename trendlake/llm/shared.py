@@ -9,7 +9,10 @@ removed when the session ends.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -110,19 +113,87 @@ def _are_stars(edges: DataFrame) -> bool:
     return sums.where("up > 1 or (up > 0 and down > 0)").isEmpty()
 
 
-def components(links: DataFrame, work: Workspace, name: str = "components", max_rounds: int = 60) -> DataFrame:
+def _union_find(held_links: int):
+    """Links of a partition as trees: each node with the least node it is joined to; at most ``held_links`` links are held."""
+
+    def trees(links: list[pa.RecordBatch]) -> pa.Table:
+        table = pa.Table.from_batches(links)
+        ends = pa.chunked_array(table["a"].chunks + table["b"].chunks).combine_chunks().dictionary_encode()
+        names = ends.dictionary.to_pylist()
+        order = sorted(range(len(names)), key=names.__getitem__)
+        place = np.empty(len(names), dtype=np.int64)
+        place[order] = np.arange(len(names))
+        codes = place[ends.indices.to_numpy()]
+        parent = list(range(len(names)))
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        for a, b in zip(codes[:len(table)].tolist(), codes[len(table):].tolist()):
+            a, b = root(a), root(b)
+            if a != b:  # the smaller one becomes the root, so a root is the least of its tree
+                parent[max(a, b)] = min(a, b)
+        below = [(names[order[x]], names[order[root(x)]]) for x in range(len(names)) if parent[x] != x]
+        return pa.table({"a": pa.array([a for a, _ in below], table.schema.field("a").type),
+                         "b": pa.array([b for _, b in below], table.schema.field("b").type)})
+
+    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, held_links):
+                held.append(batch.slice(at, held_links))
+                rows += held[-1].num_rows
+                if rows >= held_links:
+                    held, kept = trees(held).to_batches(), rows
+                    rows = sum(b.num_rows for b in held)
+                    if rows * 2 > kept:  # little was joined: these trees are done
+                        yield from held
+                        held, rows = [], 0
+        if rows:
+            yield from trees(held).to_batches()
+
+    return contract
+
+
+def components(links: DataFrame, work: Workspace, name: str = "components", max_rounds: int = 60, held_links: int = 100_000) -> DataFrame:
     """Connected components: columns ``node`` and ``root``, the smallest node reachable.
 
-    ``links`` has the columns ``a`` and ``b`` of any ordered type. Alternates
-    the large-star and the small-star step: every node hands its smallest
-    neighbour to the others. Both are one grouping and one join on the hub; the
-    links of a hub go to one task, unless adaptive execution splits its join.
-    It ends when all links are stars around a root. Only nodes with a link are
-    returned.
+    ``links`` has the columns ``a`` and ``b`` of any ordered type. A union-find
+    in every partition of the links leaves trees, each node with the least one of
+    its tree; a node takes the least root of its trees as label. What joins trees
+    of different partitions are links between roots alone, a graph as large as the
+    trees are many, whose components come from star steps. So the links of a hub
+    stay where they are, in trees of their partitions. Only nodes with a link are returned.
+    """
+    sound = links.select("a", "b").where("a <> b")
+    trees = work.table(f"{name}-trees", sound.mapInArrow(_union_find(held_links), sound.schema).distinct())
+    labels = work.table(f"{name}-labels", trees.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")))
+    roots = trees.select(F.col("b").alias("r")).distinct()
+    apart = trees.join(labels, F.col("a") == F.col("node")).where("b <> label").select("b", "label")
+    below = labels.join(roots, F.col("node") == F.col("r"), "left_semi")
+    across = work.table(f"{name}-0", apart.union(below).select(
+        F.greatest("b", "label").alias("a"), F.least("b", "label").alias("b")).distinct())
+    own = roots.join(labels, F.col("r") == F.col("node"), "left_anti").select(F.col("r").alias("node"), F.col("r").alias("label"))
+    labelled = labels.union(own)
+    if across.isEmpty():
+        return labelled.select("node", F.col("label").alias("root"))
+    tops = _stars(across, work, name, max_rounds).select(F.col("a").alias("n"), F.col("b").alias("top"))
+    return labelled.join(tops, F.col("label") == F.col("n"), "left").select("node", F.coalesce("top", "label").alias("root"))
+
+
+def _stars(edges: DataFrame, work: Workspace, name: str, max_rounds: int) -> DataFrame:
+    """``a, b``: every node but the roots with the root of its component, by alternating the large-star and the small-star step.
+
+    Every node hands its smallest neighbour to the others; both steps are one
+    grouping and one join on the hub. It ends when all links are stars around a
+    root. ``edges`` are distinct, with ``a > b``, and stored as ``name-0``.
     """
-    edges = work.table(f"{name}-0", links.select("a", "b").where("a <> b").distinct())
     kept = f"{name}-0"
     for turn in range(1, max_rounds + 1):
+        if _are_stars(edges):
+            return edges
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m"))
         least = least.select("n", F.least("n", "m").alias("m"))
@@ -135,10 +206,4 @@ def components(links: DataFrame, work: Workspace, name: str = "components", max_
         edges = work.table(f"{name}-{turn}", small)
         work.drop(kept)
         kept = f"{name}-{turn}"
-        if _are_stars(edges):
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    )
+    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

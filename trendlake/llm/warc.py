@@ -13,8 +13,8 @@ reassembly holds one message at a time. Only segmented messages are shuffled.
 Defined cases: a NULL payload is empty; a NULL url leaves the header out, line
 breaks in a url are percent-encoded; pages without id sort before all others
 and come back without id; repeated rows (same id and payload) become records of
-their own, the first of them the response when the id is the largest of its
-payload; an empty table gives no files and no rows; further columns are ignored.
+their own, each with its own row's url, one of them the response when the id is
+the largest of its payload; an empty table gives no files and no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ from .shared import Workspace
 CRLF = b"\r\n"
 HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Stands for a missing url in the names of records.
+NO_URL = "0" * 32
 #: Digits of base 32, in the order of their values, as ``conv`` writes them and as RFC 4648 does.
 CONV_DIGITS, BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -61,17 +63,22 @@ def plan_records(pages: DataFrame, payload: str = "html", min_bytes: int = 0) ->
     base = pages.select(
         F.col("page_id").isNotNull().alias("has_id"), F.coalesce("page_id", F.lit(0)).cast("long").alias("pid"),
         base32_sha1(content).alias("digest"), F.octet_length(content).alias("bytes"), "url", content.alias("content"),
+        F.coalesce(F.md5(F.col("url").cast("binary")), F.lit(NO_URL)).alias("url_key"),
     )
-    best = base.groupBy("digest").agg(F.max(F.struct("has_id", "pid")).alias("best"))
-    choice = base.select("has_id", "pid", "digest").distinct().join(best, "digest")
-    rows = base.groupBy("has_id", "pid", "digest").agg(
+    keys = ["has_id", "pid", "url_key"]
+    best = base.groupBy("digest").agg(F.max(F.struct(*keys)).alias("best"))
+    choice = base.select(*keys, "digest").distinct().join(best, "digest")
+    rows = base.groupBy(*keys, "digest").agg(
         F.count("*").alias("copies"), F.min("bytes").cast("long").alias("bytes"), F.min("url").alias("url"),
         F.min("content").alias("content"),
-    ).join(choice, ["has_id", "pid", "digest"])
-    leads = F.struct("has_id", "pid") == F.col("best")
+    ).join(choice, [*keys, "digest"])
+    leads = F.struct(*keys) == F.col("best")
     alone = F.col("bytes") < min_bytes
-    name = F.when(F.col("has_id"), F.col("pid").cast("string")).otherwise("null")
-    target = F.when(F.col("best.has_id"), F.col("best.pid").cast("string")).otherwise("null")
+
+    def named(has_id: str, pid: str, url_key: str) -> Column:
+        return F.concat(F.when(F.col(has_id), F.col(pid).cast("string")).otherwise("null"), F.lit(":"), F.col(url_key))
+
+    name, target = named(*keys), named(*[f"best.{k}" for k in keys])
     copies = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
     answers = alone | (leads & (F.col("copy") == 0))
     return copies.select(
@@ -245,7 +252,7 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = False)
 
 
 def _page_of(record_id: Column) -> Column:
-    return F.regexp_extract(record_id, r"^<urn:page:(-?\d+|null):\d+>$", 1).try_cast("long")
+    return F.regexp_extract(record_id, r"^<urn:page:(-?\d+|null):[0-9a-f]{32}:\d+>$", 1).try_cast("long")
 
 
 def archive_round_trip(pages: DataFrame, min_bytes: int = 0, **sizes) -> DataFrame:
