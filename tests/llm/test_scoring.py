@@ -227,11 +227,13 @@ def test_unknown_paragraphs_stay_within_their_bound(spark):
 
 
 def test_pipeline_stages_keep_columns_and_clean_rows(spark):
-    docs = documents(spark, awkward())
+    taken = ["_found_lang", "_found_score", "_label", "_id", "_hash", "_text", "_mix_hash", "_mix_position", "_MIX_ROW", "__score"]
+    docs = documents(spark, awkward()).withColumns({name: F.lit(name) for name in taken})
     labels = f"{SF}"
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, labels)
         assert out.columns == docs.columns, name
+        assert {tuple(r) for r in out.select(*taken).distinct().collect()} == {tuple(taken)}, name
         assert stage(spark, docs.limit(0), labels).count() == 0, name
     packed = corpus_pipeline.pack_sequences(spark, docs, labels)
     assert packed.count() > 0

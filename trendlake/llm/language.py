@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small
-from .shared import crc_bucket, unit_hash
+from .shared import crc_bucket, free_names, unit_hash
 from .textscan import by_bytes
 
 UNDETERMINED = "und"
@@ -225,9 +225,10 @@ def with_language(docs: DataFrame, model: LanguageModel, prediction: str = "lang
     readable = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     if not model.languages:
         return docs.withColumns({prediction: F.lit(UNDETERMINED), score: F.lit(0.0)})
-    return docs.withColumn("__label", label("text")).withColumns({
-        prediction: F.when(readable, F.col("__label.lang")).otherwise(UNDETERMINED),
-        score: F.when(readable, F.col("__label.score")).otherwise(0.0)}).drop("__label")
+    [found] = free_names(docs, "_label")
+    return docs.withColumn(found, label("text")).withColumns({
+        prediction: F.when(readable, F.col(f"{found}.lang")).otherwise(UNDETERMINED),
+        score: F.when(readable, F.col(f"{found}.score")).otherwise(0.0)}).drop(found)
 
 
 def held_out(modulus: int, remainder: int) -> Column:

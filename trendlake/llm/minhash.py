@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import Workspace, components
+from .shared import Workspace, components, free_names
 from .textscan import by_bytes, mix64, shingle_sets
 from .vectors import spanning
 
@@ -240,10 +240,11 @@ def _across(labelled: DataFrame, percent: int) -> DataFrame:
 def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The documents, one of each group; rows that repeat an id and text count once, rows without id all stay."""
     found = near_duplicates(docs, **options).where("kept and doc_id is not null")
+    id_, hash_, text = free_names(docs, "_id", "_hash", "_text")
     chosen = found.groupBy("component_id", "group").agg(F.min(F.struct("doc_id", "text_hash")).alias("one")).select(
-        F.col("one.doc_id").alias("__id"), F.col("one.text_hash").alias("__hash"))
-    keyed = docs.where("doc_id is not null").withColumn("__text", F.xxhash64("text"))
-    one_each = keyed.join(chosen, (F.col("doc_id") == F.col("__id")) & (F.col("__text") == F.col("__hash"))).dropDuplicates(["__id", "__hash"])
+        F.col("one.doc_id").alias(id_), F.col("one.text_hash").alias(hash_))
+    keyed = docs.where("doc_id is not null").withColumn(text, F.xxhash64("text"))
+    one_each = keyed.join(chosen, (F.col("doc_id") == F.col(id_)) & (F.col(text) == F.col(hash_))).dropDuplicates([id_, hash_])
     return one_each.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 

@@ -50,6 +50,16 @@ class Workspace:
             self._fs().delete(self._hadoop(self.folder(name)), True)
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted column names, each with as many ``_`` before it as no column of ``df`` has, in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def unit_hash(*columns: Column | str) -> Column:
     """A number in [0, 1) that only depends on the columns' values."""
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 52)) / F.lit(float(1 << 52))
