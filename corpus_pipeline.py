@@ -2,6 +2,15 @@
 
 Each stage takes the documents that the one before it kept, and all but the
 last return documents with the columns they came with.
+
+Defined cases: a text that is NULL, empty or without letters has no language and
+goes in the first stage; a text of any length is read whole; rows with NULL in
+any other column stay, and rows without id are never taken for copies of each
+other; rows that repeat an id and text count once from the third stage on; of
+a group of near copies the least id stays, of equal ids the least hash of the
+text; without labelled rows no document is rejected for its language or its
+quality; an empty table stays empty through all stages; further columns are kept
+whatever their names, but for the last stage, whose rows are pieces.
 """
 
 from __future__ import annotations
@@ -14,7 +23,7 @@ from trendlake.llm.minhash import without_near_duplicates
 from trendlake.llm.mixing import mixed
 from trendlake.llm.packing import pack
 from trendlake.llm.quality import train_quality_model, with_quality
-from trendlake.llm.shared import Workspace
+from trendlake.llm.shared import Workspace, free_names
 
 #: A text of which no language reaches this share is rejected.
 LEAST_LANGUAGE_SCORE = 0.35
@@ -26,14 +35,16 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = train_language_model(docs, F.lit(True))
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    named = with_language(docs, model, "__lang", "__score")
-    return named.where((F.col("__lang") != UNDETERMINED) & (F.col("__score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    lang, score = free_names(docs, "_found_lang", "_found_score")
+    named = with_language(docs, model, lang, score)
+    return named.where((F.col(lang) != UNDETERMINED) & (F.col(score) >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model accepts; it learns from ``labels``."""
     model = train_quality_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), F.lit(True))
-    return with_quality(docs, model, "__score").where(F.col("__score") >= LEAST_QUALITY_SCORE).select(*docs.columns)
+    [score] = free_names(docs, "_found_score")
+    return with_quality(docs, model, score).where(F.col(score) >= LEAST_QUALITY_SCORE).select(*docs.columns)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
