@@ -112,3 +112,11 @@ def test_new_category_files_replace_their_region(spark, tmp_path):
     document("us", "2.json", "Movies")
     update()
     assert rows(spark.read.parquet(str(silver)), "category_id", "category_title", "region") == [(0, "Aktion", "de"), (0, "Movies", "us")]
+
+
+def test_merge_moves_rows_once(spark):
+    """Copies are found and files are laid out behind one shuffle, by ranges of region, day and video."""
+    silver = clean_statistics(bronze(spark, {}), job_name="j").localCheckpoint()
+    merged = incremental._latest(incremental._in_ranges(silver, ("region", "trending_date_parsed")))
+    text = merged._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange ") == 1 and "rangepartitioning(region" in text
