@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from conftest import bronze, rows
 from trendlake import PipelineConfig, channel_analytics
-from trendlake.operators.aggregates import channel_totals
-from trendlake.operators.channel_state import channel_parts, channel_videos, totals_from_state
+from trendlake.operators.aggregates import category_analytics, channel_totals
+from trendlake.operators.channel_state import categories_from_parts, channel_parts, channel_videos, totals_from_state
 from trendlake.plans import refresh
 from trendlake.plans.pipeline import build_gold, write_reference, write_statistics
 from trendlake.plans.refresh import compact_channel_state, refresh_gold, update_gold
@@ -164,3 +164,12 @@ def test_only_the_listed_days_are_scanned(spark, lake):
 def test_channel_table_of_nothing(spark, lake):
     nothing = spark.read.parquet(lake.silver("clean_statistics")).limit(0)
     assert rows(totals_from_state(channel_parts(nothing), channel_videos(nothing))) == [] and channel_analytics(nothing).count() == 0
+
+
+def test_state_gives_the_category_table(spark, lake):
+    stats = spark.read.parquet(lake.silver("clean_statistics"))
+    reference = spark.read.parquet(lake.silver("clean_reference_data"))
+    for names in (reference, None):
+        full = category_analytics(stats, names).drop("_aggregated_at")
+        state = categories_from_parts(channel_parts(stats), names).drop("_aggregated_at")
+        assert state.dtypes == full.dtypes and rows(state) == rows(full)
