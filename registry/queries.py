@@ -96,7 +96,7 @@ def csv_bronze_scan(spark, sf_dir):
     """Bronze written as CSV by region, two regions read back and cleaned."""
     path = work_path(spark, "csv")
     bronze = bronze_statistics(spark, sf_dir).drop("ingested").withColumn("region", fn.normal_region("region"))
-    bronze.hint("rebalance", "region").write.partitionBy("region").options(**CSV_WRITE).csv(path)
+    bronze.write.partitionBy("region").options(**CSV_WRITE).csv(path)
     return clean_statistics(
         read_statistics_csv(spark, path, TWO_REGIONS), job_name="check", recency=by_value()
     ).select(*CLEAN_COLUMNS)
@@ -488,7 +488,7 @@ def incremental_merge(spark, sf_dir):
     bronze = bronze_statistics(spark, sf_dir).drop("ingested").withColumn("region", fn.normal_region("region"))
     late = F.expr("coalesce(try_cast(comment_count AS bigint), 0) % 2 = 1")
     for delivery in (bronze.where(~late), bronze.where(late)):
-        delivery.hint("rebalance", "region").write.mode("append").partitionBy("region").options(**CSV_WRITE).csv(bronze_path)
+        delivery.write.mode("append").partitionBy("region").options(**CSV_WRITE).csv(bronze_path)
         update_statistics(
             stream_statistics_csv(spark, bronze_path), silver_path, checkpoint,
             job_name="check", recency=by_value(),
