@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import CSV_COLUMNS, bronze, rows
 from trendlake import clean_statistics
-from trendlake.operators.statistics import conform_statistics, statistics_format
+from trendlake.operators.statistics import GOLD_COLUMNS, conform_statistics, statistics_format
 from trendlake.sources.bronze import read_statistics_csv, read_trending_documents
 
 
@@ -158,3 +158,17 @@ def test_csv_files_with_quotes_and_line_breaks(spark, tmp_path):
     assert rows(df, "title", "channel_title", "tags", "views", "description", "region") == [
         ('He said "no", twice', "Kanal ü", 'a|"b"', 200, "one\ntwo, three", "us")
     ]
+
+
+def test_chosen_columns_are_those_of_all_columns(spark):
+    """Copies that tie in recency and counters: what is left out decides nothing that is given."""
+    raw = bronze(
+        spark, dict(title="a", channel_title="x", category_id="2"), dict(title="b", channel_title="y", category_id="1", tags="z"),
+        dict(title="b", channel_title="y", category_id="3", description="e"), dict(title="b", channel_title=None, category_id="4"),
+        dict(video_id="v2", tags="a"), dict(video_id="v2", tags="b", description=None), dict(video_id="v3", trending_date="x"))
+    for columns in (GOLD_COLUMNS, ("region",), ("tags", "video_id")):
+        full = clean_statistics(raw, job_name="j").select(*columns)
+        chosen = clean_statistics(raw, job_name="j", columns=columns)
+        assert chosen.dtypes == full.dtypes and rows(chosen) == rows(full)
+    shuffled = clean_statistics(raw, job_name="j", columns=GOLD_COLUMNS)._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning")[0]
+    assert not any(name in shuffled for name in ("description", "thumbnail", "tags", "publish_time"))

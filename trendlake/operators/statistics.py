@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +20,10 @@ from .dedup import latest_rows
 #: What makes a snapshot row unique.
 IDENTITY = ("video_id", "region", "trending_date_parsed")
 RECENCY = "_recency"
+#: The silver columns that the gold tables read.
+GOLD_COLUMNS = (
+    "video_id", "region", "trending_date_parsed", "channel_title", "category_id", *schemas.COUNTERS, "like_ratio", "engagement_rate",
+)
 
 # Where the API form keeps each statistics column.
 _API_FIELDS = {
@@ -74,6 +79,7 @@ def clean_statistics(
     recency: Column | str | None = None,
     processed_at: Column | None = None,
     keep_recency: bool = True,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Silver statistics: typed, filled, de-duplicated, with derived rates.
 
@@ -81,12 +87,14 @@ def clean_statistics(
     the bronze ingestion time, or that of the file. Copies that tie there are ordered by their
     counters, then by all other columns, so the survivor never depends on how
     the input is partitioned. ``keep_recency`` retains the ordering column, which
-    later merges need to tell an older late row from a newer one.
+    later merges need to tell an older late row from a newer one. With ``columns``
+    only these are given, and the shuffle carries no others than they need.
     """
     rows = prepare_statistics(bronze, snapshot_date, recency)
-    return finish_statistics(
-        latest_statistics(rows), job_name=job_name, processed_at=processed_at, keep_recency=keep_recency
+    silver = finish_statistics(
+        latest_statistics(rows, columns), job_name=job_name, processed_at=processed_at, keep_recency=keep_recency
     )
+    return silver if columns is None else silver.select(*columns)
 
 
 def prepare_statistics(
@@ -101,9 +109,15 @@ def prepare_statistics(
     })
 
 
-def latest_statistics(rows: DataFrame) -> DataFrame:
-    """One row per video, region and day."""
+def latest_statistics(rows: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per video, region and day.
+
+    Where only some ``columns`` of it are wanted, ties are ordered no further than
+    the last of these: copies that still tie there are equal in all of them.
+    """
     others = [c for c in schemas.STATISTICS if c not in IDENTITY and c not in schemas.COUNTERS]
+    if columns is not None:
+        others = others[:max((others.index(c) + 1 for c in columns if c in others), default=0)]
     order = total_order([RECENCY, *schemas.COUNTERS, *others])
     return latest_rows(rows, IDENTITY, order)
 
