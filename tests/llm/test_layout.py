@@ -97,6 +97,16 @@ def test_equal_rows_are_taken_one_by_one(spark, share):
     assert mixed(documents(spark, rows), block_rows=50).count() == out.agg(F.sum("passes")).first()[0]
 
 
+def test_mix_places_every_pass_in_training_order(spark):
+    rng = random.Random(9)
+    rows = awkward() + [(None, "x y z", "en", "a")] * 40 + [(500 + i, words(rng, rng.randint(0, 60)), "en", rng.choice("abc")) for i in range(300)]
+    out = mix(documents(spark, rows), block_rows=13).collect()
+    assert len(out) == len(rows) and all(len(r["places"]) == len(r["positions"]) == r["passes"] for r in out)
+    stream = sorted((place, position) for r in out for place, position in zip(r["places"], r["positions"]))
+    assert [place for place, _ in stream] == list(range(sum(r["passes"] for r in out)))
+    assert [position for _, position in stream] == sorted(position for _, position in stream)
+
+
 def test_training_time_inverts_the_schedule(spark):
     df = spark.range(0, 101).select((F.col("id") / 100).alias("share"))
     for i, knots in enumerate(SCHEDULES):

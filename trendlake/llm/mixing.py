@@ -5,7 +5,9 @@ gets more than ``max_passes`` times its size. ``mix`` decides which documents
 fill each target and where in training they come: a source's weight changes
 over training time by a piecewise linear schedule; the integral of the schedule
 is the source's cumulative demand, and a document's training position is the
-time at which the demand reaches the middle of the document.
+time at which the demand reaches the middle of the document. The positions of all
+sources are sorted by ranges and numbered, which gives every pass its place in
+the training order.
 
 Documents of a source follow each other by hash. Whole passes take all of
 them; the last, partial pass takes documents from the start while they fit, of
@@ -108,7 +110,32 @@ def training_time(share: Column, place: Column, schedules: Sequence[Sequence[tup
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, schedules=SCHEDULES, budget: float = 1.5, max_passes: int = 2,
         block_rows: int = 1_000) -> DataFrame:
-    """One row per document: ``passes`` through it, ``taken`` words, and ``positions``, one per pass."""
+    """One row per document: ``passes`` through it, ``taken`` words, and ``positions`` and ``places``, one per pass.
+
+    Places number the passes from 0 in training order: by position, then by id,
+    hash and copy. A range of positions is sorted by one task and shifted by what
+    the ranges before it hold.
+    """
+    work = Workspace(docs.sparkSession, "places")
+    chosen = choose(docs, weights, schedules, budget, max_passes, block_rows)
+    own = [c for c in chosen.columns if c != "positions"]
+    each = chosen.select(*own, F.posexplode_outer("positions").alias("_pass", "_position"))
+    order = [F.asc_nulls_last("_position"), F.asc("doc_id"), F.asc("row_hash"), F.asc("copy"), F.asc("_pass")]
+    ranged = work.table("ranged", each.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    # One row for each task of the shuffle.
+    sizes = ranged.groupBy(F.col("_range").alias("_r")).agg(F.count("_position").alias("_n"))
+    earlier = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_r", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
+    number = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    placed = ranged.withColumn("_number", number).join(F.broadcast(sizes), F.col("_range") == F.col("_r"))
+    here = F.struct("_pass", "_position", (F.col("_number") + F.col("_shift")).cast("long").alias("_place"))
+    passes = placed.groupBy(*own).agg(F.array_sort(F.collect_list(F.when(F.col("_position").isNotNull(), here))).alias("_passes"))
+    return passes.select(*own, F.col("_passes._position").alias("positions"), F.col("_passes._place").alias("places"))
+
+
+def choose(docs: DataFrame, weights: Sequence[float] = WEIGHTS, schedules=SCHEDULES, budget: float = 1.5, max_passes: int = 2,
+           block_rows: int = 1_000) -> DataFrame:
+    """``mix`` up to the ``positions``, without the places."""
     work = Workspace(docs.sparkSession, "mixing")
     order = ["doc_id", "row_hash", "size", "copy"]
     units = work.table("units", units_of(docs))
@@ -164,9 +191,10 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """The documents in training order: a document stands once for each pass, with its columns as they were.
 
     Of copies it is all one which stands where, so one row of them is joined with all their positions.
+    The documents themselves are sorted by ranges of the positions.
     """
     hash_, copies, position, own = free_names(docs, "_mix_hash", "_mix_copies", "_mix_position", "_mix_row")
-    chosen = Workspace(docs.sparkSession, "mixing").table("chosen", mix(docs, **options).where("passes > 0").select(
+    chosen = Workspace(docs.sparkSession, "mixing").table("chosen", choose(docs, **options).where("passes > 0").select(
         F.col("row_hash").alias(hash_), F.col("copies").alias(copies), F.explode("positions").alias(position)))
     keyed = docs.withColumn(own, row_hash(docs))
     same = F.col(own) == F.col(hash_)
@@ -178,4 +206,5 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(
+        "doc_id", "size", "source_size", "target", "taken", "positions", "places")
