@@ -9,6 +9,7 @@ from trendlake import (
     category_analytics, category_momentum, channel_analytics, channel_partners, publish_timing,
     region_targeting, trending_analytics,
 )
+from trendlake.operators.aggregates import channel_totals
 from trendlake.operators.ranking import in_pieces, number_rows
 
 D1, D2 = date(2024, 1, 1), date(2024, 1, 2)
@@ -65,6 +66,22 @@ def test_channel(stats, reference):
     }
 
 
+def test_channel_rows_are_shuffled_once(stats, reference):
+    plan = channel_totals(stats, reference)._jdf.queryExecution().executedPlan().toString()
+    # Whatever doubles the rows stands above the first shuffle, the lowest one of the tree.
+    below = plan[plan.index("Generate"):plan.index("InMemoryTableScan")]
+    assert "Exchange hashpartitioning(channel_title" in below and "HashAggregate" not in below
+
+
+def test_channel_counts_each_video_once(spark, reference):
+    one = ("v1", "us", D1, "a", 1, 5, 1, 0, 0, 1.0, 2.0)
+    more = [("v1", "us", D2, "a", 2, 7, 1, 0, 0, 1.0, 2.0), (None, "us", D1, "a", 1, 3, 1, 0, 0, 1.0, 2.0), ("v2", "us", None, "a", None, None, 1, 0, 0, 1.0, None)]
+    empty = ("v3", "us", D1, None, 2, 1, 1, 0, 0, 1.0, 2.0)
+    stats = spark.createDataFrame([one, one, *more, more[1], empty, (None, *empty[1:])], SCHEMA)
+    assert rows(channel_totals(stats, reference), "channel_title", "total_videos", "total_views", "total_likes", "avg_views_per_video", "times_trending", "categories") == [
+        ("a", 2, 23, 6, 23 / 5, 5, ["Autos", "Film", "Unknown"]), (None, 1, 2, 2, 1.0, 2, ["Autos"])]
+
+
 def test_category(stats, reference):
     df = category_analytics(stats, reference)
     assert df.columns == [
