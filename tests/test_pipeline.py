@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 from conftest import bronze, rows
 from trendlake import PipelineConfig, run_pipeline
 from trendlake.operators.quality import QualityGateError, QualityRules
+from trendlake.operators.statistics import latest_statistics, prepare_statistics
+from trendlake.plans.pipeline import finished_in_files
 
 DOCUMENTS = """
     SELECT 'k' AS kind, array(named_struct('kind', 'c', 'id', '10', 'snippet', named_struct('title', 'Film', 'assignable', true))) AS items, 'US' AS region
@@ -39,6 +41,15 @@ def test_whole_run_is_repeatable(spark, tmp_path):
     assert spark.sql("SELECT channel_title FROM run_gold.channel_analytics WHERE region = 'us' ORDER BY times_trending DESC LIMIT 10").count() == 3
 
 
+@pytest.mark.parametrize("partitions", [("region", "trending_date_parsed"), ("region", "_job_name")])
+def test_derived_columns_are_not_shuffled_for_the_files(spark, tmp_path, partitions):
+    settings = config(tmp_path, statistics_partitions=partitions)
+    df = finished_in_files(latest_statistics(prepare_statistics(videos(spark, 5))), settings)
+    above, below = df._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")
+    assert ("AS like_ratio" in above) == ("_job_name" not in partitions) and ("AS like_ratio" in below) == ("_job_name" in partitions)
+    assert rows(df, "video_id") == [(f"v{i}",) for i in range(5)]
+
+
 def test_failed_gate_stops_before_gold(spark, tmp_path):
     with pytest.raises(QualityGateError) as error:
         run_pipeline(spark, videos(spark, 12, views="-1"), spark.sql(DOCUMENTS), config(tmp_path))
