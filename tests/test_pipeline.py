@@ -1,11 +1,13 @@
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import bronze, rows
 from trendlake import PipelineConfig, run_pipeline
 from trendlake.operators.quality import QualityGateError, QualityRules
+from trendlake.operators.reference import reference_items
 from trendlake.operators.statistics import latest_statistics, prepare_statistics
-from trendlake.plans.pipeline import finished_in_files
+from trendlake.plans.pipeline import finished_in_files, write_statistics
 
 DOCUMENTS = """
     SELECT 'k' AS kind, array(named_struct('kind', 'c', 'id', '10', 'snippet', named_struct('title', 'Film', 'assignable', true))) AS items, 'US' AS region
@@ -77,3 +79,17 @@ def test_one_region_is_rebuilt_alone(spark, tmp_path):
     run_pipeline(spark, changed, None, settings, regions=["DE"])
     gold = spark.read.parquet(settings.gold("trending_analytics"))
     assert rows(gold, "region", "total_views") == [("de", 12), ("us", 3100)]
+
+
+def test_unique_texts_of_silver_take_no_dictionary(spark, tmp_path):
+    write_statistics(videos(spark, 12), config(tmp_path))
+    [file, *_] = (tmp_path / "silver" / "clean_statistics").rglob("*.parquet")
+    group = pq.read_metadata(file).row_group(0)
+    columns = {c.path_in_schema: c.encodings for c in map(group.column, range(group.num_columns))}
+    dictionary = {name for name, kinds in columns.items() if any("DICTIONARY" in kind for kind in kinds)}
+    assert not dictionary & {"video_id", "title", "thumbnail_link", "description"} and {"channel_title", "tags"} <= dictionary
+
+
+def test_search_for_categories_shuffles_nothing(spark):
+    items = reference_items(spark.sql(DOCUMENTS))
+    assert "Exchange" not in items._jdf.queryExecution().executedPlan().toString() and items.count() == 1

@@ -7,8 +7,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import CSV_COLUMNS, bronze, rows
-from trendlake import clean_statistics
-from trendlake.operators.statistics import GOLD_COLUMNS, conform_statistics, statistics_format
+from trendlake import clean_statistics, schemas
+from trendlake.operators.statistics import GOLD_COLUMNS, conform_statistics, finish_statistics, statistics_format
 from trendlake.sources.bronze import read_statistics_csv, read_trending_documents
 
 
@@ -172,3 +172,18 @@ def test_chosen_columns_are_those_of_all_columns(spark):
         assert chosen.dtypes == full.dtypes and rows(chosen) == rows(full)
     shuffled = clean_statistics(raw, job_name="j", columns=GOLD_COLUMNS)._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning")[0]
     assert not any(name in shuffled for name in ("description", "thumbnail", "tags", "publish_time"))
+
+
+def test_rates_round_as_round_does(spark):
+    """Also in the middle between two units, below 0 and for counters that don't fit a bigint together."""
+    df = spark.range(4_000).selectExpr(
+        "cast(if(id % 50 = 0, 9223372036854775800, id * 7 % 4001 - 900) as bigint) likes", "cast(if(id % 75 = 0, 9223372036854775800, id % 9) as bigint) dislikes",
+        "cast(if(id % 4 = 0, 9223372036854775800 - id, -id) as bigint) comment_count", "cast(elt(1 + id % 5, 20000, 3, 800000, 1, 16 + id) as bigint) views")
+    rest = [F.lit(None).cast(kind).alias(name) for name, kind in schemas.STATISTICS.items() if name not in df.columns]
+    wide = df.select("*", *rest, F.lit(None).cast("date").alias("trending_date_parsed"))
+    exact = "cast(likes as decimal(20,0)) + cast(dislikes as decimal(20,0)) + cast(comment_count as decimal(20,0))"
+    expected = ["round(likes / views * 100, 4) = like_ratio", f"round(cast({exact} as double) / views * 100, 4) = engagement_rate"]
+    found = finish_statistics(wide, job_name="j", keep_recency=False)
+    assert found.where(" and ".join(f"({e})" for e in expected)).count() == 4_000
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "rint" in text.lower() and "2305843009213693952" in text

@@ -29,6 +29,17 @@ def clean_reference(
     the last one. ``mode="latest_file"`` lets the newest document of a region
     replace the region as a whole; ``"merge"`` combines all documents.
     """
+    rows = reference_items(bronze, mode, recency)
+    order = total_order(["_recency", "_source_file", "_position", "category_title", "assignable", "kind"])
+    return latest_rows(rows, ("category_id", "region"), order).select(
+        "category_id", "category_title", "assignable", "kind", "region",
+        (F.current_timestamp() if processed_at is None else processed_at).alias("_processed_at"),
+        F.lit(job_name).alias("_job_name"),
+    )
+
+
+def reference_items(bronze: DataFrame, mode: str = "merge", recency: Column | str | None = None) -> DataFrame:
+    """The category items that ``clean_reference`` takes into account, copies included."""
     if mode not in ("merge", "latest_file"):
         raise ValueError(f"unknown mode {mode!r}")
     documents = _located(bronze, recency)
@@ -37,19 +48,13 @@ def clean_reference(
     rows = documents.select(
         "_recency", "_source_file", "region", F.posexplode("items").alias("_position", "_item")
     )
-    rows = rows.select(
+    return rows.select(
         F.col("_item.id").try_cast("bigint").alias("category_id"),
         F.trim(F.col("_item.snippet.title").cast("string")).alias("category_title"),
         F.col("_item.snippet.assignable").try_cast("boolean").alias("assignable"),
         F.col("_item.kind").cast("string").alias("kind"),
         "region", "_recency", "_source_file", "_position",
     ).where(F.col("category_id").isNotNull())
-    order = total_order(["_recency", "_source_file", "_position", "category_title", "assignable", "kind"])
-    return latest_rows(rows, ("category_id", "region"), order).select(
-        "category_id", "category_title", "assignable", "kind", "region",
-        (F.current_timestamp() if processed_at is None else processed_at).alias("_processed_at"),
-        F.lit(job_name).alias("_job_name"),
-    )
 
 
 def normalise_reference(bronze: DataFrame, ingested_at: Column | None = None) -> DataFrame:

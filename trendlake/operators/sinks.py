@@ -51,6 +51,7 @@ def write_partitioned(
     table: str | None = None,
     rebalance: bool = True,
     metrics: dict[str, Column] | None = None,
+    unlike: Sequence[str] = (),
 ) -> dict[str, int]:
     """Write ``df`` and return ``rows`` and any further ``metrics`` of the write.
 
@@ -66,7 +67,8 @@ def write_partitioned(
 
     ``rebalance`` lets adaptive execution size the files: small partitions are
     joined and a partition that holds much of the data is split. Turn it off
-    where one more shuffle costs more than many files do.
+    where one more shuffle costs more than many files do. ``unlike`` names columns
+    whose values hardly repeat within a partition, so that no dictionary is tried for them.
     """
     overwrite = {"overwrite_partitions": ("overwrite", "dynamic"), "overwrite": ("overwrite", "static"), "append": ("append", "static")}
     if mode not in overwrite:
@@ -82,6 +84,7 @@ def write_partitioned(
         observed(df, observation, partition_by, metrics or {}, rebalance, table is not None).write.mode(save_mode)
         .option("partitionOverwriteMode", partition_mode)
         .option("compression", "snappy")
+        .options(**{f"parquet.enable.dictionary#{name}": "false" for name in unlike})
         .partitionBy(*partition_by)
         .parquet(path)
     )

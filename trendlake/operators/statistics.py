@@ -40,6 +40,8 @@ _API_FIELDS = {
     "thumbnail_link": "snippet.thumbnails.default.url",
     "description": "snippet.description",
 }
+#: Three numbers up to this fit a bigint together.
+_THIRD = 2 ** 61
 # The API never reports these flags.
 _API_FALSE = ("comments_disabled", "ratings_disabled", "video_error_or_removed")
 
@@ -126,8 +128,12 @@ def finish_statistics(
     rows: DataFrame, *, job_name: str, processed_at: Column | None = None, keep_recency: bool = True
 ) -> DataFrame:
     """Derived rates and audit columns, in silver column order."""
-    # Three counters near 2^63 don't fit a bigint together.
-    reactions = sum((F.col(name).cast("decimal(20,0)") for name in ("dislikes", "comment_count")), F.col("likes").cast("decimal(20,0)")).cast("double")
+    # Three counters near 2^63 don't fit a bigint together; decimals cost more, so only these take them.
+    parts = ("likes", "dislikes", "comment_count")
+    fits = F.greatest(*parts).between(-_THIRD, _THIRD) & F.least(*parts).between(-_THIRD, _THIRD)
+    likes, dislikes, comments = map(F.col, parts)
+    exact = sum((F.col(name).cast("decimal(20,0)") for name in parts[1:]), likes.cast("decimal(20,0)"))
+    reactions = F.when(fits, (likes + dislikes + comments).cast("double")).otherwise(exact.cast("double"))
     return rows.select(
         *schemas.STATISTICS,
         "trending_date_parsed",
@@ -140,9 +146,17 @@ def finish_statistics(
 
 
 def _rate(part: Column) -> Column:
-    """Percent of views to 4 places; 0 for rows without views."""
+    """Percent of views to 4 places; 0 for rows without views.
+
+    ``round`` takes a double to decimal text and back. A small share that isn't
+    near the middle of two units is the nearest whole number of them; others are left to ``round``.
+    """
     views = F.col("views")
-    return F.when(views > 0, share_percent(part, views, 4)).otherwise(F.lit(0.0))
+    units = F.try_divide(part, views) * F.lit(100) * F.lit(10_000.0)
+    whole = F.rint(units)
+    clear = (F.abs(units) < 1e10) & (F.abs(F.abs(units - whole) - 0.5) > 1e-3)
+    share = F.when(clear, whole.cast("bigint") / F.lit(10_000)).otherwise(share_percent(part, views, 4))
+    return F.when(views > 0, share).otherwise(F.lit(0.0))
 
 
 def _csv_columns(df: DataFrame) -> dict[str, Column]:

@@ -12,7 +12,7 @@ from ..functions import region_filter
 from ..schemas import SILVER_PARTITIONS
 from ..operators import quality
 from ..operators.aggregates import category_analytics, channel_totals, rank_channels, stamped, trending_analytics
-from ..operators.reference import EmptyReferenceError, clean_reference
+from ..operators.reference import EmptyReferenceError, clean_reference, reference_items
 from ..operators.sinks import reference_metrics, statistics_metrics, write_partitioned
 from ..operators.versions import publish
 from ..operators.statistics import finish_statistics, latest_statistics, prepare_statistics
@@ -107,6 +107,8 @@ def write_statistics(
         table=config.table(config.silver_database, config.statistics_table),
         rebalance=False,
         metrics=statistics_metrics(),
+        # One row per video, region and day; its texts are as good as unique there.
+        unlike=("video_id", "title", "thumbnail_link", "description"),
     )
     return {**before.get, **counts}
 
@@ -124,7 +126,8 @@ def finished_in_files(rows: DataFrame, config: PipelineConfig) -> DataFrame:
 def write_reference(bronze: DataFrame, config: PipelineConfig) -> dict[str, int]:
     """Clean and write; raises ``EmptyReferenceError`` when the documents hold no category."""
     categories = clean_reference(bronze, job_name=config.reference_job, mode=config.reference_mode)
-    if categories.isEmpty():
+    # Copies don't matter here, so the first item found answers without a shuffle.
+    if reference_items(bronze, config.reference_mode).isEmpty():
         raise EmptyReferenceError("no category items found")
     return write_partitioned(
         categories,
