@@ -1,4 +1,6 @@
+import re
 from datetime import date
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import Window
@@ -9,7 +11,8 @@ from trendlake import (
     category_analytics, category_momentum, channel_analytics, channel_partners, publish_timing,
     region_targeting, trending_analytics,
 )
-from trendlake.operators.aggregates import channel_totals
+from trendlake.functions import rate_mean, rate_mean_of_sums, rate_parts, rate_sums, whole_sum_of, whole_sums
+from trendlake.operators.aggregates import categories_of_parts, channel_totals, daily_parts, days_of_parts
 from trendlake.operators.ranking import in_pieces, number_rows
 
 D1, D2 = date(2024, 1, 1), date(2024, 1, 2)
@@ -193,3 +196,48 @@ def test_report_sql_runs_on_gold_views(spark, gold):
                ROUND(AVG(avg_engagement_rate) * LN(CAST(SUM(total_views) AS DOUBLE) + 1), 4) AS engagement_quality_score
         FROM trending_analytics GROUP BY region""")
     assert rows(sql) == rows(region_targeting(gold[0]))
+
+
+@pytest.fixture(scope="module")
+def odd_stats(spark, stats):
+    """Rates and counters of every size, copies of channels over categories, and NULLs in every column."""
+    big = 9_223_372_036_854_775_800
+    more = [
+        ("w1", "us", D1, "a", 2, big, big, 0, 3, 0.0001, 2.7670116110564327e+20), ("w2", "us", D1, "a", 2, big, big, 0, 3, 99999.9999, 123456.7891),
+        ("w3", "us", D1, None, 9, -7, 0, 5, 0, -0.5, -250000.25), ("w4", "us", None, "b", None, 0, 0, 0, 0, 0.00005, 33.33335),
+        (None, "de", D2, "c", 1, None, None, None, None, None, None),
+    ]
+    return stats.unionByName(spark.createDataFrame(more, SCHEMA))
+
+
+def test_gold_of_parts_equals_gold_of_rows(odd_stats, reference):
+    parts, named = daily_parts(odd_stats, reference), odd_stats.withColumn("category_name", F.concat(F.lit("n"), F.col("likes") % 2))
+    for found, expected in (
+        (days_of_parts(parts), trending_analytics(odd_stats)), (categories_of_parts(parts, reference), category_analytics(odd_stats, reference)),
+        (categories_of_parts(daily_parts(named)), category_analytics(named)), (days_of_parts(daily_parts(named)), trending_analytics(named)),
+        (categories_of_parts(daily_parts(named, reference), reference), category_analytics(named, reference)),
+    ):
+        assert found.columns == expected.columns
+        assert rows(found.drop("_aggregated_at")) == rows(expected.drop("_aggregated_at"))
+
+
+def test_distinct_channels_are_shuffled_alone(odd_stats):
+    """The shuffles of distinct channels carry no counters, and those of the counters no channel."""
+    plan = daily_parts(odd_stats)._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "channel_title" in line]
+    assert len(shuffles) == 2 and "Expand" not in plan
+    assert not any(name in line for line in shuffles for name in ("views", "likes", "digits"))
+
+
+def test_rates_are_summed_exactly_without_a_sum_of_decimals(spark, odd_stats):
+    for df in (trending_analytics(odd_stats), channel_totals(odd_stats), category_analytics(odd_stats), daily_parts(odd_stats)):
+        assert not re.search(r"sum\(cast\(+(cast\()?\w+#\d+L? as decimal", df._jdf.queryExecution().optimizedPlan().toString())
+    values = [0.0001, -0.0001, 99.9999, 99999.9999, 100000.0001, 2.7670116110564327e+20, -33.3333, 0.00005, 0.00015, 1e-9, None]
+    df = spark.createDataFrame([(v,) for v in values * 50], "rate double")
+    units = sum(int(Decimal(repr(v)).quantize(Decimal("0.0001"), ROUND_HALF_UP) * 10_000) for v in values if v is not None) * 50
+    assert tuple(df.agg(*rate_parts("rate")).first()) == (units, 500) and df.agg(*rate_parts("rate")).dtypes[0][1] == "decimal(38,0)"
+    assert df.agg(rate_mean("rate")).first()[0] == float(units) / (500 * 10_000)
+    assert df.agg(*rate_sums("rate")).agg(rate_mean_of_sums("rate")).first()[0] == float(units) / (500 * 10_000)
+    whole = spark.createDataFrame([(2 ** 63 - 1,), (-2 ** 63,), (10 ** 14,), (-1,), (None,)], "n bigint")
+    assert whole.agg(*whole_sums("n")).agg(whole_sum_of("n")).first()[0] == 10 ** 14 - 2
+    assert whole.unionByName(whole.where("n > 0")).agg(*whole_sums("n")).agg(whole_sum_of("n")).first()[0] is None

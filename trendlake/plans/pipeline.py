@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import region_filter
 from ..schemas import SILVER_PARTITIONS
 from ..operators import quality
-from ..operators.aggregates import category_analytics, channel_totals, rank_channels, stamped, trending_analytics
+from ..operators.aggregates import categories_of_parts, channel_totals, daily_parts, days_of_parts, rank_channels, stamped
 from ..operators.reference import EmptyReferenceError, clean_reference, reference_items
 from ..operators.sinks import reference_metrics, statistics_metrics, write_partitioned
 from ..operators.versions import publish
@@ -151,7 +151,8 @@ def build_gold(
     ``plans.refresh`` brings gold up to date from changed days alone. Without
     ``regions`` the tables are replaced, so a region that silver lost is gone
     from gold too. Silver is not cached: each table reads only the few narrow
-    columns it needs. The channel totals, which ranking reads more than once, are
+    columns it needs. The channel totals, which ranking reads more than once, and
+    the partial figures by category and day, which two tables are built from, are
     stored meanwhile in the shared folder.
     """
     stats = region_filter(read_table(spark, config.silver(config.statistics_table)), regions)
@@ -164,12 +165,15 @@ def build_gold(
             return publish(df, config.gold(name), table, mode=mode)
         return write_partitioned(df, config.gold(name), mode=mode, table=table)
 
-    written = {"trending_analytics": write("trending_analytics", trending_analytics(stats))}
-    totals = work_path(spark, "channels")
+    paths = [work_path(spark, name) for name in ("parts", "channels")]
     try:
-        channel_totals(stats, reference).write.parquet(totals)
-        written["channel_analytics"] = write("channel_analytics", stamped(rank_channels(spark.read.parquet(totals))))
+        for df, path in zip((daily_parts(stats, reference), channel_totals(stats, reference)), paths):
+            df.write.parquet(path)
+        parts, totals = (spark.read.parquet(path) for path in paths)
+        written = {"trending_analytics": write("trending_analytics", days_of_parts(parts))}
+        written["channel_analytics"] = write("channel_analytics", stamped(rank_channels(totals)))
+        written["category_analytics"] = write("category_analytics", categories_of_parts(parts, reference))
     finally:
-        delete_path(spark, totals)
-    written["category_analytics"] = write("category_analytics", category_analytics(stats, reference))
+        for path in paths:
+            delete_path(spark, path)
     return written
