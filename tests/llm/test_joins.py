@@ -2,8 +2,10 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,6 +126,47 @@ def test_text_scan_parts_agree(monkeypatch):
         assert len(a) == len(shingles(text, 3)) and (a == b).all()
 
 
+def test_text_scan_holds_little():
+    """A task's memory for its scan is that of a lot of texts, not that of a batch."""
+    texts = [words(random.Random(i), 2_500) for i in range(20)] * 30
+    column = pa.array([None, *texts, ""])
+    tracemalloc.start()
+    try:
+        counts = []
+        for part, some in textscan.lots(column):
+            sets = list(textscan.shingle_sets(some, 3))
+            super_minhash(sets, 160)
+            counts += map(len, sets)
+        _, peak = tracemalloc.get_traced_memory()
+        tracemalloc.reset_peak()
+        textscan.word_hashes([" ".join(texts[:200])])
+        _, of_one = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert counts == [len(shingles(t, 3)) for t in [None, *texts[:20]]] + counts[21:-1] + [0] and len(counts) == len(column)
+    assert peak < 40 << 20 and of_one < 40 << 20
+
+
+def test_whole_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    name, seen, table = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, Workspace.table
+    before = spark.conf.get(name, None)
+
+    def rows_at_once(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    counted = spark.range(5_000, numPartitions=1).mapInArrow(rows_at_once, "n long")
+    sizes = [r["n"] for r in Workspace(spark, "t").table("few", counted, 700).collect()]
+    assert sum(sizes) == 5_000 and max(sizes) == 700
+    assert spark.conf.get(name, None) == before
+
+    monkeypatch.setattr(Workspace, "table", lambda self, n, df, batch_rows=None: seen.update({n: batch_rows}) or table(self, n, df, batch_rows))
+    near_duplicates(documents(spark, awkward()), rounds=0, crowd=1).count()
+    scans = [n for n in seen if n == "signed" or n.endswith("-sets")]
+    assert {"signed", "verify-across-sets", "crowds-sets"} <= set(scans)
+    assert all(seen[n] and seen[n] <= 1_000 for n in scans)
+
+
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, cell string, weight long")
 

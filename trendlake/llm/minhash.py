@@ -33,10 +33,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import Workspace, components, free_names
-from .textscan import by_bytes, mix64, shingle_sets
+from .textscan import lots, mix64, shingle_sets
 from .vectors import spanning
 
 BANDS, ROWS = 32, 5
+#: Rows with whole texts that a task hands to Python at once; both sides hold them.
+TEXT_ROWS = 1_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -104,9 +106,8 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for part in by_bytes(texts):
-                sets = list(shingle_sets(texts[part], words))
+            for part, texts in lots(batch.column("text")):
+                sets = list(shingle_sets(texts, words))
                 keys = band_keys(super_minhash(sets, bands * rows), bands, rows)
                 filled = np.array([len(s) > 0 for s in sets])
                 offsets = np.concatenate(([0], np.cumsum(filled * bands))).astype(np.int32)
@@ -125,9 +126,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for part in by_bytes(texts):
-                sets = list(shingle_sets(texts[part], words))
+            for part, texts in lots(batch.column("text")):
+                sets = list(shingle_sets(texts, words))
                 offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([_class_key(s) for s in sets], pa.binary()),
@@ -149,7 +149,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int,
     """The pairs of classes that reach the threshold on their full sets."""
     ends = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
     wanted = work.table(f"{name}-wanted", classes.select("class", "doc_id").join(ends, "class"))
-    sets = work.table(f"{name}-sets", _sets(docs, wanted, words))
+    sets = work.table(f"{name}-sets", _sets(docs, wanted, words), TEXT_ROWS)
     left = sets.select(F.col("class").alias("a"), F.col("elements").alias("ea"))
     right = sets.select(F.col("class").alias("b"), F.col("elements").alias("eb"))
     shared = F.size(F.array_intersect("ea", "eb"))
@@ -164,7 +164,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: i
                     crowd: int = 48) -> DataFrame:
     """``doc_id, text_hash, group, n_shingles, component_id, kept`` for every row of ``docs``; ``group`` is NULL without shingles."""
     work = Workspace(docs.sparkSession, "minhash")
-    signed = work.table("signed", signatures(docs, words, bands, rows))
+    signed = work.table("signed", signatures(docs, words, bands, rows), TEXT_ROWS)
     classes = signed.where("class is not null and doc_id is not null").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands"))
     classes = work.table("classes", classes)
@@ -291,7 +291,7 @@ def _crowds(docs: DataFrame, labelled: DataFrame, sizes: DataFrame, names: DataF
     rows = labelled.select("key", "class").join(sizes.select("key", blocks.alias("blocks")), "key")
     rows = work.table("crowds", rows.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")))
     wanted = work.table("crowds-wanted", names.join(rows.select("class").distinct(), "class"))
-    sets = work.table("crowds-sets", _sets(docs, wanted, words))
+    sets = work.table("crowds-sets", _sets(docs, wanted, words), TEXT_ROWS)
     met = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("block", "other"), F.greatest("block", "other")
     met = met.select("key", low.alias("i"), high.alias("j"), (F.col("block") == low).alias("first"), (F.col("block") == high).alias("second"), "class")

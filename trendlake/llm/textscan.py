@@ -11,8 +11,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 19
+LOT_BYTES = 2 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -122,14 +125,23 @@ def shingle_sets(texts: Iterable[str | None], words: int) -> Iterator[np.ndarray
         at += n
 
 
-def by_bytes(texts: list, limit: int = 8 << 20) -> Iterator[slice]:
-    """Slices of a list of texts with about ``limit`` characters each, one text at least."""
+def _slices(sizes: list[int], limit: int) -> Iterator[slice]:
     at, held = 0, 0
-    for i, text in enumerate(texts):
-        size = len(text) if text else 0
+    for i, size in enumerate(sizes):
         if held and held + size > limit:
             yield slice(at, i)
             at, held = i, 0
         held += size + 1
-    if at < len(texts):
-        yield slice(at, len(texts))
+    if at < len(sizes):
+        yield slice(at, len(sizes))
+
+
+def by_bytes(texts: list, limit: int = LOT_BYTES) -> Iterator[slice]:
+    """Slices of a list of texts with about ``limit`` characters each, one text at least."""
+    return _slices([len(t) if t else 0 for t in texts], limit)
+
+
+def lots(column: pa.Array, limit: int = LOT_BYTES) -> Iterator[tuple[slice, list[str | None]]]:
+    """Slices of an Arrow column of texts with about ``limit`` bytes each, and their texts; only one slice's texts are Python's at a time."""
+    for part in _slices(pc.fill_null(pc.binary_length(column), 0).to_pylist(), limit):
+        yield part, column[part].to_pylist()
