@@ -208,6 +208,26 @@ def test_embedding_join(spark, sizes):
     assert sorted(map(tuple, got.collect()), key=repr) == brute_vectors(rows, 0.9)
 
 
+def test_embedding_join_writes_no_vector_for_those_it_meets(spark, monkeypatch):
+    """Vectors without structure meet all others, in several lots; tables hold each of them once, and no shuffle outlives its table."""
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.standard_normal(16)], 0, "c", 1) for i in range(400)]
+    rows += [(1000 + i, [x + 0.01 * float(rng.standard_normal()) for x in rows[i][1]], 0, "c", 1) for i in range(20)]
+    seen, table = {}, Workspace.table
+
+    def counted(self, name, df, batch_rows=None):
+        out = table(self, name, df, batch_rows)
+        seen[name] = (out.count(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled"))
+        return out
+
+    monkeypatch.setattr(Workspace, "table", counted)
+    got = near_vectors(vectors(spark, rows), cell_rows=20, block_rows=16, lot_bytes=16 * 8 * 100)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_vectors(rows, 0.9)
+    assert len([name for name in seen if "-lot" in name]) == 5
+    assert max(n for n, _ in seen.values()) == len(rows) and sum(n for n, _ in seen.values()) < 5 * len(rows)
+    assert {freed for _, freed in seen.values()} == {"false"}
+
+
 def test_embedding_join_empty_table(spark):
     assert near_vectors(vectors(spark, [])).count() == 0
 

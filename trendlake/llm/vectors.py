@@ -35,16 +35,17 @@ def normalized(matrix: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
-def packed(matrix: np.ndarray) -> list[bytes]:
-    return [row.tobytes() for row in np.ascontiguousarray(matrix, dtype=np.float64)]
+def packed(matrix: np.ndarray, kind: str = "float64") -> list[bytes]:
+    return [row.tobytes() for row in np.ascontiguousarray(matrix, dtype=kind)]
 
 
-def unpacked(column: pa.Array) -> np.ndarray:
-    """A matrix from binary rows of one length."""
+def unpacked(column: pa.Array, dim: int | None = None) -> np.ndarray:
+    """A matrix of doubles from binary rows of one length; with ``dim`` they may be of single precision."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     values = column.to_pylist()
-    return np.frombuffer(b"".join(values), dtype=np.float64).reshape(len(values), -1)
+    single = dim is not None and len(values) and len(values[0]) == 4 * dim
+    return np.frombuffer(b"".join(values), dtype=np.float32 if single else np.float64).astype(np.float64, copy=False).reshape(len(values), -1)
 
 
 def spanning(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
