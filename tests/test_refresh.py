@@ -133,6 +133,16 @@ def test_refresh_that_died_is_finished_by_the_repeated_batch(spark, tmp_path, la
     assert {r[0] for r in tables(spark, lake)["channel_analytics"]} == {r[0] for r in rebuilt(spark, tmp_path, lake)["channel_analytics"]}
 
 
+def test_state_is_written_once(spark, tmp_path, lake):
+    """New state is moved from staging into gold."""
+    merged(spark, lake, tmp_path, 1, dict(video_id="n0", trending_date="17.14.11", channel_title="c8", views="900"))
+    staging = tmp_path / "refresh"
+    for _ in range(2):
+        refresh_gold(spark.read.parquet(lake.changes), lake, str(staging), 7)
+        assert not [p for name in ("channel_parts", "channel_videos", "channel_days") for p in (staging / name).rglob("*.parquet")]
+        assert {r[0] for r in tables(spark, lake)["channel_analytics"]} == {r[0] for r in rebuilt(spark, tmp_path, lake)["channel_analytics"]}
+
+
 def scanned(df):
     """Partitions read by the scans of an executed plan."""
     df.collect()

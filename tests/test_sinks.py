@@ -1,5 +1,7 @@
 import datetime
 import shutil
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import Observation
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from trendlake import write_partitioned
 from trendlake.operators.sinks import SchemaChangeError, null_metrics, observed, read_evolving, write_evolving
+from trendlake.session import shuffles_freed
 from trendlake.sources.tables import read_table, read_table_if_present
 
 
@@ -15,6 +18,41 @@ def frame(spark, *data):
     return spark.createDataFrame(list(data), "k bigint, region string")
 
 
+def test_staged_partitions_are_moved(spark, tmp_path):
+    path, staged = str(tmp_path / "t"), tmp_path / "staged"
+    write_partitioned(frame(spark, (1, "us"), (2, "de"), (3, None)), path)
+    frame(spark, (4, "us"), (5, "fr"), (6, None)).write.partitionBy("region").parquet(str(staged))
+    files = {p.name: p.stat().st_mtime_ns for p in staged.rglob("*.parquet")}
+    df = spark.read.schema("k bigint, region string").parquet(str(staged))
+    for _ in range(2):  # a repeated move finds nothing left
+        assert write_partitioned(df, path, staged=str(staged)) == {}
+        assert rows(spark.read.parquet(path), "k", "region") == [(2, "de"), (4, "us"), (5, "fr"), (6, None)]
+    assert files.items() <= {p.name: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}.items()
+    assert not list(staged.rglob("*.parquet"))
+    with pytest.raises(ValueError):
+        write_partitioned(df, path, staged=str(staged), mode="append")
+
+
+def test_a_write_frees_its_shuffles(spark, tmp_path):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen = spark.conf.get(name, None), []
+    with shuffles_freed(spark):
+        seen.append(spark.conf.get(name))
+    assert seen == ["true"] and spark.conf.get(name, None) == before
+
+    folders = [Path(f.toString()) for f in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+
+    def held():
+        return {f.name for folder in folders for f in folder.rglob("shuffle_*.data")}
+
+    earlier = held()
+    write_partitioned(spark.range(20_000).selectExpr("id AS k", "CAST(id % 3 AS string) AS region").repartition(3, "k"), str(tmp_path / "t"))
+    deadline = time.time() + 20
+    while held() - earlier and time.time() < deadline:
+        time.sleep(0.2)
+    assert not held() - earlier
+
+
 def test_only_touched_regions_are_replaced(spark, tmp_path):
     path = str(tmp_path / "t")
     write_partitioned(frame(spark, (1, "us"), (2, "us"), (3, "de")), path)

@@ -89,6 +89,15 @@ def test_run_that_died_while_replacing_is_finished(spark, tmp_path, monkeypatch)
     assert rows(spark.read.parquet(str(tmp_path / "silver")), "video_id", "views") == [("old", 200), ("v1", 2)]
 
 
+def test_merge_writes_its_rows_once(spark, tmp_path):
+    """The merged partitions are moved from staging, where nothing of the batch is left but its days."""
+    batch = at(spark, dict(at=datetime(2024, 1, 1)), dict(video_id="x", trending_date=None, at=datetime(2024, 1, 1)))
+    for number in range(2):
+        merge(batch, tmp_path, number)
+        assert {p.parts[len(tmp_path.parts) + 1] for p in (tmp_path / "staging").rglob("*.parquet")} == {"days", "batch"}
+        assert spark.read.parquet(str(tmp_path / "silver")).count() == 2
+
+
 def test_empty_batch_writes_nothing(spark, tmp_path):
     merge(at(spark, dict(video_id=None)), tmp_path, 0)
     assert not (tmp_path / "silver").exists()
