@@ -28,7 +28,7 @@ from trendlake.operators.versions import publish
 from trendlake.plans.pipeline import build_gold, write_reference, write_statistics
 from trendlake.plans.refresh import build_channel_state, update_gold
 from trendlake.operators.statistics import GOLD_COLUMNS, conform_statistics, finish_statistics, prepare_statistics
-from trendlake.session import work_path
+from trendlake.session import shuffles_freed, work_path
 from trendlake.sources.bronze import (
     preview_csv, read_csv, read_csv_tolerant, read_reference_documents, read_reference_files, read_reference_records,
     read_statistics_csv, read_trending_documents, record_status,
@@ -493,7 +493,7 @@ def incremental_merge(spark, sf_dir):
     bronze = bronze_statistics(spark, sf_dir).drop("ingested").withColumn("region", fn.normal_region("region"))
     late = F.expr("coalesce(try_cast(comment_count AS bigint), 0) % 2 = 1")
     for delivery in (bronze.where(~late), bronze.where(late)):
-        delivery.write.mode("append").partitionBy("region").options(**CSV_WRITE).csv(bronze_path)
+        delivery.write.mode("append").partitionBy("region").options(**DELIVERED).csv(bronze_path)
         update_statistics(
             stream_statistics_csv(spark, bronze_path), silver_path, checkpoint,
             job_name="check", recency=by_value(),
@@ -523,7 +523,8 @@ def full_then_update(spark, sf_dir):
     late = F.expr("coalesce(try_cast(comment_count AS bigint), 0) % 2 = 1")
     # Copies of a video share a file, so that within a delivery they share its time.
     for delivery, path in ((bronze.where(~late), bronze_path), (bronze.where(late), later_path)):
-        delivery.repartition(8, "video_id").write.partitionBy("region").options(**CSV_WRITE).csv(path)
+        with shuffles_freed(spark):
+            delivery.repartition(8, "video_id").write.partitionBy("region").options(**DELIVERED).csv(path)
     write_statistics(read_statistics_csv(spark, bronze_path), config)
     silver_path = config.silver(config.statistics_table)
     update_statistics(stream_statistics_csv(spark, later_path), silver_path, checkpoint, job_name="check").awaitTermination()
@@ -795,6 +796,8 @@ CSV_WRITE = {
     "header": True, "quote": '"', "escape": '"', "compression": "none",
     "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
 }
+#: Whole tables as deliveries stay on disk beside silver; compressed they take a fraction.
+DELIVERED = {**CSV_WRITE, "compression": "gzip"}
 
 
 def _landed_payloads(spark: SparkSession, sf_dir: str, regions) -> DataFrame:
