@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +9,9 @@ from trendlake import PipelineConfig, run_pipeline
 from trendlake.operators.quality import QualityGateError, QualityRules
 from trendlake.operators.reference import reference_items
 from trendlake.operators.statistics import latest_statistics, prepare_statistics
+from trendlake.plans import pipeline
 from trendlake.plans.pipeline import finished_in_files, write_statistics
+from trendlake.session import work_path
 
 DOCUMENTS = """
     SELECT 'k' AS kind, array(named_struct('kind', 'c', 'id', '10', 'snippet', named_struct('title', 'Film', 'assignable', true))) AS items, 'US' AS region
@@ -43,6 +47,26 @@ def test_whole_run_is_repeatable(spark, tmp_path):
     assert spark.sql("SELECT channel_title FROM run_gold.channel_analytics WHERE region = 'us' ORDER BY times_trending DESC LIMIT 10").count() == 3
 
 
+def test_silver_holds_one_shuffle_at_a_time(spark, tmp_path, monkeypatch):
+    """The latest rows are stored, and their shuffle is given up, before the one that sizes the files; they go after it."""
+    plans, paths, write = [], [], pipeline.write_partitioned
+
+    def watched(df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        assert all(list(Path(path).glob("*.parquet")) for path in paths)
+        return write(df, *args, **kwargs)
+
+    monkeypatch.setattr(pipeline, "work_path", lambda *args: paths.append(work_path(*args)) or paths[-1])
+    monkeypatch.setattr(pipeline, "write_partitioned", watched)
+    nothing = dict(views=None, likes="bad", dislikes=None, comment_count=None, title=None, trending_date=None)
+    counts = write_statistics(bronze(spark, dict(views="5"), dict(views="7"), dict(video_id="x", **nothing)), config(tmp_path))
+    assert (counts["rows_in"], counts["rows"], counts["null_title"]) == (3, 2, 1)
+    assert len(paths) == len(plans) == 1 and plans[0].count("Exchange ") == 1 and "Window" not in plans[0]
+    assert not Path(paths[0]).exists()
+    silver = spark.read.parquet(str(tmp_path / "silver" / "clean_statistics"))
+    assert rows(silver, "video_id", "views", "likes", "engagement_rate") == [("v1", 7, 7, 157.1429), ("x", 0, 0, 0.0)]
+
+
 @pytest.mark.parametrize("partitions", [("region", "trending_date_parsed"), ("region", "_job_name")])
 def test_derived_columns_are_not_shuffled_for_the_files(spark, tmp_path, partitions):
     settings = config(tmp_path, statistics_partitions=partitions)

@@ -9,14 +9,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import region_filter
-from ..schemas import SILVER_PARTITIONS
+from ..schemas import COUNTERS, SILVER_PARTITIONS
 from ..operators import quality
 from ..operators.aggregates import categories_of_parts, channel_totals, daily_parts, days_of_parts, rank_channels, stamped
 from ..operators.reference import EmptyReferenceError, clean_reference, reference_items
 from ..operators.sinks import reference_metrics, statistics_metrics, write_partitioned
 from ..operators.versions import publish
 from ..operators.statistics import finish_statistics, latest_statistics, prepare_statistics
-from ..session import delete_path, work_path
+from ..session import delete_path, shuffles_freed, work_path
 from ..sources.tables import read_table, read_table_if_present
 
 
@@ -97,19 +97,35 @@ def run_pipeline(
 def write_statistics(
     bronze: DataFrame, config: PipelineConfig, *, recency: Column | str | None = None
 ) -> dict[str, int]:
-    """Clean and write; counts rows before and after de-duplication in the same job."""
+    """Clean and write; counts rows before and after de-duplication in the same jobs.
+
+    De-duplication and the sizing of files each shuffle every row. The latest rows
+    are stored between both, which takes far less room than a shuffle does, so disk
+    never holds the two shuffles at once.
+    """
+    spark = bronze.sparkSession
     before = Observation()
     rows = prepare_statistics(bronze, recency=recency).observe(before, F.count(F.lit(1)).alias("rows_in"))
-    counts = write_partitioned(
-        finished_in_files(latest_statistics(rows), config),
-        config.silver(config.statistics_table),
-        config.statistics_partitions,
-        table=config.table(config.silver_database, config.statistics_table),
-        rebalance=False,
-        metrics=statistics_metrics(),
-        # One row per video, region and day; its texts are as good as unique there.
-        unlike=("video_id", "title", "thumbnail_link", "description"),
-    )
+    # One row per video, region and day; its texts are as good as unique there.
+    unlike = ("video_id", "title", "thumbnail_link", "description")
+    latest, path = latest_statistics(rows), work_path(spark, "latest")
+    try:
+        with shuffles_freed(spark):
+            latest.write.options(**{f"parquet.enable.dictionary#{name}": "false" for name in unlike}).parquet(path)
+        # Files don't tell what is never NULL; where columns may be, the rates take several times as long.
+        stored = spark.read.schema(latest.schema).parquet(path).where("video_id is not null")
+        stored = stored.withColumns({name: F.coalesce(name, F.lit(0)) for name in COUNTERS})
+        counts = write_partitioned(
+            finished_in_files(stored, config),
+            config.silver(config.statistics_table),
+            config.statistics_partitions,
+            table=config.table(config.silver_database, config.statistics_table),
+            rebalance=False,
+            metrics=statistics_metrics(),
+            unlike=unlike,
+        )
+    finally:
+        delete_path(spark, path)
     return {**before.get, **counts}
 
 
@@ -168,7 +184,8 @@ def build_gold(
     paths = [work_path(spark, name) for name in ("parts", "channels")]
     try:
         for df, path in zip((daily_parts(stats, reference), channel_totals(stats, reference)), paths):
-            df.write.parquet(path)
+            with shuffles_freed(spark):
+                df.write.parquet(path)
         parts, totals = (spark.read.parquet(path) for path in paths)
         written = {"trending_analytics": write("trending_analytics", days_of_parts(parts))}
         written["channel_analytics"] = write("channel_analytics", stamped(rank_channels(totals)))
